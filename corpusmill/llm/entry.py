@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusmill.llm import quality_rules
 from corpusmill.llm.common import table
 from corpusmill.llm.token_counts import count_tokens
 
@@ -13,9 +14,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.op7(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_token_counts,)}
+    return {f.__name__: f for f in (op4_token_counts, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_quality_rules": quality_rules.ORACLE}
