@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import quality_rules
+from corpusmill.llm import quality_rules, secret_scan
 from corpusmill.llm.common import table
 from corpusmill.llm.token_counts import count_tokens
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.op2(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -19,7 +23,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_token_counts, op7_quality_rules)}
+    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
