@@ -63,6 +63,8 @@ LONGEST = max(map(len, RANKS))
 SPAN_CHARS = 32
 #: log10 of the choice of a segment's kind, paid at each segment.
 SEGMENT = math.log10(5)
+#: log10 guesses a letter of a value that may be a word of prose: letters of one case alone.
+PROSE_LETTER = 0.7
 
 
 def _alphabet(span: str) -> int:
@@ -75,7 +77,8 @@ def guess_cost(value: str) -> float:
     """log10 of the guesses of the cheapest segmentation of value."""
     n, low = len(value), value.lower()
     plain = low.translate(LEET)
-    each = math.log10(max(_alphabet(value), 2))
+    word = value.isalpha() and (value[1:] == low[1:] or value.isupper())
+    each = PROSE_LETTER if word else math.log10(max(_alphabet(value), 2))
     best = [0.0] + [math.inf] * n
     ends: dict[int, list[int]] = {}
     for m in DATE.finditer(value):
