@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import quality_rules, secret_scan
-from corpusmill.llm.common import table
+from corpusmill.llm import quality_rules, secret_scan, token_files
+from corpusmill.llm.common import scratch, table
 from corpusmill.llm.token_counts import count_tokens
 
 
@@ -18,12 +18,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "token_files")
+    token_files.write_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2, path)
+    return token_files.read_ids(spark, path, with_ids=False)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op7(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op7_quality_rules)}
+    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op5_token_files, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

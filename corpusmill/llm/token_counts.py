@@ -20,8 +20,7 @@ empty result.
 
 from __future__ import annotations
 
-import os
-from collections import ChainMap, Counter
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.chunks import ChunkCache, tokenizer
 from corpusmill.llm.common import texts
 
 HOT_ENTRIES = 16_384
@@ -36,54 +36,24 @@ HOT_CHARS = 32
 #: Counters that a task keeps while it counts, and entries of the summary it hands on.
 TASK_COUNTERS, TASK_TOP = 400_000, 16_384
 MERGE_TASKS = 16
-CACHE_ENTRIES = 400_000
-CACHE_CHARS = 48
 SLICE = 256
 
 _WORKER: dict = {}
 
 
-def tokenizer(path: str):
-    """The tokenizer of a worker process, loaded once."""
-    if path not in _WORKER:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(path)
-        tok.no_truncation()
-        tok.no_padding()
-        _WORKER[path] = tok
-    return _WORKER[path]
-
-
 class Lengths:
     """Token counts of texts: the frequent tier, then this worker's cache, then the tokenizer."""
 
     def __init__(self, path: str, hot: dict[str, int]):
-        self.tok, self.hot = tokenizer(path), hot
-        self.cache = dict(hot)
+        self.tok = tokenizer(path)
+        self.chunks = ChunkCache(lambda chunks: self.encoded([" " + c for c in chunks]), hot)
 
     def encoded(self, strings: list[str]) -> list[int]:
         return [len(e.ids) for e in self.tok.encode_batch_fast(strings, add_special_tokens=False)]
 
-    def known(self, chunks: set[str]) -> dict[str, int]:
-        """A table that has all of chunks; new short ones stay in the cache."""
-        missing = chunks - self.cache.keys()
-        if missing and len(self.cache) + len(missing) > CACHE_ENTRIES:
-            self.cache.clear()
-            self.cache.update(self.hot)
-            missing = chunks - self.cache.keys()
-        if not missing:
-            return self.cache
-        order = list(missing)
-        new = dict(zip(order, self.encoded([" " + c for c in order]), strict=True))
-        long = {c: n for c, n in new.items() if len(c) > CACHE_CHARS}
-        self.cache.update((c, n) for c, n in new.items() if c not in long)
-        return ChainMap(self.cache, long) if long else self.cache
-
     def counts(self, batch: list[str]) -> list[int]:
         split = [t.split(" ") if "  " not in t else None for t in batch]
-        known = self.known({c for s in split if s for c in s[1:]})
+        known = self.chunks.known({c for s in split if s for c in s[1:]})
         first = list({s[0] for s in split if s})
         heads = dict(zip(first, self.encoded(first), strict=True)) if first else {}
         whole = [t for t, s in zip(batch, split, strict=True) if s is None]
