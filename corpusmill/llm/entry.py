@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import quality_rules, secret_scan, token_files
+from corpusmill.llm import near_dedup, quality_rules, secret_scan, token_files
 from corpusmill.llm.common import scratch, table
 from corpusmill.llm.token_counts import count_tokens
 
@@ -24,13 +24,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, path, with_ids=False)
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op7(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op5_token_files, op7_quality_rules)}
+    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality_rules": quality_rules.ORACLE}
+    return {"op6_near_dedup": near_dedup.ORACLE, "op7_quality_rules": quality_rules.ORACLE}
