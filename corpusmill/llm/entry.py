@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import near_dedup, quality_rules, secret_scan, token_files
+from corpusmill.llm import decontaminate, near_dedup, quality_rules, secret_scan, token_files
 from corpusmill.llm.common import scratch, table
 from corpusmill.llm.token_counts import count_tokens
 
@@ -32,8 +32,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op7(table(spark, sf_dir, "documents"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules)}
+    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
