@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontaminate, near_dedup, quality_rules, secret_scan, token_files
+from corpusmill.llm import decontaminate, near_dedup, piece_sampling, quality_rules, secret_scan, token_files
 from corpusmill.llm.common import scratch, table
 from corpusmill.llm.token_counts import count_tokens
 
@@ -14,6 +14,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.op2(table(spark, sf_dir, "documents"))
 
 
+def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), seed=0)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -37,7 +41,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op9_decontaminate)}
+    return {f.__name__: f for f in (op2_secret_scan, op3_piece_sampling, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
