@@ -5,11 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontaminate, near_dedup, piece_sampling, quality_rules, secret_scan, token_files
+from corpusmill.llm import decontaminate, html_extract, near_dedup, piece_sampling, quality_rules, secret_scan, token_files
 from corpusmill.llm.common import scratch, table
 from corpusmill.llm.token_counts import count_tokens
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.op2(table(spark, sf_dir, "documents"))
 
@@ -41,7 +45,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op3_piece_sampling, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_html_extract, op2_secret_scan, op3_piece_sampling, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
