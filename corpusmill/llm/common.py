@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -63,3 +64,13 @@ def texts(column) -> list[str]:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def settle(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps that are written and over.
+
+    The cleaner acts when the driver's collector finds the plans unused, which may be long
+    after; a long chain of steps would keep all its shuffles on disk until then.
+    """
+    gc.collect()
+    spark._jvm.System.gc()

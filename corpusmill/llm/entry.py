@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontaminate, html_extract, license_scan, near_dedup, piece_sampling, quality_rules, secret_scan, token_files
+from corpusmill.llm import decontaminate, html_extract, license_scan, near_dedup, piece_sampling, quality_rules, secret_scan, substring_dedup, token_files
 from corpusmill.llm.common import scratch, table
 from corpusmill.llm.token_counts import count_tokens
 
@@ -40,6 +40,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op7(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -49,7 +53,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_extract, op2_secret_scan, op3_piece_sampling, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op9_decontaminate, op10_license_scan)}
+    return {f.__name__: f for f in (op1_html_extract, op2_secret_scan, op3_piece_sampling, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op8_substring_dedup, op9_decontaminate, op10_license_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
