@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from collections import ChainMap
 from collections.abc import Callable, Mapping
 
 CACHE_ENTRIES = 300_000
@@ -26,23 +25,28 @@ def tokenizer(path: str):
 
 
 class ChunkCache:
-    """Chunk to value. hot is always there; the rest goes when entries are over the bound."""
+    """Chunk to value, in two generations of at most `entries` each.
+
+    When the younger is full it becomes the older one, and what is asked for again moves
+    back, so that frequent chunks stay whatever passes by. hot is always there.
+    """
 
     def __init__(self, values: Callable[[list[str]], list], hot: Mapping | None = None, entries: int = CACHE_ENTRIES):
         self.values, self.hot, self.entries = values, hot or {}, entries
-        self.cache = dict(self.hot)
+        self.young, self.old = dict(self.hot), {}
 
     def known(self, chunks: set[str]) -> Mapping:
         """A table that has all of chunks; new short ones stay in the cache."""
-        missing = chunks - self.cache.keys()
-        if missing and len(self.cache) + len(missing) > self.entries:
-            self.cache.clear()
-            self.cache.update(self.hot)
-            missing = chunks - self.cache.keys()
+        missing = chunks.difference(self.young)
         if not missing:
-            return self.cache
-        order = list(missing)
+            return self.young
+        if len(self.young) + len(missing) > self.entries:
+            self.old, self.young = self.young, dict(self.hot)
+            missing = chunks.difference(self.young)
+        again = {c for c in missing if c in self.old}
+        self.young.update((c, self.old[c]) for c in again)
+        order = list(missing - again)
         new = dict(zip(order, self.values(order), strict=True))
         long = {c: v for c, v in new.items() if len(c) > CACHE_CHARS}
-        self.cache.update((c, v) for c, v in new.items() if c not in long)
-        return ChainMap(self.cache, long) if long else self.cache
+        self.young.update((c, v) for c, v in new.items() if c not in long)
+        return {c: long[c] if c in long else self.young[c] for c in chunks} if long else self.young

@@ -19,6 +19,7 @@ not read; an empty table gives a file set with no segments.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -114,24 +115,58 @@ class Segment:
         return np.array([self[i] for i in range(self.offsets[k], self.offsets[k + 1])], np.uint32)
 
 
+#: Characters whose lower case, composition and class are plain: printable ones below U+0180.
+ODD = re.compile("[^\\n -~\u00a1-\u00ac\u00ae-\u012f\u0131-\u017f]|<[|]")
+#: The tokenizer's pre-tokens in a lower-cased text of such characters: letters, a digit,
+#: a contraction, or what is left of the visible characters.
+LETTER, DIGIT = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+PRE_TOKEN = re.compile(f"[{LETTER}]+|[{DIGIT}]|'(?:s|t|re|ve|m|ll|d)|[^\\s{LETTER}{DIGIT}]+")
+WORD_ENTRIES = 500_000
+
+
+def byte_characters() -> str:
+    """The character that a byte-level tokenizer has for each byte: itself if it shows, else one from U+0100 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return "".join(chr(b) if b in shown else chr(next(spare)) for b in range(256))
+
+
+class WordIds(dict):
+    """Ids of pre-tokens as little-endian 32-bit bytes; emptied over its bound."""
+
+    def __init__(self, tok):
+        self.tokenize, self.characters = tok.model.tokenize, byte_characters()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= WORD_ENTRIES:
+            self.clear()
+        form = word if word.isascii() else word.encode().decode("latin-1").translate(self.characters)
+        value = np.array([t.id for t in self.tokenize(form)], "<u4").tobytes()
+        if len(word) <= 48:
+            self[word] = value
+        return value
+
+
 class Encoder:
-    """Little-endian 32-bit ids of whole texts, by a cache of the chunks between spaces.
+    """Little-endian 32-bit ids of whole texts, by a cache of ids of their parts.
 
-    The tokenizer drops white space and no pre-token holds any, so the ids of a text are
-    those of its chunks one after another.
+    A text of plain characters is cut into the tokenizer's pre-tokens, whose ids are those
+    of the text one after another. Any other text is cut at spaces alone: the tokenizer
+    drops white space and no pre-token holds any, so it may encode the chunks by themselves.
     """
 
     def __init__(self, path: str):
         self.tok = tokenizer(path)
-        self.chunks = ChunkCache(self.encoded)
+        self.words, self.chunks = WordIds(self.tok), ChunkCache(self.encoded, entries=50_000)
 
     def encoded(self, chunks: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def encode(self, batch: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in batch]
-        get = self.chunks.known({c for s in split for c in s}).__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        get, cut, odd = self.words.__getitem__, PRE_TOKEN.findall, ODD.search
+        split = [t.replace("\n", " ").split(" ") if odd(t) else None for t in batch]
+        chunk = self.chunks.known({c for s in split if s for c in s}).__getitem__
+        return [b"".join(map(chunk, s)) if s else b"".join(map(get, cut(t.lower()))) for t, s in zip(batch, split, strict=True)]
 
 
 def bounds(docs: DataFrame, buckets: int, doc_id: str = "doc_id") -> list[int]:

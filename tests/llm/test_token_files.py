@@ -24,6 +24,7 @@ def test_codes_round_trip(docs):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from(list("abS'st1,. \n\t\r 　é漢🙂Σς́")) | st.characters(codec="utf-8"), max_size=40), max_size=4))
 def test_chunks_equal_whole_texts(batch):
+    batch += [" ".join(batch), "Don't we'll ŠÉİ ªº 1234 ½ x²--'s '' 'S'S ÀÉ", *batch]
     want = [e.ids for e in tokenizer(PATH).encode_batch(batch, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in Encoder(PATH).encode(batch)] == want
 
