@@ -14,7 +14,7 @@ one binary search for each piece drawn. Random numbers are hashes of the seed, t
 and the place in the text, so a row's segmentation depends on nothing else: not on
 partitions, batches, retries, or what a cache holds.
 
-A character that is no piece is spelt by its UTF-8 bytes. A literal U+2581, the mark that
+A character that is no piece is spelt by its UTF-8 bytes, with the weight of one piece. A literal U+2581, the mark that
 pieces have for a space, is spelt by bytes too, which keeps decoding lossless.
 
 Defined results: a null text gives null pieces, an empty one none; a null key counts as
@@ -28,6 +28,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +38,11 @@ from pyspark.sql import functions as F
 MARK = "▁"
 RANK_SHIFT = 100
 UNIT = re.compile(" +[^ ]*")
-SLICE_CHARS = 400_000
-UNITS, EDGES = 350_000, 4_000_000
+SLICE_CHARS = 1_000_000
+#: Bounds of a worker's cache, and the characters of units that are filtered many at a time.
+UNITS, EDGES = 400_000, 8_000_000
+SHORT = 48
+SCALE = 512.0
 NO_KEY = -(1 << 63)
 
 _WORKER: dict = {}
@@ -52,13 +56,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """A piece file: the weights of its pieces as surfaces, and the bytes each id stands for."""
+    """A piece file: the weights of its pieces as surfaces, and the bytes each id stands for.
+
+    Weights are those of the docstring times SCALE to the piece's length. All paths to a
+    place are equally long, so that changes no share, and keeps sums within range.
+    """
 
     def __init__(self, path: str, alpha: float):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.log: dict[str, tuple[int, float]] = {}
+        self.weight: dict[str, tuple[int, float]] = {}
         self.bytes = [b""] * sp.vocab_size()
         self.byte_id = [0] * 256
         first = next(i for i in range(sp.vocab_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i)))
@@ -70,52 +78,97 @@ class Pieces:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 surface = piece.replace(MARK, " ")
                 self.bytes[i] = surface.encode()
-                self.log[surface] = (i, -alpha * math.log(i - first + RANK_SHIFT))
-        if any(" " in p.lstrip(" ") for p in self.log):
+                self.weight[surface] = (i, (i - first + RANK_SHIFT) ** -alpha * SCALE ** len(surface))
+        if any(" " in p.lstrip(" ") for p in self.weight):
             raise ValueError("a piece goes on behind a space, so the units of a text are not independent")
-        self.longest = max(map(len, self.log))
-        self.byte_log = -alpha * math.log(sp.vocab_size() + RANK_SHIFT)
-
-    def lattice(self, unit: str) -> list[list[tuple[int, int, float]]]:
-        """For each place behind the first: the edges into it as (length, piece id, log weight).
-
-        Where a character is no piece, the edge's id is -1: its bytes are spelt out.
-        """
-        log, longest = self.log, self.longest
-        out = []
+        self.longest = max(map(len, self.weight))
+        #: Of a character that no piece is: spelt out by its bytes.
+        self.spelt = (sp.vocab_size() + RANK_SHIFT) ** -alpha * SCALE
+        self.tables, self.maybe = [], np.zeros(1 << 20, bool)
+        for k in range(1, self.longest + 1):
+            surfaces = [p for p in self.weight if len(p) == k]
+            h = np.zeros(len(surfaces), np.uint64)
+            codes = np.frombuffer("".join(surfaces).encode("utf-32-le"), np.uint32).reshape(-1, k)
+            for column in codes.T:
+                h = (h + column) * _K[0]
+            h = mix(h)
+            order = np.argsort(h)
+            self.maybe[h >> np.uint64(44)] = True
+            self.tables.append((h[order], np.array([self.weight[p][0] for p in surfaces], np.int32)[order], np.array([self.weight[p][1] for p in surfaces])[order]))
+
+    def one(self, unit: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As many(), for one unit of any length; weights are rescaled on the way."""
+        sums, out = [1.0], ([], [], [], [])
         for end in range(1, len(unit) + 1):
-            edges = []
-            for start in range(max(0, end - longest), end):
-                found = log.get(unit[start:end])
-                if found:
-                    edges.append((end - start, *found))
-            if unit[end - 1] not in log:
-                edges.append((1, -1, self.byte_log * len(unit[end - 1].encode())))
-            out.append(edges)
-        return out
-
-
-def forward(edges: list[list[tuple[int, int, float]]]) -> list[list[int]]:
-    """For each place the upper bounds, in 32-bit units, of the shares of the edges into it."""
-    alpha, bounds = [0.0], []
-    exp, log = math.exp, math.log
-    for end, into in enumerate(edges, 1):
-        if len(into) == 1:
-            alpha.append(alpha[end - into[0][0]] + into[0][2])
-            bounds.append([1 << 32])
-            continue
-        scores = [alpha[end - k] + w for k, _, w in into]
-        top = max(scores)
-        weights = [exp(s - top) for s in scores]
-        total = sum(weights)
-        alpha.append(top + log(total))
-        run, here = 0.0, []
-        for w in weights:
-            run += w
-            here.append(min(int(run / total * (1 << 32)), 1 << 32))
-        here[-1] = 1 << 32
-        bounds.append(here)
-    return bounds
+            edges = [(end - start, *self.weight[unit[start:end]]) for start in range(max(0, end - self.longest), end) if unit[start:end] in self.weight]
+            if unit[end - 1] not in self.weight:
+                edges.append((1, -1, self.spelt))
+            run, here = 0.0, []
+            for k, _, w in edges:
+                run += sums[-k] * w
+                here.append(run)
+            for (k, piece, _), x in zip(edges, here, strict=True):
+                for column, v in zip(out, (end, min(int(x / run * (1 << 32)), 1 << 32) if x < run else 1 << 32, k, piece), strict=True):
+                    column.append(v)
+            out[1][-1] = 1 << 32
+            sums.append(run)
+            del sums[: -self.longest - 1]
+            if not 2.0**-400 < run < 2.0**400:
+                power = 2.0 ** -math.frexp(run)[1]
+                sums = [x * power for x in sums]
+        return tuple(np.array(x, np.int64) for x in out)
+
+    def many(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Forward filtering of short units at once: of each edge its node, the upper bound of
+        its share in 32-bit units, its length and its piece id (-1: spelt out). A unit has one
+        node more than characters; nodes are numbered unit by unit, edges in order of nodes."""
+        codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+        sizes = np.fromiter(map(len, units), np.int64, len(units))
+        unit = np.repeat(np.arange(len(units)), sizes)
+        stop = np.cumsum(sizes)[unit]
+        live, h = np.arange(len(codes)), np.zeros(len(codes), np.uint64)
+        single = np.zeros(len(codes), bool)
+        found = []
+        for k, (hashes, ids, weights) in enumerate(self.tables, 1):
+            if k > 1:
+                stay = live + k <= stop[live]
+                live, h = live[stay], h[stay]
+            h = (h + codes[live + k - 1]) * _K[0]
+            m = mix(h)
+            near = np.flatnonzero(self.maybe[m >> np.uint64(44)])
+            at = np.searchsorted(hashes, m[near])
+            at[at == len(hashes)] = 0
+            hit = hashes[at] == m[near] if len(hashes) else np.zeros(len(near), bool)
+            start = live[near[hit]]
+            if k == 1:
+                single[start] = True
+            found.append((start, np.full(len(start), k), ids[at[hit]], weights[at[hit]]))
+        start = np.flatnonzero(~single)
+        found.append((start, np.ones(len(start), np.int64), np.full(len(start), -1, np.int32), np.full(len(start), self.spelt)))
+        start, length, piece, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+        source = start + unit[start]
+        node = source + length
+        place = node - (np.cumsum(sizes) - sizes + np.arange(len(units)))[unit[start]]
+        order = np.argsort((place * (len(codes) + len(units)) + node) * 32 - length)
+        source, node, place, length, piece, weight = (x[order] for x in (source, node, place, length, piece, weight))
+        first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        degree = np.diff(np.append(first, len(node)))
+        sums, score = np.ones(len(codes) + len(units)), np.empty(len(node))
+        cuts = np.searchsorted(place, np.arange(1, (place[-1] if len(place) else 0) + 2))
+        groups = np.searchsorted(first, cuts)
+        for a, b, i, j in zip(cuts.tolist(), cuts[1:].tolist(), groups.tolist(), groups[1:].tolist(), strict=False):
+            part = sums[source[a:b]] * weight[a:b]
+            score[a:b] = part
+            sums[node[first[i:j]]] = np.add.reduceat(part, first[i:j] - a)
+        row = np.repeat(np.arange(len(first)), degree)
+        column = np.arange(len(node)) - first[row]
+        table = np.zeros((len(first), int(degree.max())))
+        table[row, column] = score
+        run = np.cumsum(table, axis=1)
+        bound = (run[row, column] / run[row, -1] * (1 << 32)).astype(np.int64)
+        bound[first + degree - 1] = 1 << 32
+        order = np.argsort(node * 32 - length)
+        return node[order], bound[order], length[order], piece[order]
 
 
 class Sampler:
@@ -127,60 +180,58 @@ class Sampler:
 
     def reset(self) -> None:
         self.index: dict[str, int] = {}
-        self.ends: list[int] = []  # the last node of each unit
-        self.sizes: list[int] = []
-        self.nodes = 0
-        self.new: tuple[list, list, list] = ([], [], [])
-        self.keys, self.lengths, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-
-    def add(self, unit: str) -> int:
-        """Unit is without its first space."""
-        keys, lengths, ids = self.new
-        edges = self.pieces.lattice(" " + unit)
-        node = self.nodes
-        for into, bounds in zip(edges, forward(edges), strict=True):
-            node += 1
-            base = node << 32
-            for (k, piece, _), bound in zip(into, bounds, strict=True):
-                keys.append(base + bound)
-                lengths.append(k)
-                ids.append(piece)
-        self.nodes = node + 1
-        self.ends.append(node)
-        self.sizes.append(len(unit) + 1)
-        at = self.index[unit] = len(self.ends) - 1
-        return at
-
-    def settle(self) -> None:
-        if self.new[0]:
-            self.keys = np.concatenate([self.keys, np.array(self.new[0], np.uint64)])
-            self.lengths = np.concatenate([self.lengths, np.array(self.new[1], np.int32)])
-            self.ids = np.concatenate([self.ids, np.array(self.new[2], np.int32)])
-            self.new = ([], [], [])
+        self.ends, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the last node of each unit, and its characters
+        self.nodes = self.edges = 0
+        self.keys, self.lengths, self.ids = np.empty(1 << 16, np.uint64), np.empty(1 << 16, np.int8), np.empty(1 << 16, np.int32)
+
+    def add(self, units: list[str]) -> None:
+        """Filters the lattices of units, each without its first space, and lays them behind the others."""
+        short = [u for u in units if len(u) < SHORT]
+        if short:
+            self.lay(short, self.pieces.many([" " + u for u in short]))
+        for u in units:
+            if len(u) >= SHORT:
+                self.lay([u], self.pieces.one(" " + u))
+
+    def lay(self, units: list[str], edges: tuple[np.ndarray, ...]) -> None:
+        node, bound, length, piece = edges
+        n, m = self.edges, self.edges + len(node)
+        if m > len(self.keys):
+            room = max(2 * len(self.keys), m)
+            self.keys, self.lengths, self.ids = (np.concatenate([x[:n], np.empty(room - n, x.dtype)]) for x in (self.keys, self.lengths, self.ids))
+        self.keys[n:m] = ((node + self.nodes) << 32) + bound
+        self.lengths[n:m], self.ids[n:m] = length, piece
+        self.edges = m
+        sizes = np.fromiter(map(len, units), np.int64, len(units)) + 1
+        self.index.update(zip(units, range(len(self.ends), len(self.ends) + len(units)), strict=True))
+        self.ends = np.concatenate([self.ends, self.nodes + np.cumsum(sizes + 1) - 1])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.nodes += int(sizes.sum()) + len(units)
 
     def sample(self, keys: np.ndarray, batch: list[str], seed: int) -> list[np.ndarray]:
         """The drawn ids of each text."""
-        if len(self.index) > UNITS or len(self.keys) > EDGES:
+        if len(self.index) > UNITS or self.edges > EDGES:
             self.reset()
         units = [t.split(" ") if "  " not in t and t[-1:] != " " and t[:1] != " " else [u[1:] for u in UNIT.findall(" " + t)] for t in batch]
         units = [u if t else [] for u, t in zip(units, batch, strict=True)]
         index = self.index
-        for u in {x for u in units for x in u} - index.keys():
-            self.add(u)
-        self.settle()
+        new = {x for u in units for x in u if x not in index}
+        if new:
+            self.add(list(new))
         counts = np.array([len(u) for u in units], np.int64)
-        uid = np.fromiter((index[x] for u in units for x in u), np.int64, int(counts.sum()))
+        uid = np.fromiter(map(index.__getitem__, chain.from_iterable(units)), np.int64, int(counts.sum()))
         with np.errstate(over="ignore"):
             row = mix(np.asarray(keys, np.int64).view(np.uint64) * _K[0] + np.uint64(seed % (1 << 64)))
             place = np.arange(len(uid)) - np.repeat(np.cumsum(counts) - counts, counts)
             state = mix(np.repeat(row, counts) + place.astype(np.uint64) * _K[1])
-        end = np.array(self.ends, np.int64)[uid]
-        node, begin = end.copy(), end - np.array(self.sizes, np.int64)[uid]
-        live, step, drawn = np.arange(len(uid)), 0, []
+        node = self.ends[uid]
+        begin = node - self.sizes[uid]
+        # in order of units, so that the searches go through the edges from front to back
+        live, step, drawn, keys = np.argsort(uid), 0, [], self.keys[: self.edges]
         while len(live):
             with np.errstate(over="ignore"):
                 u = mix(state[live] + np.uint64(step) * _K[2]) >> np.uint64(32)
-            edge = np.searchsorted(self.keys, (node[live].astype(np.uint64) << np.uint64(32)) | u, side="right")
+            edge = np.searchsorted(keys, (node[live].astype(np.uint64) << np.uint64(32)) | u, side="right")
             drawn.append((live, edge))
             node[live] -= self.lengths[edge]
             live = live[node[live] > begin[live]]

@@ -36,9 +36,9 @@ def test_shares_follow_the_lattice():
         if not rest:
             weights[tuple(path)] = log
         for k in range(1, len(rest) + 1):
-            if rest[:k] in DRAW.pieces.log:
-                i, w = DRAW.pieces.log[rest[:k]]
-                walk(rest[k:], [*path, i], log + w)
+            if rest[:k] in DRAW.pieces.weight:
+                i, w = DRAW.pieces.weight[rest[:k]]
+                walk(rest[k:], [*path, i], log + math.log(w))
 
     walk(" " + word, [], 0.0)
     total = sum(map(math.exp, weights.values()))
@@ -50,6 +50,18 @@ def test_shares_follow_the_lattice():
         assert abs(seen[path] - n * p) < 6 * math.sqrt(n * p * (1 - p)) + 6
 
 
+def test_filtering_of_many_equals_that_of_one():
+    units = [" ", " the", " thnterble,", "  x", " é▁漢", " 🙂a🙂", " " + "wordword" * 5]
+    node, bound, length, piece = DRAW.pieces.many(units)
+    base = 0
+    for u in units:
+        n, b, k, i = DRAW.pieces.one(u)
+        mine = (node >= base) & (node <= base + len(u))
+        assert (node[mine] - base).tolist() == n.tolist() and length[mine].tolist() == k.tolist() and piece[mine].tolist() == i.tolist()
+        assert np.abs(bound[mine] - b).max() <= 8
+        base += len(u) + 1
+
+
 def test_tables(spark):
     rows = [(1, "The cat  sat\non ▁ it", "x"), (2, None, "y"), (3, "", "z"), (None, "no key", ""), (1, "The cat  sat\non ▁ it", "x"), (5, "word" * 30_000, ""), (6, "a b " * 40_000, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_pieces string")
