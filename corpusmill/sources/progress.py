@@ -69,16 +69,17 @@ def save_redirect(spark: SparkSession, source: str, target: str, profile: SitePr
     return name
 
 
-def page_records(pages: DataFrame, profile: SiteProfile, now: Column) -> DataFrame:
+def page_records(pages: DataFrame, profile: SiteProfile, now: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     """The JSON fields of extracted pages, with html, md and the file name beside them."""
-    return pages.select("url", "title", "heading", F.coalesce("breadcrumb", F.array().cast("array<string>")).alias("breadcrumb"), "text", iso_time(now).alias("crawledAt"), "html", "md", url_to_filename(F.col("url"), profile.path_prefix).alias("filename"))
+    return pages.select(*keep, "url", "title", "heading", F.coalesce("breadcrumb", F.array().cast("array<string>")).alias("breadcrumb"), "text", iso_time(now).alias("crawledAt"), "html", "md", url_to_filename(F.col("url"), profile.path_prefix).alias("filename"))
 
 
 def save_pages(pages: DataFrame, profile: SiteProfile, options: CrawlOptions) -> None:
     """Writes the three files of each page, where a later ord overwrites an earlier one of the same name."""
     from corpusmill.operators.dedup import last_write
 
-    rows = page_records(pages, profile, F.lit(options.now)).withColumn("ord", pages["ord"] if "ord" in pages.columns else F.monotonically_increasing_id())
+    ordered = pages if "ord" in pages.columns else pages.withColumn("ord", F.monotonically_increasing_id())
+    rows = page_records(ordered, profile, F.lit(options.now), keep=("ord",))
     chosen = last_write(rows.where("filename is not null"), F.col("filename"))
     folder = options.progress_dir
 
