@@ -211,7 +211,7 @@ def stats_sql(source: str) -> str:
     return rf"""
     t AS (SELECT doc_id, coalesce(text, '') AS text FROM {source}),
     w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
-                 list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
     g AS (SELECT doc_id, i, [w[i], w[i + 1], w[i + 2]] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
     r AS (SELECT doc_id, g FROM g GROUP BY doc_id, g HAVING count(*) > 1),
     c AS (SELECT doc_id, count(*) AS n_repeat_words FROM (SELECT DISTINCT g.doc_id, g.i + k AS p FROM g JOIN r ON g.doc_id = r.doc_id AND g.g = r.g CROSS JOIN (VALUES (0), (1), (2)) v(k)) GROUP BY doc_id),
