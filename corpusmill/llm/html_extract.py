@@ -66,7 +66,7 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 #: The classifier: weights of a block's features, in favour of content.
 BIAS = -1.0
-IN_ARTICLE, IN_MAIN, IN_BOILER_TAG, IN_BOILER_NAME, IN_CONTENT_NAME = 6.0, 3.0, -12.0, -9.0, 2.5
+IN_ARTICLE, IN_MAIN, IN_BOILER_TAG, IN_BOILER_NAME, IN_CONTENT_NAME = 6.0, 3.0, -20.0, -20.0, 2.5
 LINKED, PARAGRAPH, HEADING, LONG, SENTENCE = -4.0, 1.5, 0.8, 1.5, 0.7
 BOILER_TAGS = frozenset("nav footer aside header menu dialog search".split())
 #: Smoothness: between neighbours with one parent, with the same section, and of other sections; to a section's hub.
@@ -102,7 +102,8 @@ class Element:
                 names.append(value)
         if names:
             text = re.sub(r"([a-z])([A-Z])", r"\1-\2", " ".join(names)).lower().replace("_", "-")
-            if BOILER.search(text):
+            # within an article, a header is the place of its title
+            if any(not (self.article and m[0] in ("header", "head", "body", "post", "entry")) for m in BOILER.finditer(text)):
                 self.boiler_name = True
             elif CONTENT.search(text):
                 self.content_name = True

@@ -32,6 +32,16 @@ def test_odd_markup():
     assert len(main_text("<article>" + "<p>word " * 50_000)) == 50_000 * 5 - 1
 
 
+def test_inside_articles():
+    said = "A long sentence of the article, which has enough words in it to look like its text."
+    page = f"""<body><main><article class="post"><header class="entry-header"><h1>Title</h1></header><div class="post-body"><p>{said}</p>
+    <div class="alert notice"><p>{said} Notice.</p></div><aside><p>{said} Aside.</p></aside><table><tr><td>Cell one<td>Cell two</table><pre>a
+  b</pre></div><div id="comment-list"><p>{said} Comment.</p></div><section class="comments"><ol><li><p>{said} Reply.</p></ol></section>
+    <footer>By someone</footer></article></main><div class="sidebar"><p>{said} Side.</p></div><div role="complementary">{said}</div></body>"""
+    assert main_text(page) == f"Title\n{said}\nCell one\nCell two\na b"
+    assert main_text(f"<div id=page><div class=header>Site</div><div class=story><h2>Head</h2><p>{said}</p><p>Short.</p><p>{said}</p></div><p hidden>x</p><div class=related-posts><a href=x>{said}</a></div></div>") == f"Head\n{said}\nShort.\n{said}"
+
+
 def cost(scores, edges, side):
     return sum(max(s, 0) if not x else max(-s, 0) for s, x in zip(scores, side, strict=True)) + sum(w for a, b, w in edges if side[a] != side[b])
 
