@@ -6,11 +6,16 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+T = TypeVar("T")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,12 +54,10 @@ def written(df: DataFrame, name: str, compression: str = "zstd", by: list[str] |
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(spark: SparkSession, *paths: str) -> None:
-    """Deletes scratch paths whatever store they are in."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all tables that operators have written in the shared folder, when no result that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/corpusmill")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(column) -> list[str]:
@@ -62,6 +65,29 @@ def texts(column) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+_STATE: dict = {}
+
+
+def worker_state(owner: str, key, make: Callable[[], T]) -> T:
+    """What an operator keeps in a worker between tasks: made once for a key.
+
+    A worker outlives an operator and serves the next one too, so it holds the state of one
+    owner at a time; another owner's goes before the new one is made.
+    """
+    if _STATE.get("of") != (owner, key):
+        _STATE.clear()
+        gc.collect()
+        _STATE["value"], _STATE["of"] = make(), (owner, key)
+    return _STATE["value"]
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in smaller ones, so that what Python makes of a batch stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -70,7 +96,10 @@ def settle(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of steps that are written and over.
 
     The cleaner acts when the driver's collector finds the plans unused, which may be long
-    after; a long chain of steps would keep all its shuffles on disk until then.
+    after; a long chain of steps would keep all its shuffles on disk until then. The
+    driver's Python lets go of its plans a moment after its own collection, hence twice.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
