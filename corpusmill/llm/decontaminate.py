@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import texts
+from corpusmill.llm.common import slices, texts, worker_state
 
 #: Positions that each mask keeps.
 MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 6), (0, 2, 3, 5, 6), (0, 1, 2, 5, 7), (0, 2, 4, 5, 8), (0, 3, 4, 6, 7))
@@ -56,12 +56,9 @@ class WordHashes(dict):
         return value
 
 
-_HASHES = WordHashes()
-
-
-def word_hashes(text: str) -> np.ndarray:
+def word_hashes(text: str, known: WordHashes) -> np.ndarray:
     chunks = text.split()
-    h = np.fromiter(map(_HASHES.__getitem__, chunks), np.uint64, len(chunks))
+    h = np.fromiter(map(known.__getitem__, chunks), np.uint64, len(chunks))
     return h[h != 0]
 
 
@@ -82,7 +79,8 @@ class Items:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
-        self.words = [word_hashes(t) for _, t in items]
+        self.known = WordHashes()
+        self.words = [word_hashes(t, self.known) for _, t in items]
         self.tables = []
         for m in range(len(MASKS)):
             found = [(seeds(w, m), k) for k, w in enumerate(self.words) if len(w) >= MIN_ITEM]
@@ -96,7 +94,7 @@ class Items:
 
     def overlaps(self, text: str) -> list[tuple[int, int, int]]:
         """(index of item, matching words, words in line) of each item found, at its best diagonal."""
-        h = word_hashes(text)
+        h = word_hashes(text, self.known)
         lines: set[tuple[int, int]] = set()
         for m, (keys, item, at, bits) in enumerate(self.tables):
             s = seeds(h, m)
@@ -135,14 +133,9 @@ def blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> It
         yield block
 
 
-_WORKER: dict = {}
-
-
 def _items(shared) -> Items:
     """The tables of a broadcast block, made once in each worker."""
-    if _WORKER.get("of") != shared.id:
-        _WORKER["of"], _WORKER["items"] = shared.id, Items(shared.value)
-    return _WORKER["items"]
+    return worker_state("decontaminate", shared.id, lambda: Items(shared.value))
 
 
 class Shared:
@@ -167,7 +160,7 @@ def find_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             table = _items(shared)
-            for batch in batches:
+            for batch in slices(batches):
                 out = []
                 for key, t in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True):
                     out += [(key, table.ids[k], m, n, len(table.words[k])) for k, m, n in table.overlaps(t)]
@@ -187,7 +180,7 @@ def clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             table = _items(shared)
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not table.overlaps(t) for t in texts(batch.column(at))], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.common import slices
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|--!>|\Z)"
     r"|<(?:[!?])[^>]*(?:>|\Z)"
@@ -365,7 +367,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     """page_id, url, text and n_chars of every page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 64):
             out = [main_text(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

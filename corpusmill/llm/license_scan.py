@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import texts, written
+from corpusmill.llm.common import slices, texts, written
 
 COSINE = 0.6
 #: Words on either side of an anchor in a long line.
@@ -165,7 +165,7 @@ def document_counts(docs: DataFrame, text: str = "text") -> tuple[dict[str, int]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for batch in batches:
+        for batch in slices(batches):
             counts[""] += batch.num_rows
             for t in texts(batch.column(0)):
                 counts.update(known.intersection(terms(t)))
@@ -184,7 +184,7 @@ def own_licences(docs: DataFrame, key: list[str], text: str = "text") -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(counts, n)
-        for batch in batches:
+        for batch in slices(batches):
             names, scores, mostly = [], [], []
             for t in texts(batch.column(len(key))):
                 name, score, said = None, 0.0, 0

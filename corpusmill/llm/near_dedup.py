@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import shuffle_partitions, written
+from corpusmill.llm.common import shuffle_partitions, slices, worker_state, written
 from corpusmill.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -71,15 +71,13 @@ class WordHashes(dict):
         return value
 
 
-_HASHES = WordHashes()
-
-
 def shingles(text: str) -> np.ndarray:
     """The sorted distinct 64-bit hashes of a text's shingles."""
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    known = worker_state("near_dedup", None, WordHashes)
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     k = min(WORDS, len(words))
     out = np.full(len(h) - k + 1, k, np.uint64)
     for i in range(k):
@@ -177,7 +175,7 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     """doc_id, n_shingles, print (of the set), sig of every row; the last two null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             counts, prints, sigs = [], [], []
             for t in batch.column(1).to_pylist():
                 found = shingles(t or "")
@@ -215,7 +213,7 @@ def verified_links(docs: DataFrame, groups: DataFrame, percent: int = PERCENT, d
     rows = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).join(groups, "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 64):
             found = [shingles(t or "") for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([len(s) for s in found], pa.int64()), pa.array([signature(s).astype("<u4").tobytes() for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())],
@@ -238,7 +236,7 @@ def verified_links(docs: DataFrame, groups: DataFrame, percent: int = PERCENT, d
             if links:
                 return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["u", "v"])
 
-        for batch in batches:
+        for batch in slices(batches, 64):
             for g, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and (g, i, j) != key:
                     if (out := flush()) is not None:

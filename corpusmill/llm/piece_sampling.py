@@ -35,17 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.common import slices, worker_state
+
 MARK = "▁"
 RANK_SHIFT = 100
 UNIT = re.compile(" +[^ ]*")
 SLICE_CHARS = 1_000_000
 #: Bounds of a worker's cache, and the characters of units that are filtered many at a time.
-UNITS, EDGES = 400_000, 8_000_000
+UNITS, EDGES = 300_000, 6_000_000
 SHORT = 48
 SCALE = 512.0
 NO_KEY = -(1 << 63)
 
-_WORKER: dict = {}
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)]
 
 
@@ -269,9 +270,7 @@ class Sampler:
 
 
 def sampler(path: str, alpha: float) -> Sampler:
-    if _WORKER.get("of") != (path, alpha):
-        _WORKER["of"], _WORKER["sampler"] = (path, alpha), Sampler(path, alpha)
-    return _WORKER["sampler"]
+    return worker_state("piece_sampling", (path, alpha), lambda: Sampler(path, alpha))
 
 
 def _slices(batch: list[str]) -> Iterator[tuple[int, int]]:
@@ -298,7 +297,7 @@ def encode(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, doc_id
     """doc_id and the drawn piece ids of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             raw = batch.column(1).to_pylist()
             for a, b, ids in _drawn(path, alpha, seed, batch.column(0), raw):
                 lists = [None if raw[a + k] is None else x for k, x in enumerate(ids)]
@@ -323,7 +322,7 @@ def digests(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, doc_i
     """doc_id, n_chars, n_pieces, pieces_crc32 and whether decoding gives the text again, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             raw = batch.column(1).to_pylist()
             draw = sampler(path, alpha)
             for a, b, ids in _drawn(path, alpha, seed, batch.column(0), raw):
@@ -350,7 +349,7 @@ def with_pieces(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, d
         raise ValueError(f"docs has a column {name}; give another name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1024):
             raw = batch.column(at).to_pylist()
             draw = sampler(path, alpha)
             for a, b, ids in _drawn(path, alpha, seed, batch.column(key), raw):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import texts
+from corpusmill.llm.common import slices, texts
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -72,7 +72,7 @@ def _alphabet(span: str) -> int:
     return size + 33 * any(33 <= ord(c) < 127 and not c.isalnum() for c in span) + 100 * any(ord(c) > 126 for c in span) or 1
 
 
-@lru_cache(100_000)
+@lru_cache(10_000)
 def guess_cost(value: str) -> float:
     """log10 of the guesses of the cheapest segmentation of value."""
     n, low = len(value), value.lower()
@@ -142,7 +142,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans = [[{"start": s, "end": e, "kind": k} for s, e, k in find_spans(t)] for t in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["doc_id", "spans"])
 
@@ -183,7 +183,7 @@ def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars
     at, count = names.index(text), names.index(n_chars) if n_chars in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             old = batch.column(at).to_pylist()
             new = [t and redact(t) for t in old]
             columns = list(batch.columns)

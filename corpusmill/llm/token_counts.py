@@ -20,6 +20,7 @@ empty result.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.chunks import ChunkCache, tokenizer
-from corpusmill.llm.common import texts
+from corpusmill.llm.common import slices, texts, worker_state
 
 HOT_ENTRIES = 16_384
 HOT_CHARS = 32
@@ -38,9 +39,6 @@ TASK_COUNTERS, TASK_TOP = 400_000, 16_384
 MERGE_TASKS = 16
 SLICE = 256
 
-_WORKER: dict = {}
-
-
 class Lengths:
     """Token counts of texts: the frequent tier, then this worker's cache, then the tokenizer."""
 
@@ -111,22 +109,17 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, doc_id: str = "do
     """doc_id, n_bytes, n_tokens, over_limit of each row of docs, for the tokenizer file at path."""
     chunks = frequent_chunks(docs, text)
     table = dict(zip(chunks, [len(e.ids) for e in tokenizer(path).encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)], strict=True)) if chunks else {}
-    hot = docs.sparkSession.sparkContext.broadcast(table)
+    hot, stamp = docs.sparkSession.sparkContext.broadcast(table), uuid.uuid4().hex
 
     def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = ("lengths", path, hot._id if hasattr(hot, "_id") else id(hot))
-        if _WORKER.get("key") != key:
-            _WORKER["key"], _WORKER["lengths"] = key, Lengths(path, hot.value)
-        lengths = _WORKER["lengths"]
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                ns = lengths.counts(texts(part.column(1)))
-                n_bytes = pc.fill_null(pc.cast(pc.binary_length(part.column(1)), pa.int64()), 0)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), n_bytes, pa.array(ns, pa.int64()), pa.array([n > limit for n in ns], pa.bool_())],
-                    names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
-                )
+        lengths = worker_state("token_counts", (path, stamp), lambda: Lengths(path, hot.value))
+        for part in slices(batches, SLICE):
+            ns = lengths.counts(texts(part.column(1)))
+            n_bytes = pc.fill_null(pc.cast(pc.binary_length(part.column(1)), pa.int64()), 0)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), n_bytes, pa.array(ns, pa.int64()), pa.array([n > limit for n in ns], pa.bool_())],
+                names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
+            )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(lookup, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

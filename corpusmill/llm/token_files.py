@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.chunks import ChunkCache, tokenizer
-from corpusmill.llm.common import shuffle_partitions, texts
+from corpusmill.llm.common import shuffle_partitions, slices, texts, worker_state
 
 MAGIC = b"DAC1"
 DIRECTORY_BITS = 512
@@ -40,8 +40,6 @@ SEGMENT_TOKENS = 1 << 20
 SLICE = 128
 NO_ID = -(1 << 63)
 
-_WORKER: dict = {}
-
 
 def _directory(bits: np.ndarray) -> np.ndarray:
     """Ones before each block of DIRECTORY_BITS bits."""
@@ -184,15 +182,12 @@ def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, doc_
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if _WORKER.get("path") != tokenizer_path:
-            _WORKER["path"], _WORKER["encoder"] = tokenizer_path, Encoder(tokenizer_path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                keys = part.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
-                ids = [x + end for x in _WORKER["encoder"].encode(texts(part.column(1)))]
-                packed = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if narrow else x for x in ids]
-                yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, keys, side="right").astype(np.int32)), part.column(0), pa.array(packed, pa.binary())], names=["bucket", "doc_id", "ids"])
+        encoder = worker_state("token_files", tokenizer_path, lambda: Encoder(tokenizer_path))
+        for part in slices(batches, SLICE):
+            keys = part.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            ids = [x + end for x in encoder.encode(texts(part.column(1)))]
+            packed = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if narrow else x for x in ids]
+            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, keys, side="right").astype(np.int32)), part.column(0), pa.array(packed, pa.binary())], names=["bucket", "doc_id", "ids"])
 
     narrow = max(tokenizer(tokenizer_path).get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16
     width = "<u2" if narrow else "<u4"
