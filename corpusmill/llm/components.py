@@ -15,8 +15,10 @@ def _digest(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """node, component of every end of an edge (u, v: long); component is the smallest node reachable.
 
-    Each step keeps minima alone, by aggregates that combine before the shuffle, and each
-    round is a written table, so that no lineage grows and lost executors cost one round.
+    Each step keeps minima alone, by aggregates that combine before the shuffle. Steps are
+    written tables, so that no lineage grows and lost executors cost one step, and so that
+    the joins stand by themselves: the edges of a hub with very many neighbours are then
+    split among tasks as skewed, which they aren't where a join shares an aggregate's shuffle.
     The number of rounds grows with the logarithm of the longest path. Only a count and a
     checksum go to the driver. Loops, repeated edges and an empty table are allowed.
     """
@@ -24,9 +26,9 @@ def components(edges: DataFrame) -> DataFrame:
     seen = _digest(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m")), "least")
+        large = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        lowest = written(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
         small = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(small.union(lowest).where("u > v").distinct(), "edges")
         found = _digest(now)

@@ -203,7 +203,8 @@ def banded(classes: DataFrame) -> DataFrame:
 def candidate_groups(classes: DataFrame) -> DataFrame:
     """node, group of every class that shares a band with another one."""
     bands = banded(classes)
-    heads = bands.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
+    # written, so that the join below isn't tied to the aggregate and can split a hot bucket
+    heads = written(bands.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head"), "heads")
     stars = bands.join(heads, "key").where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
     return components(stars).select("node", F.col("component").alias("group"))
 
@@ -221,7 +222,7 @@ def verified_links(docs: DataFrame, groups: DataFrame, percent: int = PERCENT, d
             )
 
     members = written(rows.select("group", "node", "text").mapInArrow(sets, "group long, node long, n long, sig binary, members binary").where("n > 0"), "sets")
-    sizes = members.groupBy("group").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_MEMBERS)).cast("int").alias("blocks"))
+    sizes = written(members.groupBy("group").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_MEMBERS)).cast("int").alias("blocks")), "sizes")
     dealt = members.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).select("group", "i", "j", "block", "node", "sig", "members")
