@@ -3,8 +3,9 @@
 Every statistic is a built-in function of the whole text, in one projection with no
 shuffle, no Python and no UDF. The rules on top are a CASE whose branches are ordered by
 rejection per cost, so that a row leaves at the first rule that rejects it. Cost and
-selectivity come from a bounded sample (SAMPLE_ROWS rows; it sets the order alone: the
-verdict is the same in any order, because a row is kept only if no rule rejects it).
+selectivity come from a bounded sample (SAMPLE_ROWS rows of SAMPLE_BYTES at most; it sets
+the order alone: the verdict is the same in any order, because a row is kept only if no
+rule rejects it).
 
 Words are runs of characters other than U+0020 and U+0009-U+000D. A repeated word is one
 inside a 3-word window found twice or more in the text. Windows are compared by a 64-bit
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SAMPLE_ROWS = 2_000
+SAMPLE_ROWS, SAMPLE_BYTES = 400, 1 << 20
 
 
 def count_of(text: Column, characters: str) -> Column:
@@ -143,9 +144,10 @@ def rule_order(docs: DataFrame, rules: list[Rule], text: str = "text", rows: int
     A rule's seconds are what the sample takes with it less what it takes with none, so
     that each pays for the statistics it alone needs.
     """
-    sample = docs.select(F.col(text).alias("__sampled")).limit(rows).persist()
-    n = max(sample.count(), 1)
-    stats = with_statistics(sample, "__sampled")
+    # a limit that is collected reads as few files as it needs; one that is kept would read from all
+    taken = docs.select(F.col(text).alias("__sampled")).where(F.octet_length("__sampled") <= SAMPLE_BYTES).limit(rows).collect()
+    n = max(len(taken), 1)
+    stats = with_statistics(docs.sparkSession.createDataFrame([(r[0],) for r in taken], "__sampled string").coalesce(1), "__sampled")
 
     def timed(test: Column) -> tuple[float, float]:
         best, share = float("inf"), 0.0
@@ -155,14 +157,11 @@ def rule_order(docs: DataFrame, rules: list[Rule], text: str = "text", rows: int
             best = min(best, time.perf_counter() - began)
         return best, share
 
-    try:
-        nothing, _ = timed(F.lit(False))
-        found = []
-        for rule in rules:
-            seconds, share = timed(rule.rejects)
-            found.append((rule, max(seconds - nothing, 1e-3) / n, share))
-    finally:
-        sample.unpersist()
+    nothing, _ = timed(F.lit(False))
+    found = []
+    for rule in rules:
+        seconds, share = timed(rule.rejects)
+        found.append((rule, max(seconds - nothing, 1e-3) / n, share))
     return sorted(found, key=lambda x: (-x[2] / x[1], x[0].name))
 
 
