@@ -217,7 +217,7 @@ def scan(docs: DataFrame, path: Column, key: list[str], text: str = "text") -> D
         F.concat(F.array(F.lit("")), F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/")))
     )
     pairs = dirs.select(F.col("__dir").alias("__below"), F.posexplode(above).alias("depth", "__dir"))
-    nearest = pairs.join(by_dir, "__dir").groupBy("__below").agg(F.max_by("got", "depth").alias("got"))
+    nearest = written(pairs.join(by_dir, "__dir").groupBy("__below").agg(F.max_by("got", "depth").alias("got")), "nearest")
     out = own.join(nearest, (own["__dir"] == nearest["__below"]) & own["license"].isNull(), "left")
     origin = F.when(F.col("license").isNotNull(), "own").when(F.col("got").isNotNull(), "inherited").otherwise("none")
     return out.select(*key, F.col("__path").alias("path"), F.coalesce("license", "got.license").alias("license"), F.coalesce("score", "got.score").alias("score"), origin.alias("origin"))
