@@ -40,9 +40,9 @@ from corpusmill.llm.common import slices, worker_state
 MARK = "▁"
 RANK_SHIFT = 100
 UNIT = re.compile(" +[^ ]*")
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 #: Bounds of a worker's cache, and the characters of units that are filtered many at a time.
-UNITS, EDGES = 300_000, 6_000_000
+UNITS, EDGES = 250_000, 4_500_000
 SHORT = 48
 SCALE = 512.0
 NO_KEY = -(1 << 63)
@@ -198,7 +198,7 @@ class Sampler:
         node, bound, length, piece = edges
         n, m = self.edges, self.edges + len(node)
         if m > len(self.keys):
-            room = max(2 * len(self.keys), m)
+            room = max(len(self.keys) * 3 // 2, m)
             self.keys, self.lengths, self.ids = (np.concatenate([x[:n], np.empty(room - n, x.dtype)]) for x in (self.keys, self.lengths, self.ids))
         self.keys[n:m] = ((node + self.nodes) << 32) + bound
         self.lengths[n:m], self.ids[n:m] = length, piece
@@ -342,11 +342,14 @@ def digests(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, doc_i
 
 
 def with_pieces(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, doc_id: str = "doc_id", text: str = "text", name: str = "pieces") -> DataFrame:
-    """docs with the drawn ids as a further column, and text as decoded from them."""
+    """docs with the drawn ids as a further column, and text as decoded from them.
+
+    Where docs has a column of that name, the new one gets underscores behind it.
+    """
+    while name in docs.columns:
+        name += "_"
     key, at = docs.columns.index(doc_id), docs.columns.index(text)
     schema = docs.withColumn(name, F.lit(None).cast("array<int>")).schema
-    if name in docs.columns:
-        raise ValueError(f"docs has a column {name}; give another name")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):

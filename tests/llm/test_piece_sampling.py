@@ -73,3 +73,4 @@ def test_tables(spark):
     full = with_pieces(df, PATH, 9)
     assert full.columns == [*df.columns, "pieces"] and sorted(full.select(df.columns).collect(), key=str) == sorted(df.collect(), key=str)
     assert digests(df.limit(0), PATH).count() == 0
+    assert with_pieces(full, PATH, 9).columns == [*full.columns, "pieces_"] and with_pieces(full, PATH, 9).where("pieces is not distinct from pieces_").count() == len(rows)
