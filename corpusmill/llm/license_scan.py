@@ -3,7 +3,8 @@
 Passages of a text that speak of rights (lines, or windows around the words that do) are
 compared with the statements of each licence as TF-IDF vectors; the inverse document
 frequencies are counted over all texts. The best cosine of at least COSINE names the
-licence of a file. A licence file, by its name or because its passages are most of its
+licence of a file; that rights are reserved counts only where no licence is stated, as
+licences themselves say so next to their copyright lines. A licence file, by its name or because its passages are most of its
 text, names the licence of its directory. A file without a licence of its own takes that of
 the nearest directory above it that has one, by joins on paths: each distinct directory
 is joined with its own ancestors, and files with their directory, so that no group of
@@ -38,6 +39,9 @@ REACH = 20
 #: Share of a text's words in passages of one licence from which it is a licence file.
 MOSTLY = 0.5
 
+#: What a text says that keeps its rights; a licence said anywhere in it goes before this.
+RESERVED = "proprietary"
+
 #: Statements of each licence, as headers and licence files have them.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
@@ -70,11 +74,14 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
-    ("proprietary", "Copyright. All rights reserved. No part may be reproduced without permission."),
+    (RESERVED, "Copyright. All rights reserved. No part may be reproduced without permission."),
+    (RESERVED, "Copyright. All rights reserved."),
+    (RESERVED, "All rights reserved."),
 )
 TERM = re.compile(r"[a-z][a-z0-9]*(?:-[a-z0-9]+)*|[0-9]+(?:\.[0-9]+)*(?:-[a-z]+)?")
 VERSION = re.compile(r"\b(?:version|v)\.?\s*([0-9]+(?:\.[0-9]+)*)")
 ANCHOR = re.compile(r"licen[sc]|copyright|spdx|public domain|rights reserved|permission|redistribut|creative commons|\bcc[ -]?(?:by|0)\b|©", re.I)
+SENTENCE = re.compile(r"(?<=[.!?;])\s+")
 HINTS = ("licen", "copyright", "spdx", "public domain", "rights reserved", "permission", "redistribut", "creative commons", "cc by", "cc-by", "cc0", "©")
 LICENCE_FILE = r"(?i)^(?:un)?licen[sc]es?(?:[-._].*)?$|^copying(?:[-._].*)?$|^copyright(?:[-._].*)?$"
 
@@ -119,7 +126,8 @@ class Templates:
 def passages(text: str) -> list[list[str]]:
     """The terms of each passage: a line with an anchor, or the windows around the anchors of a long one.
 
-    Consecutive lines with anchors also count together, as wrapped statements do.
+    Consecutive lines with anchors also count together, as wrapped statements do, and the
+    sentences of a line with several each count alone, as "Copyright 2024 X. All rights reserved." needs.
     """
     low = text.lower()
     if not any(h in low for h in HINTS):
@@ -136,6 +144,9 @@ def passages(text: str) -> list[list[str]]:
         if len(words) <= 2 * REACH:
             out.append(terms(line))
             run.append(out[-1])
+            sentences = SENTENCE.split(line.strip())
+            if len(sentences) > 1:
+                out += [terms(x) for x in sentences if ANCHOR.search(x)]
             continue
         starts, at = [], 0
         for w in words:
@@ -188,10 +199,11 @@ def own_licences(docs: DataFrame, key: list[str], text: str = "text") -> DataFra
             names, scores, mostly = [], [], []
             for t in texts(batch.column(len(key))):
                 name, score, said = None, 0.0, 0
+                grant = False  # whether name is a licence, which goes before reserved rights
                 for p in passages(t):
                     found, s = templates.best(p)
-                    if s >= COSINE and s > score + 1e-12:
-                        name, score, said = found, s, len(p)
+                    if s >= COSINE and ((found != RESERVED) > grant or (found != RESERVED) == grant and s > score + 1e-12):
+                        name, score, said, grant = found, s, len(p), found != RESERVED
                 names.append(name)
                 scores.append(round(score, 9) if name else None)
                 mostly.append(bool(name) and said >= MOSTLY * len(terms(t)))

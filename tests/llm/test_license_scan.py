@@ -69,3 +69,20 @@ def test_documents(spark):
 def test_edges(spark):
     df = spark.createDataFrame([(None, None, None, "q"), (1, "", "s", "q"), (1, "", "s", "q"), (2, "license " * 50_000, "s", "q")], "doc_id long, text string, source string, path string")
     assert op10(df).count() == 4 and op10(df.limit(0)).count() == 0
+
+
+def test_reserved_rights(spark):
+    prose = "some ordinary words about nothing in particular that go on for a while"
+    said = ["All rights reserved.", "Copyright. All rights reserved.", "Copyright 2024 Acme Inc. All rights reserved.", "(c) Acme. All Rights Reserved"]
+    rows = [(f"a/{k}", f"{prose}.\n{line}\n{prose}") for k, line in enumerate(said)]
+    rows += [("b/bsd", f"{prose}\nCopyright 2024 Acme Inc. All rights reserved.\nReleased under the BSD 3-Clause License.\n{prose}"), ("b/one", f"{prose}\nAll rights reserved. Released under the MIT License.\n{prose}"), ("c/plain", prose)]
+    got = {r.path: (r.license, r.origin) for r in scan(spark.createDataFrame(rows, "p string, text string"), F.col("p"), ["p"]).collect()}
+    assert all(got[f"a/{k}"] == ("proprietary", "own") for k in range(len(said)))
+    assert got["b/bsd"] == ("BSD-3-Clause", "own") and got["b/one"] == ("MIT", "own") and got["c/plain"] == (None, "none")
+
+
+def test_reserved_rights_in_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r.doc_id: r for r in op10(docs).collect()}
+    only = [r.doc_id for r in docs.collect() if "All rights reserved." in r.text and not any(line in r.text for line in LINES.values())]
+    assert only and all((got[i].license, got[i].origin) == ("proprietary", "own") for i in only)
