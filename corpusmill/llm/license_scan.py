@@ -3,7 +3,7 @@
 Passages of a text that speak of rights (lines, or windows around the words that do) are
 compared with the statements of each licence as TF-IDF vectors; the inverse document
 frequencies are counted over all texts. The best cosine of at least COSINE names the
-licence of a file; that rights are reserved counts only where no licence is stated, as
+licence of a file; an SPDX header names it exactly, with score 1. That rights are reserved counts only where no licence is stated, as
 licences themselves say so next to their copyright lines. A licence file, by its name or because its passages are most of its
 text, names the licence of its directory. A file without a licence of its own takes that of
 the nearest directory above it that has one, by joins on paths: each distinct directory
@@ -36,7 +36,7 @@ from corpusmill.llm.common import slices, texts, written
 COSINE = 0.6
 #: Words on either side of an anchor in a long line.
 REACH = 20
-#: Share of a text's words in passages of one licence from which it is a licence file.
+#: Share of a text's words in passages from which it is a licence file.
 MOSTLY = 0.5
 
 #: What a text says that keeps its rights; a licence said anywhere in it goes before this.
@@ -82,6 +82,10 @@ TERM = re.compile(r"[a-z][a-z0-9]*(?:-[a-z0-9]+)*|[0-9]+(?:\.[0-9]+)*(?:-[a-z]+)
 VERSION = re.compile(r"\b(?:version|v)\.?\s*([0-9]+(?:\.[0-9]+)*)")
 ANCHOR = re.compile(r"licen[sc]|copyright|spdx|public domain|rights reserved|permission|redistribut|creative commons|\bcc[ -]?(?:by|0)\b|©", re.I)
 SENTENCE = re.compile(r"(?<=[.!?;])\s+")
+#: An SPDX header; its identifiers, less operators and exceptions, name licences exactly.
+SPDX = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
+SPDX_ID = re.compile(r"(?<![\w.+-])(?!(?:and|or|with)(?![\w.-]))[a-z0-9][a-z0-9.-]*\+?", re.I)
+SPDX_WITH = re.compile(r"\bwith\s+[\w.-]+", re.I)
 HINTS = ("licen", "copyright", "spdx", "public domain", "rights reserved", "permission", "redistribut", "creative commons", "cc by", "cc-by", "cc0", "©")
 LICENCE_FILE = r"(?i)^(?:un)?licen[sc]es?(?:[-._].*)?$|^copying(?:[-._].*)?$|^copyright(?:[-._].*)?$"
 
@@ -92,6 +96,19 @@ def terms(text: str) -> list[str]:
     return [re.sub(r"(?:\.0)+$", "", t) if t[0].isdigit() else t for t in TERM.findall(low)]
 
 
+IDENTIFIERS = {name.lower(): name for name, _ in TEMPLATES if name != RESERVED}
+
+
+def spdx(text: str) -> str | None:
+    """The licence of the first SPDX header of text: the first operand that has templates, or the first as written."""
+    m = SPDX.search(text)
+    if not m:
+        return None
+    expression = SPDX_WITH.sub("", re.split(r"\*/|-->|\s[#;*]", m[1])[0])
+    found = [re.sub(r"(?i)(?:-only|-or-later|\+)$", "", x).rstrip(".") for x in SPDX_ID.findall(expression)]
+    return next((IDENTIFIERS[x.lower()] for x in found if x.lower() in IDENTIFIERS), found[0] if found else None)
+
+
 VOCABULARY = sorted({t for _, s in TEMPLATES for t in terms(s)})
 
 
@@ -170,6 +187,39 @@ def passages(text: str) -> list[list[str]]:
     return [p for p in out if p]
 
 
+def passage_share(text: str) -> float:
+    """The share of a text's words that stand in a sentence within REACH of its anchors, each word once.
+
+    Wrapped lines are one sentence; a blank line, or a line that begins like a sentence, ends it.
+    """
+    low = text.lower()
+    if not any(h in low for h in HINTS):
+        return 0.0
+    sentences: list[list[str]] = [[]]
+    for line in text.split("\n"):
+        words = line.split()
+        if not words or words[0][0].isupper() and not words[0].isupper():
+            sentences.append([])
+        for w in words:
+            sentences[-1].append(w)
+            if w.endswith((".", "!", "?", ";")):
+                sentences.append([])
+    total = said = 0
+    for words in sentences:
+        total += len(words)
+        starts, at = [], 0
+        for w in words:
+            starts.append(at)
+            at += len(w) + 1
+        until = 0
+        for m in ANCHOR.finditer(" ".join(words)):
+            k = bisect_right(starts, m.start()) - 1
+            begin, end = max(until, k - REACH), min(len(words), k + REACH + 1)
+            said += max(0, end - begin)
+            until = max(until, end)
+    return said / total if total else 0.0
+
+
 def document_counts(docs: DataFrame, text: str = "text") -> tuple[dict[str, int], int]:
     """In how many of all texts each template term stands, and the number of texts."""
     known = frozenset(VOCABULARY)
@@ -188,7 +238,7 @@ def document_counts(docs: DataFrame, text: str = "text") -> tuple[dict[str, int]
 
 
 def own_licences(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """key columns, license, score and mostly (whether the text is mostly its statement) of every row."""
+    """key columns, license, score and mostly (whether passages on rights are most of the text) of every row."""
     counts, n = document_counts(docs, text)
     kinds = docs.select(*key).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", license string, score double, mostly boolean"
@@ -198,15 +248,16 @@ def own_licences(docs: DataFrame, key: list[str], text: str = "text") -> DataFra
         for batch in slices(batches):
             names, scores, mostly = [], [], []
             for t in texts(batch.column(len(key))):
-                name, score, said = None, 0.0, 0
-                grant = False  # whether name is a licence, which goes before reserved rights
-                for p in passages(t):
+                name = spdx(t)
+                score = 1.0 if name else 0.0
+                grant = bool(name)  # whether name is a licence, which goes before reserved rights
+                for p in passages(t) if not name else ():
                     found, s = templates.best(p)
                     if s >= COSINE and ((found != RESERVED) > grant or (found != RESERVED) == grant and s > score + 1e-12):
-                        name, score, said, grant = found, s, len(p), found != RESERVED
+                        name, score, grant = found, s, found != RESERVED
                 names.append(name)
                 scores.append(round(score, 9) if name else None)
-                mostly.append(bool(name) and said >= MOSTLY * len(terms(t)))
+                mostly.append(bool(name) and passage_share(t) >= MOSTLY)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(mostly, pa.bool_())], names=[*key, "license", "score", "mostly"])
 
     return docs.select(*key, F.col(text)).mapInArrow(run, schema)

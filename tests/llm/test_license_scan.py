@@ -86,3 +86,64 @@ def test_reserved_rights_in_documents(spark):
     got = {r.doc_id: r for r in op10(docs).collect()}
     only = [r.doc_id for r in docs.collect() if "All rights reserved." in r.text and not any(line in r.text for line in LINES.values())]
     assert only and all((got[i].license, got[i].origin) == ("proprietary", "own") for i in only)
+
+
+SPDX = {"Apache-2.0": "Apache-2.0", "GPL-3.0-only": "GPL-3.0", "GPL-2.0+": "GPL-2.0", "LGPL-2.1-or-later": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "bsd-3-clause": "BSD-3-Clause", "(Zlib OR MIT)": "MIT", "Zlib": "Zlib", "GPL-2.0-only WITH Classpath-exception-2.0": "GPL-2.0", "MIT */": "MIT"}
+GRANT = """Copyright (c) 2024 Acme Inc.
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+BSD = """Copyright (c) 2024, Acme Inc. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def test_spdx_and_whole_licences(spark):
+    prose = "Some ordinary words about nothing in particular that go on for a while. " * 10
+    rows = [(f"s/{k}", f"// SPDX-License-Identifier: {line}\n{prose}") for k, line in enumerate(SPDX)]
+    for name, text in (("m", GRANT), ("b", BSD)):
+        rows += [(f"{name}/1", text), (f"{name}/2", prose), (f"{name}1/1", " ".join(text.split())), (f"{name}1/2", prose)]
+    rows += [("p/1", f"{prose}\n{LINES['MIT']}\n{prose}"), ("p/2", prose)]
+    got = {r.path: (r.license, r.origin) for r in scan(spark.createDataFrame(rows, "p string, text string"), F.col("p"), ["p"]).collect()}
+    assert [got[f"s/{k}"] for k in range(len(SPDX))] == [(x, "own") for x in SPDX.values()]
+    for d, name in (("m", "MIT"), ("m1", "MIT"), ("b", "BSD"), ("b1", "BSD")):
+        assert got[f"{d}/1"][0].startswith(name) and got[f"{d}/2"] == (got[f"{d}/1"][0], "inherited"), d
+    assert got["p/1"] == ("MIT", "own") and got["p/2"] == (None, "none")
