@@ -45,7 +45,8 @@ TOKEN = re.compile(
     re.S,
 )
 BROKEN_TAG = re.compile(r"</?[a-zA-Z][^>]*(?:>|\Z)", re.S)
-ATTR = re.compile(r"""(class|id|role|aria-label|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+ATTR = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+ATTRS_READ = frozenset("class id role aria-label itemprop hidden aria-hidden style".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is raw up to their end tag, and those whose text is no text of the page.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
@@ -70,13 +71,16 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 BIAS = -1.0
 IN_ARTICLE, IN_MAIN, IN_BOILER_TAG, IN_BOILER_NAME, IN_CONTENT_NAME = 6.0, 3.0, -20.0, -20.0, 2.5
 LINKED, PARAGRAPH, HEADING, LONG, SENTENCE = -4.0, 1.5, 0.8, 1.5, 0.7
+#: Share of a page's text from which its largest article, or an element around it, is the page's core.
+ARTICLE_SHARE, WRAPPER_SHARE = 1 / 3, 1 / 2
+LONG_CHARS = 80
 BOILER_TAGS = frozenset("nav footer aside header menu dialog search".split())
 #: Smoothness: between neighbours with one parent, with the same section, and of other sections; to a section's hub.
 SAME_PARENT, SAME_SECTION, APART, HUB = 0.8, 0.4, 0.05, 0.3
 
 
 class Element:
-    __slots__ = ("tag", "parent", "section", "article", "main", "boiler_tag", "boiler_name", "content_name", "unseen", "inside_header")
+    __slots__ = ("tag", "parent", "section", "article", "main", "boiler_tag", "content_name", "unseen", "core", "named_boiler", "mark", "boiler", "size")
 
     def __init__(self, tag: str, parent: Element | None, attrs: str):
         self.tag, self.parent = tag, parent
@@ -86,31 +90,78 @@ class Element:
         # a header of an article holds its title; any other one is the page's
         boiler = tag in BOILER_TAGS and not (tag == "header" and p and p.article)
         self.boiler_tag = boiler or bool(p and p.boiler_tag)
-        self.boiler_name, self.content_name = bool(p and p.boiler_name), bool(p and p.content_name)
+        self.content_name = bool(p and p.content_name)
+        self.core = tag if tag in ("main", "article") else ""
+        self.named_boiler = self.boiler = False
+        self.size = 0
         self.unseen = tag in UNSEEN or bool(p and p.unseen)
         if attrs and tag not in ("html", "body", "meta", "link"):
             self.named(attrs)
+        # the nearest element, this one or around it, that is a core or has a boilerplate name
+        self.mark = self if self.core or self.named_boiler else p.mark if p else None
         self.section = p.section if p and tag not in ("article", "main", "section", "nav", "aside", "footer", "header", "div", "body", "table", "ul", "ol") else self
 
+    @property
+    def boiler_name(self) -> bool:
+        return bool(self.mark and self.mark.boiler)
+
     def named(self, attrs: str) -> None:
         names = []
         for m in ATTR.finditer(attrs):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if key not in ATTRS_READ:
+                continue
             if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDDEN.search(value):
                 self.unseen = True
             elif key == "role" and value.lower() in ("main", "article"):
-                self.main = True
-            elif key != "style":
+                self.main, self.core = True, value.lower()
+            elif key not in ("style", "hidden", "aria-hidden"):
                 names.append(value)
         if names:
             text = re.sub(r"([a-z])([A-Z])", r"\1-\2", " ".join(names)).lower().replace("_", "-")
             # within an article, a header is the place of its title
             if any(not (self.article and m[0] in ("header", "head", "body", "post", "entry")) for m in BOILER.finditer(text)):
-                self.boiler_name = True
+                self.named_boiler = True
             elif CONTENT.search(text):
                 self.content_name = True
 
 
+def weigh_names(marks: list[Element], found: list[Block]) -> None:
+    """Whether the boilerplate names of marks count, outer elements first.
+
+    A name on an element around the core of its page, or on the core, is that of a layout. The
+    core is each main; without one, the largest article that is a good part of the page's
+    text; without that, where nothing long is free of boilerplate names, each element that
+    holds most of the text.
+    """
+    for m in marks:
+        m.boiler = m.named_boiler or bool(m.parent and m.parent.boiler_name)
+    if not any(m.named_boiler for m in marks):
+        return
+    total = 0
+    for b in found:
+        if not b.element.boiler_tag:
+            total += len(b.text)
+            if b.element.mark:
+                b.element.mark.size += len(b.text)
+    for m in reversed(marks):
+        if m.parent and m.parent.mark:
+            m.parent.mark.size += m.size
+    core = [m for m in marks if m.core == "main" and m.size]
+    if not core:
+        core = [max((m for m in marks if m.core == "article" and m.size >= ARTICLE_SHARE * total > 0), key=lambda m: m.size, default=None)]
+    if core == [None]:
+        free = any(len(b.text) >= LONG_CHARS and not b.element.boiler_tag and not b.element.boiler_name and b.linked < 0.5 for b in found)
+        core = [] if free else [m for m in marks if m.named_boiler and m.size > WRAPPER_SHARE * total]
+    layout: set[int] = set()
+    for m in core:
+        while m and id(m) not in layout:
+            layout.add(id(m))
+            m = m.parent.mark if m.parent else None
+    for m in marks:
+        m.boiler = m.named_boiler and id(m) not in layout or bool(m.parent and m.parent.boiler_name)
+
+
 @dataclass
 class Block:
     text: str
@@ -122,6 +173,7 @@ def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order."""
     root = Element("html", None, "")
     here, out = root, []
+    marks: list[Element] = []
     parts: list[str] = []
     links = 0  # characters of the parts that stand in links
     holder = root
@@ -226,10 +278,13 @@ def blocks(html: str) -> list[Block]:
                 pop_to(e.parent)
             anchors += 1
         here = Element(name, here, groups["attrs"])
+        if here.mark is here:
+            marks.append(here)
         if name in RAW:
             end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*>", re.I).search(html, at)
             here, at = here.parent, end.end() if end else n
     flush()
+    weigh_names(marks, out)
     return out
 
 
@@ -239,7 +294,7 @@ def score(block: Block) -> float:
     s = BIAS + LINKED * block.linked
     s += IN_ARTICLE * e.article + IN_MAIN * e.main + IN_BOILER_TAG * e.boiler_tag + IN_BOILER_NAME * e.boiler_name + IN_CONTENT_NAME * e.content_name
     s += PARAGRAPH * (e.tag in ("p", "pre", "blockquote", "dd", "td", "li")) + HEADING * (e.tag in HEADINGS)
-    return s + LONG * (len(text) >= 80) + SENTENCE * (text[-1] in ".!?:;\"')”»")
+    return s + LONG * (len(text) >= LONG_CHARS) + SENTENCE * (text[-1] in ".!?:;\"')”»")
 
 
 def min_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:

@@ -78,3 +78,21 @@ def test_table(spark):
     df = spark.createDataFrame([(1, "u", None, "x"), (None, None, "<article><p>a", "y"), (1, "u", None, "x")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, extract(df).collect()), key=str) == sorted([(1, "u", "", 0), (1, "u", "", 0), (None, None, "a", 1)], key=str)
     assert extract(df.limit(0)).count() == 0
+
+
+def test_names_of_layouts():
+    said = "A long sentence of the article, which has enough words in it to look like its text."
+    side = f'<div class="sidebar"><p>{said} Side.</p></div>'
+    for name in ("content-sidebar-wrap", "has-sidebar", "overflow-hidden", "no-comments", "search-enabled"):
+        assert main_text(f'<div class="{name}"><article><p>{said}</p></article>{side}</div>') == said
+        assert main_text(f'<div class="{name}"><main><p>{said}</p></main></div>{side}') == said
+        assert main_text(f'<div class="{name}"><p>{said}</p><p>{said}</p>{side}</div>') == f"{said}\n{said}"
+    assert main_text(f'<article class="post tag-legal category-reviews"><p>{said}</p></article>{side}') == said
+    assert main_text(f'<main><p>{said}</p></main><div class="related"><article><p>{said} Other.</p></article></div>') == said
+    assert main_text(f'<div class="content"><p>{said}</p></div><div id="comments"><p>{said * 9}</p></div>') == said
+
+
+def test_values_are_no_attributes():
+    for attr in ('href="/hidden-gems"', 'title="The hidden garden"', 'data-state="hidden"', 'data-class="sidebar"', "title='id=menu'"):
+        assert main_text(f"<article><p {attr}>One.</p></article>") == "One.", attr
+    assert main_text('<article><p title="x" hidden>One.</p><p HIDDEN>Two.<p class=ad>Three.</article>') == ""
