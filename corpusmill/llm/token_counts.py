@@ -1,8 +1,8 @@
 """Token counts by a two-tier lookup of chunk lengths, with no shuffle of pre-tokens.
 
 A byte-level BPE never merges across the boundary of a pre-token, and a single ASCII
-space between two other characters always begins one. The unit looked up is therefore
-the chunk between two spaces: one or a few whole pre-tokens whose lengths add up.
+space between two characters that are not white space always begins one. The unit looked
+up is therefore the chunk between two such spaces: one or a few whole pre-tokens whose lengths add up.
 
 Tier one is a compact table of the most frequent chunks of the whole corpus. It is made
 by one pass in which each task keeps bounded counters and hands on one row; only those
@@ -10,8 +10,9 @@ summaries move. It has at most HOT_ENTRIES entries of at most HOT_CHARS characte
 its broadcast has a fixed bound (about 2 MB) at any corpus size. Tier two is a bounded
 cache in each worker; what misses both is encoded by the tokenizer itself.
 
-Texts with two adjacent spaces, where a space may not begin a pre-token, are encoded
-whole. Results never depend on what either tier holds.
+A space that touches other white space (another space, a line feed, a no-break space) may
+not begin a pre-token, so no text is cut there; the chunk goes on to the next space that
+does. Results never depend on what either tier holds.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; a null doc_id is passed
 on; repeated rows each give a row; other columns are not read; an empty table gives an
@@ -20,6 +21,7 @@ empty result.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -39,6 +41,10 @@ TASK_COUNTERS, TASK_TOP = 400_000, 16_384
 MERGE_TASKS = 16
 SLICE = 256
 
+#: A space that begins a pre-token, whatever stands around it.
+CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
 class Lengths:
     """Token counts of texts: the frequent tier, then this worker's cache, then the tokenizer."""
 
@@ -50,14 +56,15 @@ class Lengths:
         return [len(e.ids) for e in self.tok.encode_batch_fast(strings, add_special_tokens=False)]
 
     def counts(self, batch: list[str]) -> list[int]:
-        split = [t.split(" ") if "  " not in t else None for t in batch]
-        known = self.chunks.known({c for s in split if s for c in s[1:]})
-        first = list({s[0] for s in split if s})
+        split = [t.split(" ") for t in batch]
+        touching = {c for c in set().union(*split) if not c or c[0].isspace() or c[-1].isspace()}
+        if touching:
+            split = [s if touching.isdisjoint(s) else CUT.split(t) for t, s in zip(batch, split, strict=True)]
+        known = self.chunks.known({c for s in split for c in s[1:]})
+        first = list({s[0] for s in split})
         heads = dict(zip(first, self.encoded(first), strict=True)) if first else {}
-        whole = [t for t, s in zip(batch, split, strict=True) if s is None]
-        wholes = iter(self.encoded(whole) if whole else ())
         get = known.__getitem__
-        return [next(wholes) if s is None else heads[s[0]] + sum(map(get, s[1:])) for s in split]
+        return [heads[s[0]] + sum(map(get, s[1:])) for s in split]
 
 
 def frequent_chunks(docs: DataFrame, text: str = "text", entries: int = HOT_ENTRIES) -> list[str]:

@@ -29,3 +29,10 @@ def test_query(spark):
     want = sorted((d or -1, len((t or "").encode()), n, n > 512) for (d, t, _), n in zip(rows, whole([t or "" for _, t, _ in rows]), strict=True))
     assert got == want
     assert count_tokens(df.limit(0), PATH).count() == 0
+
+
+def test_spaces_that_touch_white_space():
+    spaces = [" ", "\u00a0", "\n", "\t", "\u3000", "\u2003", "\x85", "\x1f", "\u2028"]
+    t = ["Menu \u00a0 \u00a0 Home", "a \u00a0 \u00a0 \u00a0b", "x \u00a0 \u00a0\ny", " ", "", "  a", "a  ", "\n a", "a \n"]
+    t += [f"one{a}{b}{c}{d}two three" for a in spaces for b in spaces for c in spaces for d in [*spaces, ""]]
+    assert Lengths(PATH, {}).counts(t) == whole(t)
