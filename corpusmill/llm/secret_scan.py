@@ -5,8 +5,10 @@ after a credential word (`pwd: ...`, `Authorization = ...`) is a secret if guess
 dear: dynamic programming over its characters finds the cheapest segmentation into
 dictionary words, dates, repeats, keyboard walks and brute-force spans, and a value whose
 cheapest segmentation needs at least 10**MIN_LOG10 guesses gives a span of kind `guess`.
-Every character of a value is costed, whatever its length: the program is linear in the
-length, since words, walks and repeats are bounded.
+A quoted value goes up to its closing quote on the line, any other up to white space, and
+every character of it is costed, whatever its length (but punctuation that ends an unquoted
+one): the program is linear in the length, since words and walks are bounded, and a repeat
+is taken in its first SPAN_CHARS lengths and up to its end.
 
 Spans are code points of the whole text, end exclusive. Kinds are assign, access, hex,
 guess, in this order. Per kind, matches are leftmost and do not overlap; a match that
@@ -38,10 +40,12 @@ ASSIGN_CHARS, ACCESS_CHARS = 6, 20
 #: Each match of ASSIGN holds one of these in some case, each match of CONTEXT too.
 ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|private[_-]?key|access[_-]?key|auth(?:orization|entication)?|credentials?)["']?[ \t]*(?::|=>?|:=)[ \t]*(?:(?:bearer|basic)[ \t]+)?["'`]?([^\s"'`,;<>(){}\[\]|]+)""",
+    r"""(?:pass(?:word|wd|phrase|code)|pwd|secret|token|api[_-]?key|private[_-]?key|access[_-]?key|auth(?:orization|entication)?|credentials?)["']?[ \t]*(?::|=>?|:=)[ \t]*(?:(?:bearer|basic)[ \t]+)?(?:(["'`])((?:\\.|(?!\1)[^\\\r\n])+)\1|["'`]?(\S+))""",
     re.I | re.A,
 )
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "auth", "credential")
+#: Punctuation behind an unquoted value, which is no part of what is costed.
+ENDS = ".,;:)}]>\"'`|"
 MIN_LOG10, MIN_CHARS = 9.0, 8
 
 #: Common words of passwords and of prose, by rank: a word's cost is that of trying the list up to it.
@@ -84,6 +88,10 @@ def guess_cost(value: str) -> float:
     for m in DATE.finditer(value):
         for end in {m.end(), m.start() + 4 if m.end() - m.start() >= 4 and value[m.start() : m.start() + 2] in ("19", "20") else m.end()}:
             ends.setdefault(m.start(), []).append(end)
+    repeats = {unit: [0] * (n + 1) for unit in (1, 2, 3, 4)}  # how far each character equals that one unit on
+    for unit, same in repeats.items():
+        for i in range(n - unit - 1, -1, -1):
+            same[i] = same[i + 1] + 1 if value[i] == value[i + unit] else 0
     brute_from = [math.inf] * (n + 1)  # the best cost of a segmentation whose last span is brute force and still open
     for i in range(n + 1):
         if brute_from[i] < best[i]:
@@ -106,11 +114,10 @@ def guess_cost(value: str) -> float:
                     step(i + k, math.log10(rank + 1) + extra + (0.3 if value[i : i + k] != low[i : i + k] else 0.0))
         for end in ends.get(i, ()):
             step(end, math.log10(365 * 120) if end - i > 4 else math.log10(120))
-        for unit in (1, 2, 3, 4):  # repeats of a short unit
-            k = unit
-            while i + k + unit <= n and value[i + k : i + k + unit] == value[i : i + unit] and k < SPAN_CHARS:
-                k += unit
-                if k >= 3:
+        for unit, same in repeats.items():  # repeats of a short unit
+            longest = unit + same[i] // unit * unit
+            for k in {*range(2 * unit, min(longest, SPAN_CHARS + unit) + 1, unit), longest}:
+                if k >= 3 and k > unit:
                     step(i + k, unit * each + math.log10(k / unit + 1))
         for row in KEYBOARD:
             at = row.find(low[i])
@@ -133,7 +140,10 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_CHARS]
     found += [(*m.span(), "hex") for m in HEX.finditer(text)]
     if (":" in text or "=" in text) and any(w in low for w in CONTEXT_WORDS):
-        found += [(*m.span(1), "guess") for m in CONTEXT.finditer(text) if len(m[1]) >= MIN_CHARS and guess_cost(m[1].rstrip(".")) >= MIN_LOG10]
+        for m in CONTEXT.finditer(text):
+            value = m[2] or m[3].rstrip(ENDS)
+            if len(value) >= MIN_CHARS and guess_cost(value) >= MIN_LOG10:
+                found.append((*m.span(2 if m[2] else 3), "guess"))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 

@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusmill.llm.secret_scan import MARK, find_spans, guess_cost, op2, redacted
+from corpusmill.llm.secret_scan import MARK, find_spans, guess_cost, op2, redact, redacted
 
 
 def brute(text):
@@ -45,3 +45,12 @@ def test_query(spark):
     clean = {r.doc_id: r for r in redacted(df).collect()}
     assert clean[5].text == "plain" and clean[5].n_chars == -1 and clean[0].text is None
     assert clean[3].text == f'pwd = "{MARK}"!' and clean[3].n_chars == len(clean[3].text) and clean[2].text == f"{MARK}' x"
+
+
+def test_whole_values():
+    for text, value in (('password: "Tr0ub(4dor&3)xQz9" x', "Tr0ub(4dor&3)xQz9"), ("pwd: aB3;kL9,zz(Q1 x", "aB3;kL9,zz(Q1"), ('passphrase = "correct horse battery staple" x', "correct horse battery staple"), ("token: 'xK9#vQ2$\\'mL7p' x", "xK9#vQ2$\\'mL7p"), ('pwd = "xK9#vQ2$mL7p x', "xK9#vQ2$mL7p"), ("secret=xK9#vQ2$mL7p(7,8", "xK9#vQ2$mL7p(7,8")):
+        spans = [text[s:e] for s, e, k in find_spans(text) if k == "guess"]
+        assert spans == [value] and value not in redact(text), text
+    for n in (12, 64, 65, 100, 1000):
+        assert not find_spans("pwd: " + "*" * n) and not find_spans('pwd: "' + "xy" * n + '"')
+    assert guess_cost("*" * 100_000) < 9 and guess_cost("ab1" * 30_000) < 10  # one repeat: 0.7 + 3 * log10(36) + log10(30_001)
