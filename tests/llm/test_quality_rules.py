@@ -2,7 +2,9 @@ import random
 import re
 from collections import Counter
 
-from corpusmill.llm.quality_rules import keep_good, op7, rule_order, default_rules
+from pyspark.sql import functions as F
+
+from corpusmill.llm.quality_rules import Rule, Sampled, default_rules, keep_good, op7, quality, rule_order, sample_counts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -41,9 +43,40 @@ def test_against_brute_force(spark):
     check(spark, [*TEXTS, *(" ".join(pick.choices(words[: pick.randint(2, 12)], k=pick.randint(0, 120))) for _ in range(300))])
 
 
-def test_empty_table_and_order(spark):
+def test_empty_table(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
-    assert op7(df.limit(0)).count() == 0
-    found = rule_order(df, default_rules())
-    gains = [share / cost for _, cost, share in found]
-    assert gains == sorted(gains, reverse=True) and len(found) == len(default_rules())
+    assert op7(df.limit(0)).count() == 0 and keep_good(df.limit(0)).count() == 0
+    assert [r.name for r, _, _ in rule_order(default_rules(), [])] == [r.name for r in default_rules()]
+
+
+def test_order_by_rejection_per_cost():
+    rules = [Rule("dear", F.lit(True), ("n_repeat_words",)), Rule("cheap", F.lit(True), ("n_symbols",)), Rule("same", F.lit(True), ("n_symbols",)), Rule("never", F.lit(False), ())]
+    sizes = (1000, 150, 10)
+    sampled = [Sampled(0b0001, 30, sizes), Sampled(0b0110, 20, sizes), Sampled(0b0000, 50, sizes)]
+    found = rule_order(rules, sampled)
+    assert [(r.name, gone) for r, _, gone in found] == [("cheap", 20), ("dear", 30), ("never", 0), ("same", 0)]
+    assert found[0][1] == 3 * 19 * 1000 + 100 and found[-1][1] == 50  # n_symbols is there already, so same costs its test alone
+    assert found == rule_order(rules, sampled[::-1])
+
+
+def test_same_order_in_every_run(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    runs = [sample_counts(d, default_rules()) for d in (docs, docs.repartition(7), docs)]
+    names = [[r.name for r, _, _ in rule_order(default_rules(), x)] for x in runs]
+    assert names[0] == names[1] == names[2] and sum(p.rows for p in runs[0]) > 5
+    by = [{r.doc_id: r.rejected_by for r in quality(d).collect()} for d in (docs, docs.repartition(5))]
+    assert by[0] == by[1] and len({*by[0].values()}) > 3
+
+
+def test_short_circuit(spark):
+    """A later rule's statistic isn't made for rows that an earlier one rejects: here it would fail for them."""
+    df = spark.createDataFrame([(1, "not a number"), (2, "17"), (3, "4")], "doc_id long, text string")
+    first = Rule("letters", F.regexp_like("__text", F.lit("[a-z]")), ())
+    fails = Rule("small", F.col("__text").cast("int") < 10, ())  # an error for letters
+    for rules in ([first, fails],):
+        got = {r.doc_id: r.rejected_by for r in quality(df, rules).collect()}
+        assert got == {1: "letters", 2: None, 3: "small"}
+        assert [r.doc_id for r in keep_good(df, rules).collect()] == [2]
+    plan = keep_good(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().optimizedPlan().toString()
+    # every statistic that isn't the first rule's stands behind a test of what was decided before
+    assert "Python" not in plan and plan.count("CASE WHEN isnull(__by") >= 4, plan
