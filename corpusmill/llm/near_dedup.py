@@ -4,24 +4,32 @@
    and a signature of 128 minima. Texts with equal sets form a class, by an aggregate that
    combines before the shuffle; only its smallest doc_id goes on, so a group of copies of
    any size is one row from here.
-2. Signatures are cut into 32 bands of 4. Classes that share a band are candidates; the
-   buckets are turned into stars around their smallest member and joined to candidate
-   groups, so that no pairs are written out.
-3. A candidate group is dealt to tasks as blocks of bounded size, one task for each pair of
-   its blocks. There, a pair's signatures are compared in batches of 16; it is dropped once
-   the posterior probability that its similarity reaches the threshold, given the
-   agreements so far and a uniform prior, is below MISS. What survives is verified on the
-   full sets. Members that are linked already need no further comparison: a task gives a
-   spanning forest of its links, not all of them.
+2. Signatures are cut into 32 bands of 4. Classes that share a band are candidates. The pairs
+   of a bucket are looked at in two rounds, and neither writes out all of them:
+   a. Every class with the smallest one of each of its buckets. What passes is verified on
+      the full sets; the links give components, which join near all of a group of copies.
+   b. In buckets that still hold two components, every member that is not of the bucket's
+      largest component with all members of other components. Members with a pair that
+      passes are compared again with their full sets; there, members that a task has linked
+      need no further comparison, so it gives a spanning forest of its links.
+3. Signatures of a pair are compared in batches of 16; it is dropped once the posterior
+   probability that its similarity reaches the threshold, given the agreements so far and a
+   uniform prior, is below MISS. What survives is verified exactly.
 4. Components of the verified links.
 
-A pair at the threshold shares no band with probability (1 - 0.75**4)**32 = 5e-6.
+Both rounds deal a bucket's comparisons as a grid of bounded blocks, so that a bucket of any
+size is split among tasks; a task holds one block and reads the other by it. Signatures go
+there first, full sets only for what passed. A pair that shares a band is thus either joined
+by verified links of round a, or compared in round b. A pair at the threshold shares no band
+with probability (1 - 0.75**4)**32 = 5e-6.
 
 Words are runs of bytes other than 0x20 and 0x09-0x0D, A-Z lower-cased. A text of one to
 four words is one shingle. Defined results: a null, empty or blank text has no shingles and
 is linked with nothing; a row with a null doc_id has a null component and is kept; repeated
 rows each give a row, and rows with the same doc_id are one node with the links of all its
-texts; other columns are not read.
+texts; a very long text is read whole; ties go to the smaller doc_id; an empty table gives
+an empty result; other columns are not read, and one_of_each() passes them on inside a
+struct, where their names clash with nothing.
 """
 
 from __future__ import annotations
@@ -33,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.common import shuffle_partitions, slices, worker_state, written
@@ -43,8 +51,9 @@ WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BATCH, MISS = 16, 1e-6
-#: A block of a candidate group: members, and shingles of all its members, on average at most.
-BLOCK_MEMBERS, BLOCK_SHINGLES = 2048, 1 << 20
+#: A block of a bucket: members, and shingles of all its members, on average; a bucket has BLOCKS blocks of one
+#: kind until a block would have more than BLOCK_MOST members, so that large buckets send each member not too often.
+BLOCK_MEMBERS, BLOCKS, BLOCK_MOST, BLOCK_SHINGLES = 256, 64, 8192, 1 << 20
 CACHE_WORDS = 300_000
 
 _draw = np.random.default_rng(20_240_601)
@@ -130,45 +139,69 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def forest(nodes: list[int], blocks: np.ndarray, signatures: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that span the components of the given members.
+def passing(one: np.ndarray, others: np.ndarray, bounds: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the other signatures stay beside one, batch by batch, and in how many places they agree."""
+    left, agree = np.arange(len(others)), np.zeros(len(others), np.int32)
+    for k, bound in enumerate(bounds):
+        if not len(left):
+            break
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        agree += (others[left, part] == one[part]).sum(axis=1, dtype=np.int32)
+        stay = agree >= bound
+        left, agree = left[stay], agree[stay]
+    return left, agree
+
+
+class Members:
+    """Some members of a bucket: node, label (component so far), minor, size, sig, and sets if they are there."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        self.node, self.label, self.n = (batch.column(k).to_numpy() for k in ("node", "label", "n"))
+        self.minor = batch.column("minor").to_numpy(zero_copy_only=False)
+        self.sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
+        self.sets = [np.frombuffer(x, np.uint64) for x in batch.column("members").to_pylist()] if "members" in batch.schema.names else None
+
+    def add(self, other: Members) -> None:
+        for k in ("node", "label", "n", "minor", "sig"):
+            setattr(self, k, np.concatenate([getattr(self, k), getattr(other, k)]))
+        if self.sets is not None:
+            self.sets += other.sets
+
 
-    blocks: 0 or 1 for each; if both occur, only pairs across are looked at. Members close
-    to what most signatures agree on come first, since a group of near copies is mostly
-    joined by the one they derive from.
+def survivors(left: Members, right: Members, bounds: list[int], percent: int) -> list[tuple[int, int]]:
+    """(place in left, place in right) of the pairs of different labels that pass, those that agree most first.
+
+    left are minor members; of a pair of minor ones the smaller node is taken on the left.
     """
-    n, bounds = len(nodes), bound_table(percent)
-    across = len(set(blocks.tolist())) > 1
-    label = np.arange(n)
-    first = {}
-    for i, node in enumerate(nodes):  # one node may have several texts
-        label[i] = first.setdefault(node, i)
-    sizes = np.array([len(s) for s in sets])
-    middle = np.sort(signatures, axis=0)[n // 2] if n else None
-    order = np.argsort(-(signatures == middle).sum(axis=1), kind="stable")
-    left = np.ones(n, bool)
     out = []
-    for p in order:
-        left[p] = False
-        test = left & (label != label[p]) & (100 * np.minimum(sizes, sizes[p]) >= percent * np.maximum(sizes, sizes[p]))
-        if across:
-            test &= blocks != blocks[p]
-        near = np.flatnonzero(test)
-        agree = np.zeros(len(near), np.int32)
-        for k, bound in enumerate(bounds):
-            if not len(near):
-                break
-            part = slice(k * BATCH, (k + 1) * BATCH)
-            agree += (signatures[near, part] == signatures[p, part]).sum(axis=1, dtype=np.int32)
-            stay = agree >= bound
-            near, agree = near[stay], agree[stay]
-        for q in near[np.argsort(-agree, kind="stable")]:
-            if label[q] != label[p] and linked(sets[p], sets[q], percent):
-                out.append((nodes[p], nodes[q]))
-                label[label == label[q]] = label[p]
-        if not across and (label == label[p]).all():
-            break
-    return out
+    if len(left.node) <= len(right.node):
+        for i in range(len(left.node)):
+            test = (right.label != left.label[i]) & (~right.minor | (right.node > left.node[i])) & (100 * np.minimum(right.n, left.n[i]) >= percent * np.maximum(right.n, left.n[i]))
+            at = np.flatnonzero(test)
+            found, agree = passing(left.sig[i], right.sig[at], bounds)
+            out += zip((-agree).tolist(), [i] * len(found), at[found].tolist(), strict=True)
+    else:
+        for j in range(len(right.node)):
+            test = (left.label != right.label[j]) & (100 * np.minimum(left.n, right.n[j]) >= percent * np.maximum(left.n, right.n[j]))
+            if right.minor[j]:
+                test &= left.node < right.node[j]
+            at = np.flatnonzero(test)
+            found, agree = passing(right.sig[j], left.sig[at], bounds)
+            out += zip((-agree).tolist(), at[found].tolist(), [j] * len(found), strict=True)
+    return [(i, j) for _, i, j in sorted(out)]
+
+
+class Labels(dict):
+    """Labels that links have joined, as a task knows them."""
+
+    def root(self, x: int) -> int:
+        while x in self:
+            x = self[x]
+        return x
+
+
+def fingerprint(found: np.ndarray) -> bytes:
+    return hashlib.blake2b(found.tobytes(), digest_size=16).digest()
 
 
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -180,7 +213,7 @@ def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
             for t in batch.column(1).to_pylist():
                 found = shingles(t or "")
                 counts.append(len(found))
-                prints.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+                prints.append(fingerprint(found) if len(found) else None)
                 sigs.append(signature(found).astype("<u4").tobytes() if len(found) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "print", "sig"])
 
@@ -200,68 +233,130 @@ def banded(classes: DataFrame) -> DataFrame:
     return classes.select("node", "sig").mapInArrow(run, "key long, node long")
 
 
-def candidate_groups(classes: DataFrame) -> DataFrame:
-    """node, group of every class that shares a band with another one."""
-    bands = banded(classes)
-    # written, so that the join below isn't tied to the aggregate and can split a hot bucket
-    heads = written(bands.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head"), "heads")
-    stars = bands.join(heads, "key").where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct()
-    return components(stars).select("node", F.col("component").alias("group"))
+def blocks_of(n: Column) -> Column:
+    """The number of blocks of n members."""
+    return F.least(F.ceil(n / BLOCK_MEMBERS), F.greatest(F.lit(BLOCKS), F.ceil(n / BLOCK_MOST)))
 
 
-def verified_links(docs: DataFrame, groups: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """u, v: links that span the components of each candidate group."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text")).join(groups, "node")
+def compared(lefts: DataFrame, rights: DataFrame, payload: DataFrame, percent: int, what: str) -> DataFrame:
+    """The comparisons of the left and right members (g, node, label, minor, n) of each g, as a grid of blocks.
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
-            found = [shingles(t or "") for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(s) for s in found], pa.int64()), pa.array([signature(s).astype("<u4").tobytes() for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())],
-                names=["group", "node", "n", "sig", "members"],
-            )
-
-    members = written(rows.select("group", "node", "text").mapInArrow(sets, "group long, node long, n long, sig binary, members binary").where("n > 0"), "sets")
-    sizes = written(members.groupBy("group").agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_MEMBERS)).cast("int").alias("blocks")), "sizes")
-    dealt = members.join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).select("group", "i", "j", "block", "node", "sig", "members")
+    payload: node, sig and, for what = 'links', members. Gives g, u, v: for 'pairs' those that
+    pass by signature, for 'flags' the members (u, v is null) that have such a pair, for
+    'links' verified ones that span what each task has found to be linked.
+    """
+    both = written(lefts.withColumn("side", F.lit(0)).unionByName(rights.withColumn("side", F.lit(1))), "sides")
+    shares = lambda side: F.greatest(F.lit(1), blocks_of(F.count_if(F.col("side") == side)), F.ceil(F.sum(F.when(F.col("side") == side, F.col("n")).otherwise(0)) / BLOCK_SHINGLES) if what == "links" else F.lit(1)).cast("int")
+    # written, so that the join isn't tied to the aggregate and can split a hot bucket
+    grid = written(both.groupBy("g").agg(shares(0).alias("rows"), shares(1).alias("columns")), "grid")
+    dealt = both.join(grid, "g")
+    own = F.when(F.col("side") == 0, F.col("rows")).otherwise(F.col("columns"))
+    other = F.when(F.col("side") == 0, F.col("columns")).otherwise(F.col("rows"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), own).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
+    dealt = dealt.withColumns({"i": F.when(F.col("side") == 0, F.col("own")).otherwise(F.col("other")), "j": F.when(F.col("side") == 0, F.col("other")).otherwise(F.col("own"))})
+    names = ["g", "i", "j", "side", "node", "label", "minor", "n", "sig"] + ["members"] * (what == "links")
+    tasks = dealt.select(*names[:8]).join(payload, "node").select(*names)
+    bounds = bound_table(percent)
+
+    def found(left: Members, right: Members, g: int, labels: Labels) -> list[tuple[int, int, int | None]]:
+        pairs = survivors(left, right, bounds, percent)
+        if what == "pairs":
+            return [(g, int(right.node[j]), int(left.node[i])) for i, j in pairs]
+        if what == "flags":
+            return [(g, x, None) for x in sorted({int(left.node[i]) for i, _ in pairs} | {int(right.node[j]) for _, j in pairs})]
+        out = []
+        for i, j in pairs:
+            a, b = labels.root(int(left.label[i])), labels.root(int(right.label[j]))
+            if a != b and linked(left.sets[i], right.sets[j], percent):
+                labels[a] = b
+                out.append((g, int(right.node[j]), int(left.node[i])))
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def flush() -> pa.RecordBatch | None:
-            nodes = [x[1] for x in held]
-            sigs = np.frombuffer(b"".join(x[2] for x in held), "<u4").reshape(-1, HASHES)
-            links = forest(nodes, np.array([x[0] for x in held]), sigs, [np.frombuffer(x[3], np.uint64) for x in held], percent) if len(set(nodes)) > 1 else []
-            if links:
-                return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["u", "v"])
+        key = left = None
+        labels = Labels()
+        for batch in slices(batches, 256):
+            at = np.stack([batch.column(k).to_numpy() for k in ("g", "i", "j", "side")])
+            cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+            out = []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                g, i, j, side = at[:, a].tolist()
+                if (g, i, j) != key:
+                    key, left, labels = (g, i, j), None, Labels()
+                if side and left is None:
+                    continue
+                some = Members(batch.slice(a, b - a))
+                if side:
+                    out += found(left, some, g, labels)
+                elif left is None:
+                    left = some
+                else:
+                    left.add(some)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["g", "u", "v"])
+
+    tasks = tasks.repartition(shuffle_partitions(both.sparkSession), "g", "i", "j").sortWithinPartitions("g", "i", "j", "side", "node")
+    return tasks.mapInArrow(run, "g long, u long, v long")
+
+
+def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """node, sig, members (the full set) of the given nodes (node, distinct), in a written table."""
+    wanted = classes.join(nodes, "node").select("doc", "node", "print", "sig")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).join(wanted, "doc").select("node", "print", "sig", "text")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            for g, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and (g, i, j) != key:
-                    if (out := flush()) is not None:
-                        yield out
-                    held = []
-                key = (g, i, j)
-                held.append(row)
-        if held and (out := flush()) is not None:
-            yield out
+            found = [shingles(t or "") for t in batch.column(3).to_pylist()]
+            # a doc_id may have several texts, and each class one of them
+            own = pa.array([fingerprint(s) == p for s, p in zip(found, batch.column(1).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([s.tobytes() for s in found], pa.binary())], names=["node", "sig", "members"]).filter(own)
+
+    return written(rows.mapInArrow(run, "node long, sig binary, members binary"), "sets")
 
-    tasks = dealt.repartition(shuffle_partitions(docs.sparkSession), "group", "i", "j").sortWithinPartitions("group", "i", "j", "node")
-    return tasks.mapInArrow(run, "u long, v long")
+
+def verified_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """u, v: verified links that span the components of the classes (node, doc, print, n, sig)."""
+    bands = banded(classes)
+    heads = written(bands.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head"), "heads")
+    members = written(bands.join(heads, "key").select("key", "node", "head"), "members")
+    signatures, sizes = classes.select("node", "sig"), classes.select("node", "n")
+
+    def sides(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs (u, v) as left members v, each its own g, and right members u."""
+        as_member = lambda g, node: pairs.select(F.col(g).alias("g"), F.col(node).alias("node")).distinct().join(sizes, "node").select("g", "node", F.col("node").alias("label"), F.lit(False).alias("minor"), "n")
+        return as_member("v", "v"), as_member("v", "u")
+
+    stars = written(members.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct(), "stars")
+    near = written(compared(*sides(stars), signatures, percent, "pairs").select("u", "v"), "near")
+    sets = sets_of(docs, classes, near.select(F.col("u").alias("node")).union(near.select("v")).distinct(), doc_id, text)
+    first = written(compared(*sides(near), sets, percent, "links").select("u", "v"), "links")
+
+    label = components(first)
+    own = members.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
+    counts = own.groupBy("key", "label").agg(F.count("*").alias("c"))
+    split = written(counts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("major"), F.count("*").alias("labels")).where("labels > 1").select(F.col("key").alias("g"), "major"), "split")
+    left = own.withColumnRenamed("key", "g").join(split, "g").join(sizes, "node")
+    left = written(left.select("g", "node", "label", (F.col("label") != F.col("major")).alias("minor"), "n"), "left")
+    flags = written(compared(left.where("minor"), left, signatures, percent, "flags").select("g", F.col("u").alias("node")).distinct(), "flags")
+    if flags.isEmpty():
+        return first
+    again = written(left.join(flags, ["g", "node"], "left_semi"), "again")
+    sets = sets_of(docs, classes, again.select("node").distinct(), doc_id, text)
+    return first.union(written(compared(again.where("minor"), again, sets, percent, "links").select("u", "v"), "links"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of docs."""
     rows = written(signed(docs, doc_id, text), "signatures")
     full = rows.where("doc_id is not null and n_shingles > 0")
-    classes = written(full.groupBy("print").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")), "classes")
-    groups = written(candidate_groups(classes), "groups")
-    links = written(verified_links(docs, groups, percent, doc_id, text), "links")
-    # a doc_id with several texts joins the classes of all of them
-    own = full.join(classes.select("print", "node"), "print").where("doc_id <> node").select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
-    found = components(links.union(own))
+    # the number of a class is fixed as soon as the table is written; a doc_id with several texts is in several classes
+    of_print = full.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
+    classes = written(of_print.select(F.monotonically_increasing_id().alias("node"), "doc", "print", "n", "sig"), "classes")
+    links = written(verified_links(docs, classes, percent, doc_id, text), "links")
+    one = lambda side: classes.select(F.col("node").alias(side), F.col("doc").alias(f"{side}_doc"))
+    between = links.join(one("u"), "u").join(one("v"), "v").select(F.col("u_doc").alias("u"), F.col("v_doc").alias("v"))
+    own = full.join(classes.select("print", "doc"), "print").where("doc_id <> doc").select(F.col("doc_id").alias("u"), F.col("doc").alias("v"))
+    found = components(between.union(own))
     out = rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
@@ -274,17 +369,14 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id",
     text. Rows with a null doc_id stay.
     """
     found = near_duplicates(docs, percent, doc_id, text)
-    drop = found.where("not kept").select(F.col("doc_id").alias("__drop")).distinct()
-    left = docs.join(drop, F.col(doc_id) == F.col("__drop"), "left_anti")
-    again = found.where("doc_id is not null and kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    left = rows.join(found.where("not kept").select(F.col("doc_id").alias("id")).distinct(), "id", "left_anti")
+    again = found.where("doc_id is not null and kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id"))
     if again.isEmpty():
-        return left
-    twice = written(again.select(F.col("doc_id").alias("__twice")), "twice")
-    single = left.join(twice, F.col(doc_id) == F.col("__twice"), "left_anti")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    multiple = left.join(twice, F.col(doc_id) == F.col("__twice"), "left_semi").select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"), row.alias("__row"))
-    chosen = multiple.groupBy("__id").agg(F.min_by("__row", "__text").alias("__row")).select("__row.*")
-    return single.unionByName(chosen)
+        return left.select("row.*")
+    twice = written(again, "twice")
+    chosen = left.join(twice, "id", "left_semi").groupBy("id").agg(F.min_by("row", "text").alias("row"))
+    return left.join(twice, "id", "left_anti").select("row.*").unionByName(chosen.select("row.*"))
 
 
 ORACLE = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -4,7 +4,7 @@ import numpy as np
 
 from corpusmill.llm import near_dedup
 from corpusmill.llm.components import components
-from corpusmill.llm.near_dedup import bound_table, near_duplicates, one_of_each, shingles, signature
+from corpusmill.llm.near_dedup import bound_table, near_duplicates, one_of_each, passing, shingles, signature
 
 
 def brute_sets(texts):
@@ -46,12 +46,13 @@ def corpus(n=240, seed=3):
 
 
 def check(spark, ids, texts):
-    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").selectExpr("*", "'x' as sig", "1 as node", "2 as kept").repartition(3)
+    extra = ["'x' as sig", "1 as node", "2 as kept", "3 as __drop", "4 as __twice", "5 as id", "6 as `row`", "7 as `a.b`"]
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").selectExpr("*", *extra).repartition(3)
     assert sorted(map(tuple, near_duplicates(df).collect())) == sorted(brute(ids, texts))
     return df
 
 
-def test_against_brute_force(spark, monkeypatch):
+def test_against_brute_force(spark):
     texts = corpus()
     ids = random.Random(1).sample(range(-50, 5000), len(texts))
     df = check(spark, ids, texts)
@@ -59,10 +60,40 @@ def test_against_brute_force(spark, monkeypatch):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted(d for d, _, _, k in brute(ids, texts) if k)
 
 
-def test_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 10)
-    texts = corpus(200, 4)
+def boilerplate(n=90, seed=6):
+    """Texts that share half their words or more, many of them above and many below the threshold: buckets percolate."""
+    pick = random.Random(seed)
+    common = [f"c{i}" for i in range(60)]
+    out = []
+    for k in range(n):
+        own = [f"k{k}x{i}" for i in range(pick.choice([4, 8, 11, 14, 20, 40]))]
+        out.append(" ".join(common + own))
+    return out + [" ".join(common[: 60 - k] + [f"z{i}" for i in range(3 * k)]) for k in range(10)]
+
+
+def test_blocks_of_hot_buckets(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 8)
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 900)
+    texts = boilerplate() + corpus(60, 4)
+    check(spark, list(range(len(texts))), texts)
+
+
+def test_second_round(spark, monkeypatch):
+    """Members that aren't linked with the first of their bucket are still compared with each other."""
+    seen = []
+    real = near_dedup.compared
+    monkeypatch.setattr(near_dedup, "compared", lambda *a: seen.append(a[-1]) or real(*a))
+    common = [f"c{i}" for i in range(48)]
+    texts = [" ".join(common + [f"a{g}x{i}" for i in range(30)] + [f"m{g}y{k}"]) for g in range(6) for k in range(5)]
     check(spark, list(range(len(texts))), texts)
+    assert seen.count("flags") == 1
+
+
+def test_several_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(7, a), (7, b), (3, a + " more"), (9, b + " more"), (4, c), (9, c)]
+    got = {r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {3}
 
 
 def test_edges(spark):
@@ -89,3 +120,15 @@ def test_signatures_estimate_and_bounds():
     assert abs((signature(x) == signature(y)).mean() - real) < 0.12
     table = bound_table()
     assert table == sorted(table) and 60 < table[-1] < 96 and table[0] >= 1
+
+
+def test_recall_of_bands_and_bounds():
+    """Of pairs at the threshold and a little above, none is lost by bands or by the posterior bound."""
+    pick, lost, n = np.random.default_rng(5), 0, 400
+    for _ in range(n):
+        both = pick.integers(0, 1 << 63, 300).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([both, pick.integers(0, 1 << 63, 50).astype(np.uint64)])) for _ in range(2))
+        x, y = signature(a), signature(b)
+        band = (x.reshape(near_dedup.BANDS, -1) == y.reshape(near_dedup.BANDS, -1)).all(axis=1).any()
+        lost += not (band and len(passing(x, y[None], bound_table())[0]))
+    assert lost == 0
