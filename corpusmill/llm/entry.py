@@ -15,7 +15,7 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.op2(table(spark, sf_dir, "documents"))
+    return secret_scan.op2(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op3_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,4 +57,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_dedup": near_dedup.ORACLE, "op7_quality_rules": quality_rules.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE}
+    return {"op6_near_dedup": near_dedup.ORACLE, "op7_quality_rules": quality_rules.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE}

@@ -7,25 +7,30 @@ dictionary words, dates, repeats, keyboard walks and brute-force spans, and a va
 cheapest segmentation needs at least 10**MIN_LOG10 guesses gives a span of kind `guess`.
 A quoted value goes up to its closing quote on the line, any other up to white space, and
 every character of it is costed, whatever its length (but punctuation that ends an unquoted
-one): the program is linear in the length, since words and walks are bounded, and a repeat
-is taken in its first SPAN_CHARS lengths and up to its end.
+one). Dates are tried at every character, words come from a ranked list: common words of
+passwords, then the whole words of a public tokenizer's vocabulary, in its order. The program
+is linear in the length: words, walks and dates are bounded, and a repeat ends within
+SPAN_CHARS of its start or of its last character.
 
 Spans are code points of the whole text, end exclusive. Kinds are assign, access, hex,
 guess, in this order. Per kind, matches are leftmost and do not overlap; a match that
 fails its length test is dropped, and the search goes on behind it.
 
 Defined results: a null or empty text has no spans; a null doc_id is passed on; repeated
-rows each give a row; an empty table gives an empty result; other columns are not read by
+rows each give a row, with the same spans; a value of any length is costed whole, and only
+costs of short ones are remembered; of segmentations of equal cost only the cost counts; an empty table gives an empty result; other columns are not read by
 scan(), and redacted() passes them on whatever their names.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cache, lru_cache
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,27 +53,48 @@ CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "auth", "credential")
 ENDS = ".,;:)}]>\"'`|"
 MIN_LOG10, MIN_CHARS = 9.0, 8
 
-#: Common words of passwords and of prose, by rank: a word's cost is that of trying the list up to it.
-WORDS = (
-    "password the and for you that with this from have love admin welcome dragon monkey letmein master shadow "
-    "login princess football baseball sunshine iloveyou superman michael jordan hello secret token user test guest "
-    "root system server default change changeme example sample public private access key code pass word name mail "
-    "home office winter summer spring autumn monday friday january february march april june july august september "
-    "october november december company computer internet online service account number red blue green black white "
-    "one two three four five six seven eight nine ten not are was but all can had her one our out day get has him his "
-    "how man new now old see two way who boy did its let put say she too use"
+#: Words that passwords are made of more often than prose; they come first in the list.
+FIRST_WORDS = (
+    "password love admin welcome dragon monkey letmein master shadow login princess football baseball sunshine iloveyou superman "
+    "michael jordan hello secret token user test guest root system server default change changeme example sample public private "
+    "access key code pass word name mail"
 ).split()
+
+
+@cache
+def word_ranks(path: str) -> dict[str, int]:
+    """Rank of each lower-case word of three letters or more: FIRST_WORDS, then the whole words of a BPE with word ends, by id."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    end = model["end_of_word_suffix"]
+    words = (t.removesuffix(end) for t, _ in sorted(model["vocab"].items(), key=lambda x: x[1]) if t.endswith(end))
+    ranks: dict[str, int] = {}
+    for w in (*FIRST_WORDS, *words):
+        if len(w) >= 3 and w.isascii() and w.isalpha():
+            ranks.setdefault(w, len(ranks) + 1)
+    return ranks
+
+
+@cache
+def longest_word(path: str) -> int:
+    return max(map(len, word_ranks(path)))
+
+
 #: Rows of a keyboard; walks go along them in either direction.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz", "0987654321", "poiuytrewq", "lkjhgfdsa", "mnbvcxz", "zyxwvutsrqponmlkjihgfedcba", "1qaz2wsx3edc4rfv", "qazwsxedcrfv")
 LEET = str.maketrans("4@310$57!", "aaeiossti")
-DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:(?:19|20)\d\d|\d\d)")
-RANKS = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-LONGEST = max(map(len, RANKS))
+YEAR, MONTH, DAY, BETWEEN = "(?:19|20)[0-9]{2}", "(?:0[1-9]|1[0-2])", "(?:0[1-9]|[12][0-9]|3[01])", "[-/.]?"
+#: Each form of a date, and log10 of how many there are of it.
+DATES = tuple(
+    (re.compile(BETWEEN.join(form)), math.log10(n))
+    for form, n in (((YEAR,), 120), ((YEAR, MONTH), 120 * 12), ((YEAR, MONTH, DAY), 365 * 120), ((DAY, MONTH, YEAR), 365 * 120), ((MONTH, DAY, YEAR), 365 * 120), ((DAY, MONTH, "[0-9]{2}"), 365 * 100), ((MONTH, DAY, "[0-9]{2}"), 365 * 100))
+)
 SPAN_CHARS = 32
 #: log10 of the choice of a segment's kind, paid at each segment.
 SEGMENT = math.log10(5)
-#: log10 guesses a letter of a value that may be a word of prose: letters of one case alone.
-PROSE_LETTER = 0.7
+#: Of an upper-case letter in a word, and of digits that stand for letters.
+CAPITALS, LEETS = 0.3, 0.3
+CACHED_CHARS = 64
 
 
 def _alphabet(span: str) -> int:
@@ -76,18 +102,22 @@ def _alphabet(span: str) -> int:
     return size + 33 * any(33 <= ord(c) < 127 and not c.isalnum() for c in span) + 100 * any(ord(c) > 126 for c in span) or 1
 
 
-@lru_cache(10_000)
-def guess_cost(value: str) -> float:
-    """log10 of the guesses of the cheapest segmentation of value."""
+def each_cost(value: str) -> float:
+    """log10 guesses of a brute-force character of value."""
+    return math.log10(max(_alphabet(value), 2))
+
+
+def guess_cost(value: str, words: str) -> float:
+    """log10 of the guesses of the cheapest segmentation of value; words: path of the vocabulary."""
+    return _remembered(value, words) if len(value) <= CACHED_CHARS else _cheapest(value, words)
+
+
+def _cheapest(value: str, words: str) -> float:
     n, low = len(value), value.lower()
-    plain = low.translate(LEET)
-    word = value.isalpha() and (value[1:] == low[1:] or value.isupper())
-    each = PROSE_LETTER if word else math.log10(max(_alphabet(value), 2))
+    if len(low) != n:  # a few letters have two in lower case
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    plain, ranks, longest, each = low.translate(LEET), word_ranks(words), longest_word(words), each_cost(value)
     best = [0.0] + [math.inf] * n
-    ends: dict[int, list[int]] = {}
-    for m in DATE.finditer(value):
-        for end in {m.end(), m.start() + 4 if m.end() - m.start() >= 4 and value[m.start() : m.start() + 2] in ("19", "20") else m.end()}:
-            ends.setdefault(m.start(), []).append(end)
     repeats = {unit: [0] * (n + 1) for unit in (1, 2, 3, 4)}  # how far each character equals that one unit on
     for unit, same in repeats.items():
         for i in range(n - unit - 1, -1, -1):
@@ -98,27 +128,26 @@ def guess_cost(value: str) -> float:
             best[i] = brute_from[i]
         if i == n:
             break
-        here = best[i]
-        opened = min(here + SEGMENT, brute_from[i]) + each
-        if opened < brute_from[i + 1]:
-            brute_from[i + 1] = opened
-
-        def step(end: int, cost: float, here: float = here) -> None:
-            if here + SEGMENT + cost < best[end]:
-                best[end] = here + SEGMENT + cost
-
-        for k in range(3, min(LONGEST, n - i) + 1):
-            for form, extra in ((low, 0.0), (plain, 0.3)):
-                rank = RANKS.get(form[i : i + k])
+        here = best[i] + SEGMENT
+        brute_from[i + 1] = min(here, brute_from[i]) + each
+        for k in range(3, min(longest, n - i) + 1):
+            for form, extra in ((low, 0.0), (plain, LEETS)):
+                rank = ranks.get(form[i : i + k])
                 if rank:
-                    step(i + k, math.log10(rank + 1) + extra + (0.3 if value[i : i + k] != low[i : i + k] else 0.0))
-        for end in ends.get(i, ()):
-            step(end, math.log10(365 * 120) if end - i > 4 else math.log10(120))
-        for unit, same in repeats.items():  # repeats of a short unit
-            longest = unit + same[i] // unit * unit
-            for k in {*range(2 * unit, min(longest, SPAN_CHARS + unit) + 1, unit), longest}:
-                if k >= 3 and k > unit:
-                    step(i + k, unit * each + math.log10(k / unit + 1))
+                    best[i + k] = min(best[i + k], here + math.log10(rank + 1) + extra + CAPITALS * (value[i : i + k] != low[i : i + k]))
+        if "0" <= value[i] <= "9":
+            for form, cost in DATES:
+                m = form.match(value, i)
+                if m:
+                    best[m.end()] = min(best[m.end()], here + cost)
+        for unit, same in repeats.items():
+            count = same[i] // unit + 1
+            if count < 2 or unit > 1 and same[i] <= repeats[1][i] or unit == 4 and same[i] <= repeats[2][i]:
+                continue  # no repeat, or one of a shorter unit over the same characters, which costs less
+            few = SPAN_CHARS // unit + 1
+            for c in range(2, count + 1) if count <= 2 * few else (*range(2, few + 1), *range(count - few, count + 1)):
+                if c * unit >= 3:
+                    best[i + c * unit] = min(best[i + c * unit], here + unit * each + math.log10(c + 1))
         for row in KEYBOARD:
             at = row.find(low[i])
             if at >= 0:
@@ -126,11 +155,15 @@ def guess_cost(value: str) -> float:
                 while i + k < n and at + k < len(row) and low[i + k] == row[at + k]:
                     k += 1
                 for length in range(3, k + 1):
-                    step(i + length, math.log10(len(KEYBOARD) * len(row) * length))
+                    best[i + length] = min(best[i + length], here + math.log10(len(KEYBOARD) * len(row) * length))
     return best[n]
 
 
-def find_spans(text: str) -> list[tuple[int, int, str]]:
+#: Values of at most CACHED_CHARS characters: a few MB.
+_remembered = lru_cache(10_000)(_cheapest)
+
+
+def find_spans(text: str, words: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every span of text by start, then kind as in KINDS."""
     found: list[tuple[int, int, str]] = []
     low = text.lower()
@@ -142,30 +175,30 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
     if (":" in text or "=" in text) and any(w in low for w in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
             value = m[2] or m[3].rstrip(ENDS)
-            if len(value) >= MIN_CHARS and guess_cost(value) >= MIN_LOG10:
+            if len(value) >= MIN_CHARS and guess_cost(value, words) >= MIN_LOG10:
                 found.append((*m.span(2 if m[2] else 3), "guess"))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and an array of spans (start, end, kind) of each row."""
+def scan(docs: DataFrame, words: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and an array of spans (start, end, kind) of each row. words: path of the vocabulary whose words are common."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            spans = [[{"start": s, "end": e, "kind": k} for s, e, k in find_spans(t)] for t in texts(batch.column(1))]
+            spans = [[{"start": s, "end": e, "kind": k} for s, e, k in find_spans(t, words)] for t in texts(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], names=["doc_id", "spans"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id long, spans array<struct<start: int, end: int, kind: string>>")
 
 
-def op2(docs: DataFrame) -> DataFrame:
+def op2(docs: DataFrame, words: str) -> DataFrame:
     """The spans of scan() as counts, a digest of the base kinds, and one string."""
     of = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
     one = lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))
     base = F.filter("spans", lambda x: x["kind"] != "guess")
-    return scan(docs).select(
+    return scan(docs, words).select(
         "doc_id",
         *(of(k).alias(f"n_{k}") for k in KINDS),
         F.sha2(F.array_join(F.transform(base, one), ",").cast("binary"), 256).alias("base_sha256"),
@@ -176,10 +209,10 @@ def op2(docs: DataFrame) -> DataFrame:
 MARK = "[REDACTED]"
 
 
-def redact(text: str) -> str:
+def redact(text: str, words: str) -> str:
     """text with every span replaced by MARK; overlapping or touching spans by one."""
     out, last, until = [], 0, -1
-    for start, end, _ in find_spans(text):
+    for start, end, _ in find_spans(text, words):
         if start > until:
             out += [text[last:start], MARK]
         until = max(until, end)
@@ -187,15 +220,16 @@ def redact(text: str) -> str:
     return "".join([*out, text[last:]]) if out else text
 
 
-def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", words: str | None = None) -> DataFrame:
     """docs with every secret replaced by MARK, and n_chars made anew where a text changed."""
+    words = words or public_tokenizers.path("word_bpe_49k.json")
     names = docs.columns
     at, count = names.index(text), names.index(n_chars) if n_chars in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             old = batch.column(at).to_pylist()
-            new = [t and redact(t) for t in old]
+            new = [t and redact(t, words) for t in old]
             columns = list(batch.columns)
             columns[at] = pa.array(new, batch.schema.field(at).type)
             if count is not None:

@@ -1,10 +1,38 @@
 import hashlib
+import math
+import random
 import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusmill.llm.secret_scan import MARK, find_spans, guess_cost, op2, redact, redacted
+import public_tokenizers
+
+from corpusmill.llm import secret_scan as S
+from corpusmill.llm.secret_scan import MARK
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def find_spans(text):
+    return S.find_spans(text, WORDS)
+
+
+def guess_cost(value):
+    return S.guess_cost(value, WORDS)
+
+
+def redact(text):
+    return S.redact(text, WORDS)
+
+
+def op2(df):
+    return S.op2(df, WORDS)
+
+
+def redacted(df):
+    return S.redacted(df, words=WORDS)
+
 
 
 def brute(text):
@@ -53,4 +81,48 @@ def test_whole_values():
         assert spans == [value] and value not in redact(text), text
     for n in (12, 64, 65, 100, 1000):
         assert not find_spans("pwd: " + "*" * n) and not find_spans('pwd: "' + "xy" * n + '"')
-    assert guess_cost("*" * 100_000) < 9 and guess_cost("ab1" * 30_000) < 10  # one repeat: 0.7 + 3 * log10(36) + log10(30_001)
+    assert guess_cost("*" * 100_000) < 9 and guess_cost("ab1" * 30_000) < 10.1  # one repeat: 0.7 + 3 * log10(36) + log10(30_001)
+
+
+def segment_cost(value, i, j):
+    """The cheapest way to guess value[i:j] as one segment, by trying each kind."""
+    part, k, ranks, each = value[i:j], j - i, S.word_ranks(WORDS), S.each_cost(value)
+    costs = [k * each]
+    for form, extra in ((part.lower(), 0.0), (part.lower().translate(S.LEET), S.LEETS)):
+        if k >= 3 and form in ranks:
+            costs.append(math.log10(ranks[form] + 1) + extra + (S.CAPITALS if part != part.lower() else 0.0))
+    costs += [cost for form, cost in S.DATES if form.fullmatch(part)]
+    costs += [u * each + math.log10(k // u + 1) for u in (1, 2, 3, 4) if k >= max(3, 2 * u) and k % u == 0 and part == part[:u] * (k // u)]
+    costs += [math.log10(len(S.KEYBOARD) * len(row) * k) for row in S.KEYBOARD if k >= 3 and part.lower() in row]
+    return min(costs)
+
+
+def brute_cost(value):
+    best = [0.0] + [math.inf] * len(value)
+    for j in range(1, len(value) + 1):
+        best[j] = min(best[i] + S.SEGMENT + segment_cost(value, i, j) for i in range(j))
+    return best[-1]
+
+
+PARTS = ["password", "P4ssw0rd", "Dragon", "the", "qwerty", "zxcv", "2019", "0020131102", "31122020", "1999-12-31", "12/31/99", "2020", "aaa", "abab", "xyzxyz", "ab12ab12", "k", "Q", "7", "$", "é", "İ", "_", "00", "19", "lkjh", "1qaz2wsx"]
+
+
+def test_cost_is_the_minimum():
+    pick = random.Random(4)
+    values = ["".join(pick.choices(PARTS, k=pick.randint(1, 5))) for _ in range(1500)]
+    values += ["".join(pick.choices("0123", k=10)) for _ in range(1500)] + ["".join(pick.choices("ab1", k=pick.randint(1, 14))) for _ in range(1000)]
+    for v in values:
+        assert abs(guess_cost(v) - brute_cost(v)) < 1e-9, v
+
+
+def test_words_and_letters():
+    assert len(S.word_ranks(WORDS)) > 30_000
+    assert guess_cost("xqzkvbjwpf") > 14 > 9 > guess_cost("serendipity")
+    assert any(k == "guess" for *_, k in find_spans("pwd: xqzkvbjwpf")) and not find_spans("pwd: serendipity")
+
+
+def test_long_values_are_not_kept():
+    S._remembered.cache_clear()
+    for k in range(3):
+        guess_cost("x7" * 5000 + str(k))
+    assert S._remembered.cache_info().currsize == 0 and guess_cost("x7") == guess_cost("x7")
