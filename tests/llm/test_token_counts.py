@@ -2,7 +2,8 @@ import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from corpusmill.llm.token_counts import Lengths, count_tokens, tokenizer
+from corpusmill.llm import token_counts
+from corpusmill.llm.token_counts import Counters, Lengths, count_tokens, frequent_chunks, packed, tokenizer, unpacked
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -36,3 +37,21 @@ def test_spaces_that_touch_white_space():
     t = ["Menu \u00a0 \u00a0 Home", "a \u00a0 \u00a0 \u00a0b", "x \u00a0 \u00a0\ny", " ", "", "  a", "a  ", "\n a", "a \n"]
     t += [f"one{a}{b}{c}{d}two three" for a in spaces for b in spaces for c in spaces for d in [*spaces, ""]]
     assert Lengths(PATH, {}).counts(t) == whole(t)
+
+
+def test_bounded_counters(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "TASK_COUNTERS", 100)
+    counts = Counters()
+    for k in range(1000):
+        counts.update(["often", f"once{k}", "often"])
+        counts.prune()
+        assert len(counts) <= 102
+    assert counts["often"] == 2000
+    long = "x" * 5000
+    df = spark.createDataFrame([(f"a {long}{k} the the of {long}",) for k in range(50)] + [(None,), ("",), (long,)], "text string").repartition(40)
+    assert frequent_chunks(df) == ["the", "of"]  # 40 tasks, merged in two levels; long chunks are never counted
+
+
+def test_packed_table():
+    table = {"a": 1, "": 2, "漢字\nx": 300, "b" * 32: 7}
+    assert unpacked(packed(table)) == table and unpacked(packed({})) == {}
