@@ -57,4 +57,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_near_dedup": near_dedup.ORACLE, "op7_quality_rules": quality_rules.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE}
+    return {"op1_html_extract": html_extract.ORACLE, "op6_near_dedup": near_dedup.ORACLE, "op7_quality_rules": quality_rules.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE}

@@ -1,9 +1,11 @@
 import itertools
 import random
 import re
+import time
 from html import unescape
 
-from corpusmill.llm.html_extract import extract, main_text, min_cut
+from corpusmill.llm import html_training
+from corpusmill.llm.html_extract import SCALE, WEIGHTS, extract, main_text, min_cut
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body class="sidebar-left">
 <header><a href="/">Site name</a></header><nav><ul><li><a href="/a">A</a><li><a href="/b">B</a></ul></nav>
@@ -96,3 +98,43 @@ def test_values_are_no_attributes():
     for attr in ('href="/hidden-gems"', 'title="The hidden garden"', 'data-state="hidden"', 'data-class="sidebar"', "title='id=menu'"):
         assert main_text(f"<article><p {attr}>One.</p></article>") == "One.", attr
     assert main_text('<article><p title="x" hidden>One.</p><p HIDDEN>Two.<p class=ad>Three.</article>') == ""
+
+
+def test_names_and_values_of_attributes():
+    said = "A long sentence of the article, which has enough words in it to look like its text."
+    for page in (
+        f'<article><p data-id="ad">{said}</p></article>', f'<article><p title="not hidden">{said}</p></article>', f'<article><div data-subclass="menu">{said}</div></article>',
+        f'<article class="post tag-python"><p>{said}</p></article>', f'<main class="content has-sidebar"><p>{said}</p></main>', f'<article class="review"><p>{said}</p></article>',
+        f'<article id="article-search-engines"><p>{said}</p></article>',
+    ):
+        assert main_text(page) == said, page
+    assert main_text(f'<article><p><a href="/hidden-gems">Gems</a> {said}</p></article>') == f"Gems {said}"
+
+
+def test_forms_and_formulas():
+    said = "A long sentence of the article, which has enough words in it to look like its text."
+    assert main_text(f"<form action=/><nav><a href=a>A</a></nav><article><p>{said}</p><form><p>{said} Form.</p></form></article></form>") == said
+    assert main_text(f"<form action=/><div class=header>x</div><main><p>{said}</p><label>Mail</label><select><option>a</select></main></form>") == said
+    assert main_text(f"<article><p>{said}</p><form><p>{said} Sign up.</p><button>Go</button></form></article>") == said
+    assert main_text("<article><p>Where <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds.</article>") == "Where x=1 holds."
+
+
+def test_linear_on_odd_markup():
+    for piece in ("<span>x</i>", "<b>x", "<a>x<b>", "<div>x</p>", "<span><h2>x", "<i><div><span>x</i>", "<ul><li><span>x", "<a><div><span>x</a>", "<b>x<hr>", "<table><tr><td>x"):
+        took = []
+        for k in (3000, 12000):
+            began = time.process_time()
+            main_text("<article>" + piece * k)
+            took.append(time.process_time() - began)
+        assert took[1] < 10 * took[0] + 0.3, (piece, took)
+
+
+def test_weights_are_fitted():
+    assert html_training.fit() == WEIGHTS and html_training.tuned(WEIGHTS) == SCALE
+
+
+def test_cut_mends_labels_on_held_out_pages():
+    rows = html_training.labelled(range(10_000, 10_400))
+    n, alone, _ = html_training.wrong_labels(rows, WEIGHTS, 0.0)
+    _, wrong, changed = html_training.wrong_labels(rows, WEIGHTS, SCALE)
+    assert wrong < 0.02 * n and changed >= 20 and alone - wrong >= 15, (n, alone, wrong, changed)
