@@ -1,11 +1,16 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from directories.
 
-Passages of a text that speak of rights (lines, or windows around the words that do) are
-compared with the statements of each licence as TF-IDF vectors; the inverse document
-frequencies are counted over all texts. The best cosine of at least COSINE names the
-licence of a file; an SPDX header names it exactly, with score 1. That rights are reserved counts only where no licence is stated, as
-licences themselves say so next to their copyright lines. A licence file, by its name or because its passages are most of its
-text, names the licence of its directory. A file without a licence of its own takes that of
+Passages of a text that speak of rights are compared with the statements of each licence as
+TF-IDF vectors; the inverse document frequencies are counted over all texts. A passage is
+what a sentence has within REACH words of a word on rights; wrapped lines are one sentence,
+a blank line or one that begins like a sentence starts another. What of it stands on the
+line of that word is a passage too, as not every line that has no full stop goes on. The best cosine of at least
+COSINE names the licence of a file; an SPDX header names it exactly, with score 1. Reserved
+rights count only where no licence is stated, as licences themselves say so next to their
+copyright lines, and a statement that a longer licence has too counts for the longer one if
+the text states both. A licence file names the licence of its directory: by its name, or
+because it is a licence's text, that is, most of its LICENCE_WORDS or more words stand in
+such passages; a short remark is none. A file without a licence of its own takes that of
 the nearest directory above it that has one, by joins on paths: each distinct directory
 is joined with its own ancestors, and files with their directory, so that no group of
 files in one directory meets in one task.
@@ -15,8 +20,9 @@ templates are shipped to tasks: some hundred numbers at any corpus size.
 
 Defined results: a null or empty text has no licence of its own; a null path has no
 directory and inherits nothing; where cosines tie, the earlier template wins; where a
-directory has several licence files, the smallest path does; repeated rows each give a
-row; other columns are not read.
+directory has several licence files, the smallest path does, and of rows of that path the
+licence that comes first by name; repeated rows each give a row; a very long text is read
+whole; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,10 +40,10 @@ from pyspark.sql import functions as F
 from corpusmill.llm.common import slices, texts, written
 
 COSINE = 0.6
-#: Words on either side of an anchor in a long line.
+#: Words on either side of an anchor, within its sentence.
 REACH = 20
-#: Share of a text's words in passages from which it is a licence file.
-MOSTLY = 0.5
+#: Share of a text's words in passages, and how many words it has, from which it is a licence's text.
+MOSTLY, LICENCE_WORDS = 0.5, 40
 
 #: What a text says that keeps its rights; a licence said anywhere in it goes before this.
 RESERVED = "proprietary"
@@ -46,6 +52,7 @@ RESERVED = "proprietary"
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -56,6 +63,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
     ("AGPL-3.0", "This program is licensed under the GNU Affero General Public License, version 3."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
     ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
@@ -78,10 +86,11 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     (RESERVED, "Copyright. All rights reserved."),
     (RESERVED, "All rights reserved."),
 )
+#: Licences whose statements another one has as well.
+PART_OF = {"BSD-2-Clause": "BSD-3-Clause"}
 TERM = re.compile(r"[a-z][a-z0-9]*(?:-[a-z0-9]+)*|[0-9]+(?:\.[0-9]+)*(?:-[a-z]+)?")
 VERSION = re.compile(r"\b(?:version|v)\.?\s*([0-9]+(?:\.[0-9]+)*)")
 ANCHOR = re.compile(r"licen[sc]|copyright|spdx|public domain|rights reserved|permission|redistribut|creative commons|\bcc[ -]?(?:by|0)\b|©", re.I)
-SENTENCE = re.compile(r"(?<=[.!?;])\s+")
 #: An SPDX header; its identifiers, less operators and exceptions, name licences exactly.
 SPDX = re.compile(r"spdx-license-identifier:[ \t]*([^\r\n]*)", re.I)
 SPDX_ID = re.compile(r"(?<![\w.+-])(?!(?:and|or|with)(?![\w.-]))[a-z0-9][a-z0-9.-]*\+?", re.I)
@@ -140,84 +149,89 @@ class Templates:
         return (self.rows[k], score[k]) if score[k] > 0 else (None, 0.0)
 
 
-def passages(text: str) -> list[list[str]]:
-    """The terms of each passage: a line with an anchor, or the windows around the anchors of a long one.
-
-    Consecutive lines with anchors also count together, as wrapped statements do, and the
-    sentences of a line with several each count alone, as "Copyright 2024 X. All rights reserved." needs.
-    """
+def sentences(text: str) -> Iterator[tuple[list[str], list[int]]]:
+    """The words of each sentence, and the line of each word."""
+    words: list[str] = []
+    lines: list[int] = []
+    for at, line in enumerate(text.split("\n")):
+        here = line.split()
+        if not here or here[0][0].isupper() and not here[0].isupper():
+            if words:
+                yield words, lines
+            words, lines = [], []
+        for w in here:
+            words.append(w)
+            lines.append(at)
+            if w.endswith((".", "!", "?", ";")):
+                yield words, lines
+                words, lines = [], []
+    if words:
+        yield words, lines
+
+
+def around(words: list[str]) -> list[tuple[int, int, int]]:
+    """(begin, anchor, end) of the ranges of a sentence within REACH words of its anchors; an anchor inside a range begins no other."""
+    starts, at = [], 0
+    for w in words:
+        starts.append(at)
+        at += len(w) + 1
+    out: list[tuple[int, int, int]] = []
+    for m in ANCHOR.finditer(" ".join(words)):
+        k = bisect_right(starts, m.start()) - 1
+        if not out or k >= out[-1][2]:
+            out.append((max(0, k - REACH), k, min(len(words), k + REACH + 1)))
+    return out
+
+
+def speaks(text: str) -> bool:
     low = text.lower()
-    if not any(h in low for h in HINTS):
+    return any(h in low for h in HINTS)
+
+
+def passages(text: str) -> list[list[str]]:
+    """The terms of each passage on rights."""
+    if not speaks(text):
         return []
-    out, run = [], []
-    for line in text.split("\n"):
-        anchors = [m.start() for m in ANCHOR.finditer(line)]
-        if not anchors:
-            if len(run) > 1:
-                out.append([t for r in run for t in r])
-            run = []
-            continue
-        words = line.split()
-        if len(words) <= 2 * REACH:
-            out.append(terms(line))
-            run.append(out[-1])
-            sentences = SENTENCE.split(line.strip())
-            if len(sentences) > 1:
-                out += [terms(x) for x in sentences if ANCHOR.search(x)]
-            continue
-        starts, at = [], 0
-        for w in words:
-            at = line.index(w, at)
-            starts.append(at)
-            at += len(w)
-        last = -1
-        for a in anchors:
-            k = max(0, bisect_right(starts, a) - 1)
-            if k <= last:
-                continue
-            sentence = [k, k]  # grow to the ends of the sentence, within REACH
-            while sentence[0] > max(0, k - REACH) and not words[sentence[0] - 1].endswith((".", "!", "?", ";")):
-                sentence[0] -= 1
-            while sentence[1] < min(len(words) - 1, k + REACH) and not words[sentence[1]].endswith((".", "!", "?", ";")):
-                sentence[1] += 1
-            last = sentence[1]
-            out.append(terms(" ".join(words[sentence[0] : sentence[1] + 1])))
-    if len(run) > 1:
-        out.append([t for r in run for t in r])
+    out = []
+    for words, lines in sentences(text):
+        for i, k, j in around(words):
+            out.append(terms(" ".join(words[i:j])))
+            own = [w for w, at in zip(words[i:j], lines[i:j], strict=True) if at == lines[k]]
+            if len(own) < j - i:
+                out.append(terms(" ".join(own)))
     return [p for p in out if p]
 
 
-def passage_share(text: str) -> float:
-    """The share of a text's words that stand in a sentence within REACH of its anchors, each word once.
-
-    Wrapped lines are one sentence; a blank line, or a line that begins like a sentence, ends it.
-    """
-    low = text.lower()
-    if not any(h in low for h in HINTS):
-        return 0.0
-    sentences: list[list[str]] = [[]]
-    for line in text.split("\n"):
-        words = line.split()
-        if not words or words[0][0].isupper() and not words[0].isupper():
-            sentences.append([])
-        for w in words:
-            sentences[-1].append(w)
-            if w.endswith((".", "!", "?", ";")):
-                sentences.append([])
+def is_licence_text(text: str) -> bool:
+    """Whether text is a licence's own: of its words, each counted once, most stand in passages."""
+    if not speaks(text):
+        return False
     total = said = 0
-    for words in sentences:
+    for words, _ in sentences(text):
         total += len(words)
-        starts, at = [], 0
-        for w in words:
-            starts.append(at)
-            at += len(w) + 1
         until = 0
-        for m in ANCHOR.finditer(" ".join(words)):
-            k = bisect_right(starts, m.start()) - 1
-            begin, end = max(until, k - REACH), min(len(words), k + REACH + 1)
-            said += max(0, end - begin)
-            until = max(until, end)
-    return said / total if total else 0.0
+        for i, _, j in around(words):
+            said += j - max(until, i)
+            until = j
+    return total >= LICENCE_WORDS and said >= MOSTLY * total
+
+
+def licence_of(text: str, templates: Templates) -> tuple[str | None, float]:
+    """The licence that a text states, and its score."""
+    name = spdx(text)
+    if name:
+        return name, 1.0
+    best: dict[str, float] = {}
+    for p in passages(text):
+        found, s = templates.best(p)
+        if s >= COSINE and s > best.get(found, 0.0):
+            best[found] = s
+    for part, whole in PART_OF.items():
+        if part in best and whole in best:
+            best[whole] = max(best[whole], best.pop(part))
+    # grants before reserved rights, then the score, then the order of the templates
+    order = list(dict.fromkeys(n for n, _ in TEMPLATES))
+    return max(best.items(), key=lambda x: (x[0] != RESERVED, round(x[1], 12), -order.index(x[0])), default=(None, 0.0))
 
 
 def document_counts(docs: DataFrame, text: str = "text") -> tuple[dict[str, int], int]:
@@ -238,7 +252,7 @@ def document_counts(docs: DataFrame, text: str = "text") -> tuple[dict[str, int]
 
 
 def own_licences(docs: DataFrame, key: list[str], text: str = "text") -> DataFrame:
-    """key columns, license, score and mostly (whether passages on rights are most of the text) of every row."""
+    """key columns, license, score and mostly (whether the text is a licence's own) of every row."""
     counts, n = document_counts(docs, text)
     kinds = docs.select(*key).schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", license string, score double, mostly boolean"
@@ -246,18 +260,10 @@ def own_licences(docs: DataFrame, key: list[str], text: str = "text") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         templates = Templates(counts, n)
         for batch in slices(batches):
-            names, scores, mostly = [], [], []
-            for t in texts(batch.column(len(key))):
-                name = spdx(t)
-                score = 1.0 if name else 0.0
-                grant = bool(name)  # whether name is a licence, which goes before reserved rights
-                for p in passages(t) if not name else ():
-                    found, s = templates.best(p)
-                    if s >= COSINE and ((found != RESERVED) > grant or (found != RESERVED) == grant and s > score + 1e-12):
-                        name, score, grant = found, s, found != RESERVED
-                names.append(name)
-                scores.append(round(score, 9) if name else None)
-                mostly.append(bool(name) and passage_share(t) >= MOSTLY)
+            whole = texts(batch.column(len(key)))
+            names, scores = zip(*(licence_of(t, templates) for t in whole), strict=True)
+            scores = [round(s, 9) if n else None for n, s in zip(names, scores, strict=True)]
+            mostly = [bool(n) and is_licence_text(t) for n, t in zip(names, whole, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(mostly, pa.bool_())], names=[*key, "license", "score", "mostly"])
 
     return docs.select(*key, F.col(text)).mapInArrow(run, schema)
@@ -273,7 +279,7 @@ def scan(docs: DataFrame, path: Column, key: list[str], text: str = "text") -> D
     docs = docs.select(*key, path.alias("__path"), text)
     own = written(own_licences(docs, [*key, "__path"], text).withColumn("__dir", directory(F.col("__path"))), "licences")
     is_file = F.regexp_like(F.regexp_replace("__path", "^.*/", ""), F.lit(LICENCE_FILE)) | F.col("mostly")
-    by_dir = own.where(is_file & F.col("license").isNotNull() & F.col("__dir").isNotNull()).groupBy("__dir").agg(F.min_by(F.struct("license", "score"), "__path").alias("got"))
+    by_dir = own.where(is_file & F.col("license").isNotNull() & F.col("__dir").isNotNull()).groupBy("__dir").agg(F.min_by(F.struct("license", "score"), F.struct("__path", "license", "score")).alias("got"))
     dirs = own.where("license is null and __dir is not null").select("__dir").distinct()
     parts = F.split("__dir", "/")
     above = F.when(F.col("__dir") == "", F.array(F.lit(""))).otherwise(
