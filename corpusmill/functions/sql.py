@@ -11,7 +11,7 @@ from pyspark.sql.functions import udtf
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from corpusmill.config import SiteProfile
-from corpusmill.functions.text import SPACE, SPACE_LF
+from corpusmill.functions.text import LINE_END, TRIM
 
 ANCHOR = re.compile(r"<a[^>]+href=[\"']([^\"']+)[\"'][^>]*>", re.I)
 
@@ -38,8 +38,8 @@ def register_functions(spark: SparkSession, profile: SiteProfile) -> list[str]:
         "clean_url": "substring_index(substring_index(u, '#', 1), '?', 1)",
         "extract_version": f"nullif(regexp_extract(u, {lit(quoted + '/([0-9]+)/')}, 1), '')",
         "canonical_url": f"regexp_replace(u, {lit('(?s)^(.*?)' + quoted + '/[0-9]+/')}, {lit('$1' + profile.path_prefix + '/')})",
-        "normalize_markdown": f"regexp_replace(regexp_replace(regexp_replace(u, {lit('[' + SPACE + ']+(?=\\n|\\z)')}, ''), {lit('\\n{3,}')}, '\\n\\n'), {lit('^[' + SPACE_LF + ']+|[' + SPACE_LF + ']+\\z')}, '')",
-        "js_trim": f"regexp_replace(u, {lit('^[' + SPACE_LF + ']+|[' + SPACE_LF + ']+\\z')}, '')",
+        "normalize_markdown": f"regexp_replace(regexp_replace(regexp_replace(u, {lit(LINE_END)}, ''), {lit('\\n{3,}')}, '\\n\\n'), {lit(TRIM)}, '')",
+        "js_trim": f"regexp_replace(u, {lit(TRIM)}, '')",
     }
     for name, body in made.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(u STRING) RETURNS STRING RETURN {body}")

@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 #: The white space of the web, without and with the line feed.
 SPACE = r"\t\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 SPACE_LF = SPACE + r"\n"
+#: A run of space is tried at its first character alone and never given back, so that a long run costs its length once.
+LINE_END = f"(?<![{SPACE}])[{SPACE}]++(?=\\n|\\z)"
+TRIM = f"\\A[{SPACE_LF}]++|(?<![{SPACE_LF}])[{SPACE_LF}]++\\z"
 
 
 def js_trim(text: Column) -> Column:
-    return F.regexp_replace(text, f"^[{SPACE_LF}]+|[{SPACE_LF}]+\\z", "")
+    return F.regexp_replace(text, TRIM, "")
 
 
 def trim_line_ends(text: Column) -> Column:
-    return F.regexp_replace(text, f"[{SPACE}]+(?=\\n|\\z)", "")
+    return F.regexp_replace(text, LINE_END, "")
 
 
 def normalize_whitespace(markdown: Column) -> Column:

@@ -61,27 +61,43 @@ def redirect_filename(url: Column, prefix: str) -> Column:
     return url_to_filename(url, prefix, ".redirect.json")
 
 
+def without_dots(path: Column) -> Column:
+    """An absolute path without its . and .. segments; what leads above the top stays at the top."""
+    dot = lambda x, n: F.lower(F.regexp_replace(x, "(?i)%2e", ".")) == "." * n
+    parts = F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/")))
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, x: F.when(dot(x, 2), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(dot(x, 1), done).otherwise(F.concat(done, F.array(x))),
+    )
+    last = F.element_at(parts, -1)
+    ends = F.when(dot(last, 1) | dot(last, 2), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(F.regexp_like(path, F.lit(r"(?i)/(?:\.|%2e){1,2}(?:/|\z)")), F.concat(F.lit("/"), F.array_join(ends, "/"))).otherwise(path)
+
+
 def resolve_href(href: Column, base: Column) -> Column:
-    """href as an absolute URL; null if that can't be. Dot segments stay as they are."""
+    """href as an absolute URL, dot segments resolved; null if that can't be. An href that begins with http stays as it is."""
     origin = F.regexp_extract(base, ORIGIN, 1)
-    folder = F.regexp_extract(clean_url(base), "^(.*/)[^/]*$", 1)
-    at_root = F.regexp_like(clean_url(base), F.lit(r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*$"))
+    path, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*((?s:.*))\z", 1)
+    here = F.regexp_extract(clean_url(base), PATH, 1)
+    folder = F.when(F.contains(here, F.lit("/")), F.regexp_extract(here, "^(.*/)[^/]*$", 1)).otherwise("/")
+    host = F.regexp_extract(path, "^(//[^/]*)", 1)
+    below = F.regexp_replace(path, "^//[^/]*", "")
     found = (
         F.when(href.startswith("http"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), href))
-        .when(href.startswith("/"), F.concat(origin, href))
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), host, without_dots(F.when(below == "", "/").otherwise(below)), rest))
+        .when(href.startswith("/"), F.concat(origin, without_dots(path), rest))
         .when(href.startswith("#"), F.concat(F.substring_index(base, "#", 1), href))
         .when(href.startswith("?"), F.concat(clean_url(base), href))
         .when(F.regexp_like(href, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), href)
-        .when(at_root, F.concat(origin, F.lit("/"), href))
-        .otherwise(F.concat(folder, href))
+        .otherwise(F.concat(origin, without_dots(F.concat(folder, path)), rest))
     )
     return F.when((origin != "") | href.startswith("http"), found)
 
 
 @F.pandas_udf(StringType())
 def resolve_href_general(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """resolve_href with dot segments, for hrefs that may have them."""
+    """The same by the standard library, for hrefs of other schemes' rules."""
     from urllib.parse import urljoin
 
     def one(href, base):

@@ -19,8 +19,12 @@ FIELDS = pa.struct([("title", pa.string()), ("heading", pa.string()), ("text", p
 COLUMNS = "title string, heading string, text string, html string, breadcrumb array<string>, hrefs array<string>, body_md string, error string"
 
 
-def extract_one(html: str | None, profile: SiteProfile, selectors: tuple[str, ...] | None = None) -> dict:
-    """All fields of a page. A page that fails gives its error and empty fields, and stops nothing."""
+#: Rows of a batch that are in Python at a time.
+SLICE = 64
+
+
+def extract_one(html: str | None, profile: SiteProfile, selectors: tuple[str, ...] | None = None, fields: frozenset[str] = frozenset(FIELDS.names)) -> dict:
+    """All fields of a page; those not among fields stay empty. A page that fails gives its error, and stops nothing."""
     out = dict.fromkeys(("title", "heading", "text", "html", "body_md"), "") | {"breadcrumb": [], "hrefs": [], "error": None}
     try:
         document = parse(html or "")
@@ -32,25 +36,37 @@ def extract_one(html: str | None, profile: SiteProfile, selectors: tuple[str, ..
         heading = document.first("h1")
         out["heading"] = heading.text().strip(SPACE) if heading is not None else ""
         out["hrefs"] = [n.attrs["href"] for n in document.select("a[href]")]
+        if not fields & {"text", "html", "body_md"}:
+            return out
         body = document.first("body")
         clean(body, profile, selectors)
         # the cleaned body stands in no page, so its text is that of its text nodes
-        out["text"], out["html"] = body.text().strip(SPACE), inner_html(body)
-        out["body_md"] = markdown(body)
+        if "text" in fields:
+            out["text"] = body.text().strip(SPACE)
+        if "html" in fields:
+            out["html"] = inner_html(body)
+        if "body_md" in fields:
+            out["body_md"] = markdown(body)
     except Exception as error:  # one page's markup must not stop the others
         out["error"] = f"{type(error).__name__}: {error}"
     return out
 
 
-def extract_pages(pages: DataFrame, profile: SiteProfile, selectors: tuple[str, ...] | None = None, keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    """keep, url, the fields of extract_one, links (clean, below the profile's base) and md of every page."""
+def extract_pages(pages: DataFrame, profile: SiteProfile, selectors: tuple[str, ...] | None = None, keep: tuple[str, ...] = ("page_id",), fields: tuple[str, ...] = tuple(FIELDS.names)) -> DataFrame:
+    """keep, url, the fields of extract_one, links (clean, below the profile's base) and md of every page.
+
+    Of fields that aren't asked for only empty values are made.
+    """
+    asked = frozenset(fields)
     names = [*keep, "url"]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*names).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.array([extract_one(h, profile, selectors) for h in batch.column(len(names)).to_pylist()], FIELDS)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *rows.flatten()], names=[*names, *(f.name for f in FIELDS)])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                rows = pa.array([extract_one(h, profile, selectors, asked) for h in batch.column(len(names)).to_pylist()], FIELDS)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *rows.flatten()], names=[*names, *(f.name for f in FIELDS)])
 
     found = pages.select(*names, "html").mapInArrow(run, f"{kept}, {COLUMNS}")
     own = F.filter("hrefs", lambda h: F.contains(h, F.lit(profile.path_prefix)))

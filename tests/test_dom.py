@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from corpusmill.config import ANY_SITE, SiteProfile, parse_arguments
@@ -79,3 +81,14 @@ def test_arguments():
     with pytest.raises(SystemExit) as e:
         parse_arguments(["many"])
     assert e.value.code == 1
+
+
+def test_cleaning_is_linear():
+    """Deep markup, and very many matches under one parent."""
+    for make in (lambda k: "<div>x" * k, lambda k: "<div><p>This free lesson</p><a href='/services/education/x'>y</a></div>" * k, lambda k: "<p>Cookie Settings</p>" * k, lambda k: "<span>Thank you for your feedback!</span>" * k, lambda k: "<div>" * k + "<a href='/services/education/x'>y</a>" * k):
+        took = []
+        for k in (1500, 6000):
+            began = time.process_time()
+            assert extract_one("<body>" + make(k), SITE)["error"] is None
+            took.append(time.process_time() - began)
+        assert took[1] < 10 * took[0] + 0.3, took

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -94,3 +95,19 @@ def test_sizes(spark):
     assert column(spark, ["a🙂é"], T.utf16_length) == [4] and column(spark, ["a\n\n\nb"], T.preview) == ["a\nb"]
     df = spark.range(1).select(T.iso_time(F.lit(dt.datetime(2024, 1, 2, 3, 4, 5, 6000)).cast("timestamp")))
     assert df.first()[0] == "2024-01-02T03:04:05.006Z"
+
+
+def test_long_runs_of_space_cost_their_length_once(spark):
+    long = "a" + " " * 1_000_000 + "b" + "\t" * 1_000_000
+    began = time.monotonic()
+    got = column(spark, [long, " " * 1_000_000, long + "\n"], T.normalize_whitespace)
+    assert got == ["a" + " " * 1_000_000 + "b", "", "a" + " " * 1_000_000 + "b"] and time.monotonic() - began < 20
+
+
+def test_dot_segments(spark):
+    base = "https://h.example/a/b/c?q#f"
+    cases = {"../x": "/a/x", "./x": "/a/b/x", "../../../x": "/x", "..": "/a/", ".": "/a/b/", "/p/./q/../r": "/p/r", "/p/..": "/", "x/%2e%2E/y": "/a/b/y", "x.y/..z": "/a/b/x.y/..z", "/a//b/../c": "/a//c", "x?../y": "/a/b/x?../y", "": "/a/b/"}
+    assert column(spark, list(cases), lambda h: U.resolve_href(h, F.lit(base))) == ["https://h.example" + v for v in cases.values()]
+    assert column(spark, ["x", "../x", "/"], lambda h: U.resolve_href(h, F.lit("https://h.example"))) == ["https://h.example/x", "https://h.example/x", "https://h.example/"]
+    for href in [k for k in cases if k and "%" not in k]:
+        assert column(spark, [href], lambda h: U.resolve_href(h, F.lit(base))) == column(spark, [href], lambda h: U.resolve_href_general(h, F.lit(base))), href
