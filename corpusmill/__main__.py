@@ -27,7 +27,6 @@ def main(argv: list[str]) -> int:
     profile = SiteProfile(base_url=known.base_url, path_prefix=known.prefix, product=known.product, corpus_title=known.title)
 
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
     from corpusmill.plans.runs import crawl_snapshot
     from corpusmill.sources import progress
@@ -38,7 +37,7 @@ def main(argv: list[str]) -> int:
     stored = progress.read_pages(spark, options)
     cached = stored.where("fresh").select("url", "md")
     got = crawl_snapshot(spark.read.parquet(known.pages), profile, options, cached, progress.read_redirects(spark, options), progress.resume_seeds(stored, profile))
-    progress.save_pages(got["pages"].drop("ord").withColumn("ord", F.monotonically_increasing_id()), profile, options)
+    progress.save_pages(got["pages"], profile, options)
     write_corpus(got["corpus"], f"{options.output_dir}/llms-full.txt")
     got["summary"].write.mode("overwrite").json(f"{options.output_dir}/_summary.json")
     row = got["summary"].select("cachedPages", "newlyFetchedPages").first()

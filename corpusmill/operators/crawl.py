@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.urls import canonical_url
 from corpusmill.operators.dedup import dedup_versions
 from corpusmill.sources.tables import written
 
@@ -70,6 +72,73 @@ def reachable_within(edges: DataFrame, seeds: DataFrame, max_pages: int | None,
     return (ordered if max_pages is None else ordered.limit(max_pages)).select("url", "depth")
 
 
+@dataclass(frozen=True)
+class Rounds:
+    """What a crawl by breadth has done: tried (url, final, ok, saved, round, number), visited (url, round, number, step), redirects."""
+
+    tried: DataFrame
+    visited: DataFrame
+    redirects: DataFrame
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: str, leads: DataFrame, known: DataFrame, cached: DataFrame, max_pages: int | None = None) -> Rounds:
+    """A crawl by breadth, round by round, each a few joins and written tables.
+
+    links: src, dst, pos of the pages that are there (url). leads: source, target of what a
+    fetch is led to. known: source, target, cachedAt of redirects known before. seeds: url,
+    ord. cached: url of pages that are taken over and free. In a round, of the links found in
+    the one before, those go on that frontier() takes; a version gives way to the page
+    without it where that is there. Every attempt counts against max_pages and makes its url
+    visited, also when it fails; one that is led elsewhere makes that visited too, and saves
+    nothing if that was visited before or by an earlier attempt of the round.
+    """
+    leads = written(leads.groupBy("source").agg(F.max("target").alias("target")), "leads")
+    found = written(there.select("url").distinct(), "there")
+    answers = written(found.union(leads.join(found.withColumnRenamed("url", "target"), "target", "left_semi").select("source")).distinct(), "answers")
+    queue = seeds.groupBy("url").agg(F.min(F.struct(F.lit(0).cast("long").alias("number"), F.col("ord").cast("long").alias("pos"))).alias("ord"))
+    memo = [written(known.select("source", "target", F.col("cachedAt").cast("string").alias("cachedAt"), F.lit(-1).alias("round")), "memo")]
+    visited = [written(cached.select("url").distinct().select("url", F.lit(-1).alias("round"), F.lit(0).cast("long").alias("number"), F.lit(0).alias("step")), "visited")]
+    tried: list[DataFrame] = []
+    room, round_ = max_pages, 0
+    while room is None or room > 0:
+        seen, led = _union(visited), _union(memo).select("source", "target", F.struct("round", "cachedAt").alias("cachedAt"))
+        new = frontier(queue, seen, led, prefix)
+        canonical = canonical_url(F.col("url"), prefix)
+        new = new.withColumn("canonical", canonical).join(answers.withColumnRenamed("url", "canonical").withColumn("answers", F.lit(True)), "canonical", "left")
+        new = new.groupBy(F.when(F.col("answers"), F.col("canonical")).otherwise(F.col("url")).alias("url")).agg(F.min("ord").alias("ord"))
+        # the page that a version gives way to may be visited itself, or led to what is
+        new = new.join(seen.select("url"), "url", "left_anti")
+        new = resolve_redirects(new, led).join(seen.select(F.col("url").alias("target")), "target", "left_anti").select("url", "ord").orderBy("ord.number", "ord.pos", "url")
+        new = new if room is None else new.limit(room)
+        goes = written(new.select("url", F.monotonically_increasing_id().alias("number")), "goes")
+        n = goes.count()
+        if not n:
+            break
+        led_to = goes.join(leads.withColumnRenamed("source", "url"), "url", "left").select("url", "number", F.coalesce("target", "url").alias("final"))
+        got = led_to.join(found.select(F.col("url").alias("final"), F.lit(True).alias("ok")), "final", "left").join(seen.select(F.col("url").alias("final"), F.lit(True).alias("old")).distinct(), "final", "left")
+        first = written(got.where("ok").groupBy("final").agg(F.min(F.struct((F.col("final") != F.col("url")).alias("led"), "number")).alias("first")), "first")
+        got = got.join(first, "final", "left").select("url", "final", F.coalesce("ok", F.lit(False)).alias("ok"), "number", (F.col("ok") & F.col("old").isNull() & (F.col("first.number") == F.col("number"))).alias("saved"))
+        got = written(got.withColumns({"saved": F.coalesce("saved", F.lit(False)), "round": F.lit(round_)}), "tried")
+        tried.append(got)
+        own = got.select("url", "round", "number", F.lit(0).alias("step"))
+        also = got.where("ok and final <> url").join(got.select(F.col("url").alias("final")), "final", "left_anti").groupBy("final").agg(F.min("number").alias("number")).select(F.col("final").alias("url"), F.lit(round_).alias("round"), "number", F.lit(1).alias("step"))
+        visited.append(written(own.unionByName(also), "visited"))
+        memo.append(written(got.where("ok and final <> url").select(F.col("url").alias("source"), F.col("final").alias("target"), F.lit("").alias("cachedAt"), "round"), "memo"))
+        queue = written(got.where("saved").select(F.col("final").alias("src"), "number").join(links, "src").where("dst is not null").groupBy(F.col("dst").alias("url")).agg(F.min(F.struct("number", F.col("pos").cast("long").alias("pos"))).alias("ord")), "queue")
+        room, round_ = None if room is None else room - n, round_ + 1
+        if round_ % 16 == 0:
+            visited, memo = [written(_union(visited), "visited")], [written(_union(memo), "memo")]
+    empty = visited[0].limit(0).select("url", F.col("url").alias("final"), F.lit(False).alias("ok"), "number", F.lit(False).alias("saved"), "round")
+    return Rounds(_union(tried) if tried else empty, _union(visited), _union(memo).select("source", "target"))
+
+
 @dataclass
 class Site:
     """What a depth-first crawl asks: the links of a page, where its fetch leads, whether it is there."""
@@ -160,20 +229,36 @@ class Crawl:
         return site.links(url)
 
 
-def crawl_depth_first(edges: DataFrame, seeds: list[str], prefix: str, max_pages: int | None = None, redirects: dict[str, str] | None = None, missing: frozenset[str] = frozenset(), cached: list[str] | None = None) -> Crawl:
+#: Pages whose links are asked for in one job, and links that the driver keeps.
+AHEAD, KEPT_LINKS = 500, 1_000_000
+
+
+def crawl_depth_first(edges: DataFrame, seeds: list[str], prefix: str, max_pages: int | None = None, redirects: dict[str, str] | None = None, missing: frozenset[str] = frozenset(), cached: list[str] | None = None, failing: Callable[[str], bool] = lambda url: False) -> Crawl:
     """The exact pages of a depth-first crawl, whose order decides what a limit lets in.
 
-    The order is sequential by nature, so this runs on the driver and asks for a page's
-    links as it gets there; use reachable() for link graphs of any size.
+    The order is sequential by nature, so this runs on the driver. It asks for the links of a
+    page together with those of the pages that its siblings lead to, AHEAD at a time, so that
+    jobs are far fewer than pages; use crawl_rounds() for link graphs of any size.
     """
-    ahead = redirects or {}
+    ahead, spark = redirects or {}, edges.sparkSession
+    known: dict[str, list[str]] = {}
+    waiting: deque[str] = deque(seeds, maxlen=AHEAD)
 
     def links(url: str) -> list[str]:
         at = ahead.get(url, url)
-        return [r.dst for r in edges.where((F.col("src") == at) & F.col("dst").isNotNull()).orderBy("pos").select("dst").collect()]
+        if at not in known:
+            if sum(map(len, known.values())) > KEPT_LINKS:
+                known.clear()
+            wanted = [at, *({ahead.get(u, u) for u in waiting} - known.keys() - {at})]
+            known.update({u: [] for u in wanted})
+            rows = edges.where(F.col("dst").isNotNull()).join(F.broadcast(spark.createDataFrame([(u,) for u in wanted], "src string")), "src").select("src", "pos", "dst").collect()
+            for r in sorted(rows, key=lambda r: (r.src, r.pos)):
+                known[r.src].append(r.dst)
+            waiting.extendleft(reversed([x for u in wanted for x in known[u]][:AHEAD]))
+        return known[at]
 
     crawl = Crawl(prefix, max_pages)
     for url in cached or []:
         crawl.take_cached(url)
-    crawl.run(Site(links, lambda u: ahead.get(u, u), lambda u: u not in missing), seeds)
+    crawl.run(Site(links, lambda u: ahead.get(u, u), lambda u: u not in missing, failing), seeds)
     return crawl

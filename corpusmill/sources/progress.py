@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from corpusmill.config import CrawlOptions, SiteProfile
 from corpusmill.functions.text import iso_time, page_is_fresh, redirect_is_fresh
 from corpusmill.functions.urls import extract_links, redirect_filename, url_to_filename
+from corpusmill.operators.dedup import last_write
 
 PAGE = "url string, title string, heading string, breadcrumb array<string>, text string, crawledAt string"
 REDIRECT = "source string, target string, cachedAt string"
@@ -34,11 +35,15 @@ def _files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("filename"), "value")
 
 
+def valid_redirects(rows: DataFrame, options: CrawlOptions) -> DataFrame:
+    """source, target, cachedAt of the redirect records (source, target, cachedAt: string) that are still valid."""
+    rows = rows.where("source is not null and target is not null").withColumn("cachedAt", parsed_time(F.col("cachedAt")))
+    return rows.where(redirect_is_fresh(F.col("cachedAt"), F.lit(options.now), options.stale_seconds)).select("source", "target", "cachedAt")
+
+
 def read_redirects(spark: SparkSession, options: CrawlOptions) -> DataFrame:
     """source, target, cachedAt of the redirects that are still valid."""
-    rows = _files(spark, options.progress_dir, "*.redirect.json").select("filename", F.from_json("value", REDIRECT).alias("r")).select("filename", "r.*").where("source is not null and target is not null")
-    rows = rows.withColumn("cachedAt", parsed_time(F.col("cachedAt")))
-    return rows.where(redirect_is_fresh(F.col("cachedAt"), F.lit(options.now), options.stale_seconds)).select("source", "target", "cachedAt")
+    return valid_redirects(_files(spark, options.progress_dir, "*.redirect.json").select(F.from_json("value", REDIRECT).alias("r")).select("r.*"), options)
 
 
 def lookup_redirect(spark: SparkSession, url: str, profile: SiteProfile, options: CrawlOptions) -> str | None:
@@ -53,19 +58,20 @@ def lookup_redirect(spark: SparkSession, url: str, profile: SiteProfile, options
     return None if fresh.isEmpty() else row.target
 
 
-def _put(folder: str, name: str, text: str) -> None:
-    """One file. For folders of this machine; tables are the form for a cluster."""
-    import os
-
-    os.makedirs(folder.removeprefix("file://"), exist_ok=True)
-    with open(f"{folder.removeprefix('file://')}/{name}", "w", encoding="utf-8") as f:
-        f.write(text)
+def _put(spark: SparkSession, folder: str, name: str, text: str) -> None:
+    """One file, in whatever store the folder is: the driver writes it through Spark's file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder, name)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
 
 
 def save_redirect(spark: SparkSession, source: str, target: str, profile: SiteProfile, options: CrawlOptions) -> str:
     name = spark.range(1).select(redirect_filename(F.lit(source), profile.path_prefix)).first()[0]
     at = options.now.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.") + f"{options.now.microsecond // 1000:03d}Z"
-    _put(options.progress_dir, name, json.dumps({"source": source, "target": target, "cachedAt": at}, indent=2, ensure_ascii=False))
+    _put(spark, options.progress_dir, name, json.dumps({"source": source, "target": target, "cachedAt": at}, indent=2, ensure_ascii=False))
     return name
 
 
@@ -74,38 +80,40 @@ def page_records(pages: DataFrame, profile: SiteProfile, now: Column, keep: tupl
     return pages.select(*keep, "url", "title", "heading", F.coalesce("breadcrumb", F.array().cast("array<string>")).alias("breadcrumb"), "text", iso_time(now).alias("crawledAt"), "html", "md", url_to_filename(F.col("url"), profile.path_prefix).alias("filename"))
 
 
-def save_pages(pages: DataFrame, profile: SiteProfile, options: CrawlOptions) -> None:
-    """Writes the three files of each page, where a later ord overwrites an earlier one of the same name."""
-    from corpusmill.operators.dedup import last_write
+def chosen_records(pages: DataFrame, profile: SiteProfile, options: CrawlOptions, ord_: str = "ord") -> DataFrame:
+    """One record for each file name: that of the page with the largest ord, as a later write leaves it."""
+    rows = page_records(pages, profile, F.lit(options.now), keep=(ord_,))
+    return last_write(rows.where("filename is not null"), F.col("filename"), ord_).drop(ord_)
 
-    ordered = pages if "ord" in pages.columns else pages.withColumn("ord", F.monotonically_increasing_id())
-    rows = page_records(ordered, profile, F.lit(options.now), keep=("ord",))
-    chosen = last_write(rows.where("filename is not null"), F.col("filename"))
-    folder = options.progress_dir
 
-    def put(rows) -> None:
-        for r in rows:
-            data = {k: r[k] for k in ("url", "title", "heading", "breadcrumb", "text", "crawledAt")}
-            stem = r["filename"].removesuffix(".json")
-            _put(folder, r["filename"], json.dumps(data, indent=2, ensure_ascii=False))
-            _put(folder, f"{stem}.html", r["html"] or "")
-            _put(folder, f"{stem}.md", r["md"] or "")
+def save_table(pages: DataFrame, profile: SiteProfile, options: CrawlOptions, path: str, ord_: str = "ord") -> None:
+    """The records as one table, written by the executors: the form for snapshots of any size, in any store."""
+    chosen_records(pages, profile, options, ord_).write.mode("overwrite").parquet(path)
 
-    chosen.foreachPartition(put)
 
+def save_pages(pages: DataFrame, profile: SiteProfile, options: CrawlOptions, ord_: str = "ord") -> None:
+    """The three files of each page, in any store. The driver writes them, a page at a time; save_table() is the form for large crawls."""
+    spark = pages.sparkSession
+    for r in chosen_records(pages, profile, options, ord_).toLocalIterator():
+        data = {k: r[k] for k in ("url", "title", "heading", "breadcrumb", "text", "crawledAt")}
+        stem = r["filename"].removesuffix(".json")
+        for name, text in ((r["filename"], json.dumps(data, indent=2, ensure_ascii=False)), (f"{stem}.html", r["html"] or ""), (f"{stem}.md", r["md"] or "")):
+            _put(spark, options.progress_dir, name, text)
 
-def read_pages(spark: SparkSession, options: CrawlOptions) -> DataFrame:
-    """filename, the JSON fields, html, md, complete and fresh of every page record of the folder.
 
-    Freshness is settled from the JSON alone; only fresh pages' html and md are asked for.
-    """
+def judged(records: DataFrame, options: CrawlOptions) -> DataFrame:
+    """records (url, crawledAt: string, html, md among others) with complete, and fresh: complete and young."""
+    complete = F.col("html").isNotNull() & F.col("md").isNotNull()
+    young = page_is_fresh(parsed_time(F.col("crawledAt")), F.lit(options.now), options.stale_seconds) & F.col("url").isNotNull()
+    return records.withColumn("complete", complete).withColumn("fresh", young & complete)
+
+
+def read_pages(spark: SparkSession, options: CrawlOptions) -> DataFrame:
+    """filename, the JSON fields, html, md, complete and fresh of every page record of the folder."""
     records = _files(spark, options.progress_dir, "*.json").where("filename not like '%.redirect.json' and filename <> '_summary.json'")
     records = records.select(F.regexp_replace("filename", r"\.json\z", "").alias("stem"), "filename", F.from_json("value", PAGE).alias("r")).select("stem", "filename", "r.*")
-    records = records.withColumn("young", page_is_fresh(parsed_time(F.col("crawledAt")), F.lit(options.now), options.stale_seconds) & F.col("url").isNotNull())
     side = lambda ext: _files(spark, options.progress_dir, f"*.{ext}").select(F.regexp_replace("filename", rf"\.{ext}\z", "").alias("stem"), F.col("value").alias(ext))
-    out = records.join(side("html"), "stem", "left").join(side("md"), "stem", "left")
-    complete = F.col("html").isNotNull() & F.col("md").isNotNull()
-    return out.withColumn("complete", complete).withColumn("fresh", F.col("young") & complete).drop("young")
+    return judged(records.join(side("html"), "stem", "left").join(side("md"), "stem", "left"), options)
 
 
 def cache_summary(pages: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 import datetime as dt
 import http.server
+import random
+import re
 import threading
 
 from pyspark.sql import functions as F
 
 from corpusmill.config import CrawlOptions, SiteProfile
-from corpusmill.operators.crawl import Crawl, Site, reachable, reachable_within
+from corpusmill.operators.crawl import Crawl, Site, crawl_rounds, reachable, reachable_within
 from corpusmill.operators.dedup import dedup_versions
 from corpusmill.plans.runs import crawl_snapshot, regenerate, sample
 from corpusmill.sources import progress
@@ -65,8 +67,13 @@ def test_run_save_resume(spark, tmp_path):
     assert progress.lookup_redirect(spark, f"{B}/old", SITE, later) is None and progress.read_redirects(spark, later).count() == 0
     got = crawl_snapshot(pages(spark), SITE, options, redirects=progress.read_redirects(spark, options))
     assert {r.url for r in got["pages"].collect()} == {B, f"{B}/a", f"{B}/152/b", f"{B}/new"}
-    assert got["summary"].first().pages[0] == B and got["summary"].first().totalPages == 4
-    progress.save_pages(got["pages"].withColumn("ord", F.lit(0)), SITE, options)
+    # every attempt counts and is visited: the one that fails, and the one that is led elsewhere, with where it is led
+    assert {(r.url, r.final, r.ok, r.saved) for r in got["tried"].collect()} == {(B, B, True, True), (f"{B}/a", f"{B}/a", True, True), (f"{B}/152/b", f"{B}/152/b", True, True), (f"{B}/old", f"{B}/new", True, True), (f"{B}/", f"{B}/", False, False)}
+    whole = got["summary"].first()
+    assert whole.pages == [B, f"{B}/a", f"{B}/152/b", f"{B}/old", f"{B}/new", f"{B}/"] and whole.totalPages == whole.newlyFetchedPages == 5
+    progress.save_pages(got["pages"], SITE, options)
+    progress.save_table(got["pages"], SITE, options, f"file://{tmp_path}/records")
+    assert spark.read.parquet(f"file://{tmp_path}/records").count() == 4
     (tmp_path / "progress" / "broken.json").write_text("{")
     stored = progress.read_pages(spark, options)
     assert progress.cache_summary(stored).first().asDict() == {"fresh": 4, "stale": 1}
@@ -128,3 +135,48 @@ def test_stream_equals_batch(spark, tmp_path):
         write_stream(extracted_stream(page_stream(spark, f"{tmp_path}/in"), SITE), f"{tmp_path}/out", f"{tmp_path}/at").awaitTermination(60)
     got = spark.read.parquet(f"{tmp_path}/out")
     assert got.count() == 5 and {r.canonical for r in got.collect()} == {B, f"{B}/a", f"{B}/b", f"{B}/new", f"{B}/island"}
+
+
+def test_rounds_against_a_plain_crawl(spark):
+    """Random sites with versions, redirects and missing pages: what is tried and visited, in order and under limits."""
+    pick = random.Random(8)
+    for turn in range(3):
+        names = [f"{B}/p{i}" for i in range(14)] + [f"{B}/{v}/p{i}" for i in range(8) for v in (133, 152)]
+        there = set(pick.sample(names, 24))
+        links = {u: pick.sample(names, pick.randint(0, 4)) for u in there}
+        leads = {u: pick.choice(names) for u in pick.sample(names, 5) if "/133/" not in u and "/152/" not in u}
+        leads = {a: b for a, b in leads.items() if a != b and b not in leads}
+        limit = (None, 9, 4)[turn]
+
+        version = re.compile(re.escape(P) + r"/[0-9]+/")
+        plain = lambda u: version.sub(P + "/", u, count=1)
+        answers = lambda u: u in there or leads.get(u) in there
+        visited, memo, tried, queue = {}, {}, [], [B + "/p0"]
+        while queue and (limit is None or len(tried) < limit):
+            fresh = [u for u in dict.fromkeys(queue) if u not in visited and memo.get(u) not in visited]
+            best = {}
+            for u in fresh:
+                if plain(u) not in best or plain(best[plain(u)]) != best[plain(u)] and plain(u) == u:
+                    best[plain(u)] = u
+            fresh = [u for u in best.values() if u == plain(u) or plain(u) not in {plain(v) for v in visited}]
+            goes = [(plain(u) if answers(plain(u)) else u, queue.index(u)) for u in fresh]
+            goes = [u for u, _ in sorted(goes, key=lambda x: x[1]) if u not in visited and memo.get(u) not in visited]
+            goes = goes[: None if limit is None else limit - len(tried)]
+            finals = {u: leads.get(u, u) for u in goes}
+            saved = {}
+            for u in sorted(goes, key=lambda u: (finals[u] != u, goes.index(u))):
+                if finals[u] in there and finals[u] not in visited:
+                    saved.setdefault(finals[u], u)
+            tried += [(u, finals[u], finals[u] in there, saved.get(finals[u]) == u) for u in goes]
+            for u in goes:
+                visited[u] = None
+            for u in goes:
+                if finals[u] in there:
+                    visited.setdefault(finals[u])
+                    if finals[u] != u:
+                        memo[u] = finals[u]
+            queue = [x for u in goes if saved.get(finals[u]) == u for x in links[finals[u]]]
+        edges = spark.createDataFrame([(u, x, k) for u, xs in links.items() for k, x in enumerate(xs)] or [("", "", 0)], "src string, dst string, pos int")
+        done = crawl_rounds(edges, spark.createDataFrame([(u,) for u in there], "url string"), spark.createDataFrame([(B + "/p0", 0)], "url string, ord long"), P, spark.createDataFrame(list(leads.items()) or [("", "")], "source string, target string"), spark.createDataFrame([], "source string, target string, cachedAt string"), spark.createDataFrame([], "url string"), limit)
+        assert [(r.url, r.final, r.ok, r.saved) for r in done.tried.orderBy("round", "number").collect()] == tried
+        assert {r.url for r in done.visited.collect()} == set(visited)
