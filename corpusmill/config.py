@@ -9,21 +9,13 @@ from dataclasses import dataclass, field
 
 #: The elements that are no content, by selector, in the order in which they go.
 EXCLUDE_SELECTORS = (
-    # navigation and structure
     "nav", "header", "footer", ".navbar", ".sidebar", "#kendonav", "#navContainer", "#sfVersionSelector", ".breadcrumb", ".k-treeview", '[data-role="treeview"]',
-    # promotion
     ".promo", ".cta", ".call-to-action", '[class*="promo"]', '[class*="banner"]',
-    # feedback and rating
     ".feedback", ".rating", ".article-feedback", '[class*="feedback"]', '[class*="rating"]', '[class*="helpful"]',
-    # training
     ".training", ".courses", ".learn-more", '[class*="training"]', '[class*="course"]',
-    # consent and privacy
     ".cookie", ".consent", '[class*="cookie"]', '[class*="consent"]', '[class*="privacy"]',
-    # tracking pixels
     'img[src*="bat.bing.com"]', 'img[src*="analytics"]', 'img[src*="adsct"]', 'img[src*="tracking"]',
-    # social media
     ".social", ".share", '[class*="social"]', '[class*="share"]',
-    # related content
     ".related", ".next-article", '[class*="related"]', '[class*="next"]',
 )
 #: Elements without text of the page.

@@ -7,35 +7,27 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.config import ANY_SITE, SiteProfile
+from corpusmill.config import ANY_SITE, CrawlOptions, SiteProfile
 from corpusmill.functions import text as T
 from corpusmill.functions import urls as U
 from corpusmill.operators import crawl, dedup
 from corpusmill.operators.extract import extract_pages
 from corpusmill.operators.links import link_counts, new_links, page_links
-from corpusmill.sources.corpus import corpus_header, corpus_lines
+from corpusmill.plans import runs
+from corpusmill.sources import progress
+from corpusmill.sources.corpus import corpus_header, corpus_lines, corpus_text, summary
 from corpusmill.sources.tables import table
 
+HREFS = ("../x", "./a/../b", "/r/../s?q#f", "../../../z", "c/d/..", "/a/./%2E%2e/b/.", "?q=1", "#f", "//other.example.org/p/../q", "mailto:x@y", "http://h.example/a/../b", "e f")
 PREFIX = "/documentation/product"
 BASE = f"https://docs.example.com{PREFIX}"
 SITE = SiteProfile()
 NOW = dt.datetime(2024, 1, 15)
 TTL = 86_400
 
-URLS = [(0, f"{BASE}/152/a"), (1, f"{BASE}/a"), (2, f"{BASE}/133/b"), (3, f"{BASE}/152/b"), (4, f"{BASE}/c"), (5, f"{BASE}/152"), (6, f"{BASE}/152/133/d"), (7, f"{BASE}/133/d"), (8, f"{BASE}-foo/9/x"), (9, "http://other.example.org/p?x=1#y")]
-EDGES = [("r", "a", 0), ("r", "b", 1), ("a", "c", 0), ("c", "r", 0), ("c", "d", 1), ("b", "d", 0), ("d", "e", 0), ("x", "y", 0), ("y", "x", 0), ("e", None, 0)]
-LINKS = [(0, f"{BASE}/a"), (1, f"{BASE}/152/a"), (2, f"{BASE}/133/b"), (3, f"{BASE}/152/b"), (4, f"{BASE}/old"), (5, f"{BASE}/moved"), (6, f"{BASE}/152/seen"), (7, f"{BASE}/c")]
-VISITED = [f"{BASE}/a", f"{BASE}/seen", f"{BASE}/new"]
-REDIRECTS = [(f"{BASE}/old", f"{BASE}/new", 1), (f"{BASE}/moved", f"{BASE}/c", 1), (f"{BASE}/moved", f"{BASE}/d", 2)]
-
-
-def _values(rows: list[tuple], alias: str, *names: str) -> str:
-    say = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
-    return "(VALUES " + ", ".join("(" + ", ".join(map(say, r)) + ")" for r in rows) + f") {alias}(" + ", ".join(names) + ")"
-
-
-def _urls(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(URLS, "ord int, url string")
+#: A site drawn from the ids of all pages: page i has two children, a link to its parent, and other forms of its URL.
+CHILDREN = (("2 * page_id + 1", 0), ("2 * page_id + 2", 1), ("(page_id - 1) DIV 2", 2))
+DEPTH_FIRST_LIMIT, BREADTH_LIMIT = 50, 40
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
@@ -54,12 +46,27 @@ def url_filename(spark, d):
     return _pages(spark, d).select("page_id", U.url_to_filename(F.col("url"), "").alias("filename"), U.redirect_filename(F.col("url"), "").alias("redirect_filename"), U.swap_extension(U.url_to_filename(F.col("url"), ""), ".md").alias("md_filename"))
 
 
+def _versioned(spark, d) -> DataFrame:
+    """ord, url: for every page a URL without a version, with one of two, or with two after each other; three pages share a name."""
+    i = F.col("page_id")
+    version = F.when(i % 4 == 0, "").when(i % 4 == 1, "/133").when(i % 4 == 2, "/152").otherwise("/152/133")
+    name = F.concat(F.lit("/doc"), F.floor(i / 3).cast("string"))
+    return _pages(spark, d).select(i.alias("ord"), F.when(i % 10 == 9, F.concat(F.lit(BASE), version)).when(i % 10 == 8, F.concat(F.lit(f"{BASE}-foo/9"), name)).otherwise(F.concat(F.lit(BASE), version, name)).alias("url"))
+
+
 def url_version(spark, d):
-    return _urls(spark).select("ord", U.extract_version(F.col("url"), PREFIX).alias("version"))
+    return _versioned(spark, d).select("ord", U.extract_version(F.col("url"), PREFIX).alias("version"))
 
 
 def url_canonical(spark, d):
-    return _urls(spark).select("ord", U.canonical_url(F.col("url"), PREFIX).alias("canonical"))
+    return _versioned(spark, d).select("ord", U.canonical_url(F.col("url"), PREFIX).alias("canonical"))
+
+
+def href_resolve(spark, d):
+    """Relative, root-relative, host-relative and other references against every page's URL, with dot segments."""
+    forms = F.array(*map(F.lit, HREFS))
+    rows = _pages(spark, d).select("page_id", "url", F.posexplode(forms).alias("form", "href"))
+    return rows.select("page_id", "form", U.resolve_href(F.col("href"), F.col("url")).alias("full"))
 
 
 def page_title(spark, d):
@@ -88,7 +95,7 @@ def filename_last_write(spark, d):
 
 
 def version_dedup(spark, d):
-    return dedup.dedup_versions(_urls(spark), PREFIX)
+    return dedup.dedup_versions(_versioned(spark, d), PREFIX)
 
 
 def _ages(spark, d) -> DataFrame:
@@ -108,33 +115,199 @@ def cache_summary(spark, d):
     return cache_freshness(spark, d).agg(F.count_if("page_fresh").alias("fresh"), F.count_if(~F.col("page_fresh")).alias("stale"))
 
 
+def _redirects(spark, d) -> DataFrame:
+    """source, target, cachedAt: every eleventh page's URL leads elsewhere, and every third of these has two records."""
+    u = _versioned(spark, d).where("ord % 11 = 3")
+    first = u.select(F.col("url").alias("source"), F.concat(F.lit(f"{BASE}/doc"), F.floor(F.col("ord") / 5).cast("string")).alias("target"), F.col("ord").alias("cachedAt"))
+    again = first.where("cachedAt % 3 = 0").select("source", F.concat("target", F.lit("/new")).alias("target"), (F.col("cachedAt") + 1_000_000_000).alias("cachedAt"))
+    return first.union(again)
+
+
 def redirect_resolve(spark, d):
-    redirects = spark.createDataFrame(REDIRECTS, "source string, target string, cachedAt int")
-    return crawl.resolve_redirects(spark.createDataFrame(LINKS, "ord int, url string"), redirects)
+    return crawl.resolve_redirects(_versioned(spark, d), _redirects(spark, d))
 
 
 def crawl_frontier(spark, d):
-    redirects = spark.createDataFrame(REDIRECTS, "source string, target string, cachedAt int")
-    return crawl.frontier(spark.createDataFrame(LINKS, "ord int, url string"), spark.createDataFrame([(v,) for v in VISITED], "url string"), redirects, PREFIX)
+    visited = _pages(spark, d).where("page_id % 5 = 0").select(F.concat(F.lit(f"{BASE}/doc"), F.floor(F.col("page_id") / 9).cast("string")).alias("url"))
+    return crawl.frontier(_versioned(spark, d), visited, _redirects(spark, d), PREFIX)
+
 
+def _node(i) -> F.Column:
+    return F.concat(F.lit(f"{BASE}/p"), i.cast("string"))
 
-def _edges(spark):
-    return spark.createDataFrame(EDGES, "src string, dst string, pos int"), spark.createDataFrame([("r",)], "url string")
+
+def _edges(spark, d, children=CHILDREN):
+    """Links between pages by number, and the first page: links of the last pages lead to pages that aren't there."""
+    pages = _pages(spark, d)
+    edges = pages.select(_node(F.col("page_id")).alias("src"), F.explode(F.array(*(F.struct(F.expr(to).alias("to"), F.lit(pos).alias("pos")) for to, pos in children))).alias("l"))
+    return edges.where("l.to >= 0").select("src", _node(F.col("l.to")).alias("dst"), "l.pos"), pages.where("page_id = 0").select(_node(F.col("page_id")).alias("url"))
 
 
 def crawl_reachable(spark, d):
-    return crawl.reachable(*_edges(spark))
+    return crawl.reachable(*_edges(spark, d))
 
 
 def crawl_limit(spark, d):
-    return crawl.reachable_within(*_edges(spark), 4, spark.createDataFrame([("a",)], "url string")).select("url", "depth")
+    cached = _pages(spark, d).where("page_id % 7 = 1").select(_node(F.col("page_id")).alias("url"))
+    return crawl.reachable_within(*_edges(spark, d), BREADTH_LIMIT, cached).select("url", "depth")
 
 
 def crawl_depth_first(spark, d):
-    got = crawl.crawl_depth_first(_edges(spark)[0], ["r"], PREFIX, max_pages=4)
+    edges, _ = _edges(spark, d)
+    n = _pages(spark, d).count()
+    got = crawl.crawl_depth_first(edges, [f"{BASE}/p0"], PREFIX, max_pages=DEPTH_FIRST_LIMIT, failing=lambda u: int(u.rpartition("/p")[2]) >= n)
     return spark.createDataFrame(list(enumerate(got.saved)), "ord int, url string")
 
 
+def _site(spark, d):
+    """links, there, leads of a site with versions, redirects and missing pages, over all pages.
+
+    Every fourth page and the next but one is linked with a version; of every eighth only
+    the version is there; every thirteenth of the others is led to another URL.
+    """
+    pages, i = _pages(spark, d).select("page_id"), F.col("page_id")
+    plain, versioned = lambda n: F.concat(F.lit(f"{BASE}/p"), n.cast("string")), lambda n: F.concat(F.lit(f"{BASE}/152/p"), n.cast("string"))
+    moved = F.concat(F.lit(f"{BASE}/moved"), i.cast("string"))
+    at = F.when(i % 8 == 7, versioned(i)).when(i % 13 == 5, moved).otherwise(plain(i))
+    links = pages.select(at.alias("src"), F.posexplode(F.array(2 * i + 1, 2 * i + 2)).alias("pos", "to"))
+    links = links.select("src", F.when(F.col("to") % 2 == 1, versioned(F.col("to"))).otherwise(plain(F.col("to"))).alias("dst"), "pos")
+    leads = pages.where((i % 8 != 7) & (i % 13 == 5)).select(plain(i).alias("source"), moved.alias("target"))
+    return links, pages.select(at.alias("url")), leads
+
+
+def crawl_attempts(spark, d):
+    """Every attempt of a crawl by breadth: where it was led, and whether the page was there."""
+    links, there, leads = _site(spark, d)
+    none = leads.select("source", "target", F.lit(0).alias("cachedAt")).limit(0)
+    done = crawl.crawl_rounds(links, there, spark.createDataFrame([(f"{BASE}/p0", 0)], "url string, ord long"), PREFIX, leads, none, there.limit(0))
+    return done.tried.select("url", "final", "ok", "saved")
+
+
+def crawl_visited(spark, d):
+    """What a crawl counts as visited: attempts, failed ones too, and where they were led."""
+    links, there, leads = _site(spark, d)
+    none = leads.select("source", "target", F.lit(0).alias("cachedAt")).limit(0)
+    cached = spark.createDataFrame([(f"{BASE}/p2",)], "url string")
+    done = crawl.crawl_rounds(links, there, spark.createDataFrame([(f"{BASE}/p0", 0), (f"{BASE}/p5", 1), (f"{BASE}/p6", 2)], "url string, ord long"), PREFIX, leads, none, cached)
+    return done.visited.select("url")
+
+
+def _records(spark, d) -> DataFrame:
+    """Page records of all ages: some without a time, with no time at all, or without their Markdown."""
+    i = F.col("page_id")
+    hours = F.timestamp_micros(F.lit(int(NOW.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000) - (i % 50) * F.lit(3_600_000_000) + F.lit(3_600_000_000))
+    crawled = F.when(i % 17 == 3, F.lit(None).cast("string")).when(i % 19 == 4, "no time").otherwise(T.iso_time(hours))
+    md = F.when(i % 7 != 2, F.concat(F.lit("# "), _title()))
+    return _pages(spark, d).select("page_id", U.url_to_filename(F.col("url"), "").alias("filename"), "url", _title().alias("title"), F.lit("").alias("heading"), F.array().cast("array<string>").alias("breadcrumb"), crawled.alias("crawledAt"), F.when(i % 23 != 5, F.col("html")).alias("html"), md.alias("md"))
+
+
+def _options(**more) -> CrawlOptions:
+    return CrawlOptions(now=NOW.replace(tzinfo=dt.timezone.utc), stale_seconds=TTL, **more)
+
+
+def cache_pages(spark, d):
+    return progress.judged(_records(spark, d), _options()).select("page_id", "filename", "complete", "fresh")
+
+
+def cache_counts(spark, d):
+    return progress.cache_summary(progress.judged(_records(spark, d), _options()))
+
+
+def cache_resume(spark, d):
+    return progress.resume_seeds(progress.judged(_records(spark, d), _options()), ANY_SITE)
+
+
+def cache_redirects(spark, d):
+    rows = _records(spark, d).select(F.col("url").alias("source"), F.when(F.col("page_id") % 29 != 7, F.concat("url", F.lit("/to"))).alias("target"), F.col("crawledAt").alias("cachedAt"))
+    return progress.valid_redirects(rows, _options()).select("source", "target", T.iso_time(F.col("cachedAt")).alias("cached_at"))
+
+
+def regenerate_counts(spark, d):
+    return runs.regenerate(_records(spark, d), SITE, _options())["counts"]
+
+
+def regenerate_order(spark, d):
+    """Of every regenerated page how many come before it, by file name with its extension."""
+    made = runs.regenerate(dedup.last_write(_records(spark, d), F.col("filename"), "page_id"), SITE, _options())["pages"]
+    return runs.places(made).select("url", "place")
+
+
+def run_summary(spark, d):
+    out = summary(_pages(spark, d).select("url", F.col("page_id").alias("ord")), 3, 4, SITE, NOW)
+    return out.select("totalPages", "cachedPages", "newlyFetchedPages", T.iso_time(F.col("crawledAt").cast("timestamp")).alias("crawledAt"), "baseUrl", F.size("pages").cast("long").alias("n_pages"), F.md5(F.array_join("pages", " ")).alias("pages_md5"))
+
+
+def corpus_whole(spark, d):
+    """The one value of the concatenated corpus, by its digest and size."""
+    header = corpus_header("Documentation", F.lit(NOW).cast("timestamp"), F.lit(3))
+    pages = _pages(spark, d).select(F.col("page_id").alias("ord"), _title().alias("md"))
+    return corpus_text(pages, header).select(F.md5("corpus").alias("md5"), F.length("corpus").cast("long").alias("n_points"))
+
+
+def corpus_headers(spark, d):
+    """The lines above a corpus: of a crawl, a regeneration and a sample."""
+    n, now = F.col("n"), F.lit(NOW).cast("timestamp")
+    counted = _pages(spark, d).agg(F.count("*").alias("n"))
+    return counted.select(corpus_header("Documentation", now, n, n - 1, F.lit(1)).alias("crawl"), corpus_header("Documentation", now, n, regenerated=True).alias("regenerated"), corpus_header("Documentation", now, n).alias("sample"))
+
+
+def utf16_sizes(spark, d):
+    """Sizes in the web's units, of texts with characters that take two."""
+    whole = F.concat("text", F.lit("🙂x🙂"))
+    return table(spark, d, "documents").select("doc_id", T.utf16_length(whole).alias("n_units"), T.megabytes(F.repeat(whole, 300)).alias("megabytes"))
+
+
+def content_markdown(spark, d):
+    """Front matter, and a body whose white space is put in order."""
+    body = F.concat(F.lit("\n\n"), _title(), F.lit("  \n\n\n\ntext\t\n"))
+    return _pages(spark, d).select("page_id", T.content_to_markdown(_title(), F.lit(""), F.col("url"), F.array(F.lit("Home"), F.lit("Here")), body).alias("md"))
+
+
+def sample_pages(spark, d):
+    """Five pages by URL, in the order asked for."""
+    pages = _pages(spark, d)
+    urls = [r.url for r in pages.where("page_id < 5").orderBy(F.desc("page_id")).select("url").collect()]
+    return runs.sample(pages.dropDuplicates(["url"]), urls, SITE).select("ord", "url", "title", "heading", "text_length", "preview")
+
+
+def page_breadcrumb(spark, d):
+    """The trail of pages whose navigation is marked as one, from the markup as it came."""
+    pages = _pages(spark, d).withColumn("html", F.replace("html", F.lit("<nav>"), F.lit("<nav aria-label='the breadcrumb'><a href='/'> Home </a><a href='/e'> </a>")))
+    return extract_pages(pages, SITE, fields=()).select("page_id", F.array_join("breadcrumb", " > ").alias("trail"))
+
+
+def page_live_links(spark, d):
+    """The links of the whole document, navigation and all, from the tree."""
+    return extract_pages(_pages(spark, d), ANY_SITE, fields=()).select("page_id", F.posexplode("links").alias("pos", "link")).withColumn("pos", F.col("pos").cast("long"))
+
+
+#: Pieces that the cleaning passes take out, each before the article, and what they leave.
+PIECES = (
+    '<div class="my-promo">P1</div>', '<p id="kendonav">P2</p>', '<span data-role="treeview">P3</span>', "<iframe>P4</iframe>", "<noscript>P5</noscript>",
+    '<section><h3>Want to learn more? Now</h3><div>P6</div><p>P7</p><h4>P8</h4><h3>L1</h3><p>L2</p></section>', "<div>P9 <b>We use cookies to personalize content</b></div>",
+    '<ul><li>This free lesson P10 <a href="/services/education/x">P11</a></li><li>L3 <a href="/services/education/y">L4</a></li></ul>',
+    '<img src="/i/course_book.png">', "<span> Thank you for your feedback! </span>", '<a onclick="x.__doPostBack(1)">P12</a>', '<a href="javascript:void 0">P13</a>', '<i class="is-nextish">P14</i>', "<!-- P15 --><em>L5</em>",
+)
+
+
+def page_cleaned(spark, d):
+    """The text of pages with a piece for each cleaning pass put before the article."""
+    pages = _pages(spark, d).withColumn("html", F.replace("html", F.lit("<article>"), F.lit("".join(PIECES) + "<article>")))
+    return extract_pages(pages, SITE, fields=("text",)).select("page_id", "text")
+
+
+def page_cleaned_html(spark, d):
+    """The markup that is left of pages without unclosed elements: comments stay, removed elements don't."""
+    pages = _pages(spark, d).withColumn("html", F.concat(F.lit("<body><nav>n</nav><p id=a>"), _title(), F.lit("</p><!-- c --><div class='feedback'>f</div><br><img src='x.png'></body>")))
+    return extract_pages(pages, SITE, fields=("html",)).select("page_id", "html")
+
+
+def page_structure(spark, d):
+    """Markdown of headings, lists, code, links and emphasis around every page's title."""
+    body = F.concat(F.lit("<body><h2>"), _title(), F.lit("</h2><p>a <b>b</b> <i>c</i> <a href='/l'>d</a></p><ul><li>e</li><li>f</li></ul><pre><code>g\n  h</code></pre><hr></body>"))
+    return extract_pages(_pages(spark, d).withColumn("html", body), SITE, fields=("body_md",)).select("page_id", T.normalize_whitespace(F.col("md")).alias("md"))
+
+
 def markdown_normalize(spark, d):
     dirty = F.concat(F.lit(" \n\n\t"), F.replace("text", F.lit(". "), F.lit(".   \n\n\n\n  ")), F.lit("\t\n \n　"))
     return table(spark, d, "documents").select("doc_id", T.normalize_whitespace(dirty).alias("md"))
@@ -161,16 +334,17 @@ def page_extract(spark, d):
 
 
 def page_text(spark, d):
-    return extract_pages(_pages(spark, d), SITE).select("page_id", "title", "heading", "text", "error")
+    return extract_pages(_pages(spark, d), SITE, fields=("text",)).select("page_id", "title", "heading", "text", "error")
 
 
 def page_markdown(spark, d):
-    return extract_pages(_pages(spark, d), SITE).select("page_id", T.normalize_whitespace(F.col("md")).alias("md"))
+    return extract_pages(_pages(spark, d), SITE, fields=("body_md",)).select("page_id", T.normalize_whitespace(F.col("md")).alias("md"))
 
 
 ALL = (
-    url_clean, url_filename, url_version, url_canonical, page_title, links_of_pages, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first,
-    markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
+    url_clean, url_filename, url_version, url_canonical, href_resolve, page_title, links_of_pages, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
+    cache_pages, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_headers, utf16_sizes, content_markdown, sample_pages,
+    page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
 )
 
 
@@ -192,9 +366,47 @@ _VERSION = f"nullif(regexp_extract(url, '{PREFIX}/([0-9]+)/', 1), '')"
 _CANONICAL = rf"regexp_replace(url, '{PREFIX}/[0-9]+/', '{PREFIX}/')"
 _AGE = "(epoch_us(TIMESTAMP '2024-01-15') - epoch_us(ts))"
 _FRESH = f"coalesce({_AGE} < {TTL * 1_000_000}, false)"
-_REACH = f"""WITH RECURSIVE e AS (SELECT * FROM {_values(EDGES, "e", "src", "dst", "pos")}),
-    r(url, depth) AS (SELECT 'r', 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE e.dst IS NOT NULL AND r.depth < 12),
+_VERSIONED = f"""(SELECT page_id AS ord, '{BASE}' || CASE WHEN page_id % 10 = 9 THEN v WHEN page_id % 10 = 8 THEN '-foo/9/doc' || page_id // 3 ELSE v || '/doc' || page_id // 3 END AS url
+    FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN '' WHEN 1 THEN '/133' WHEN 2 THEN '/152' ELSE '/152/133' END AS v FROM pages))"""
+_REDIRECTS = f"""(SELECT url AS source, '{BASE}/doc' || ord // 5 || CASE WHEN again THEN '/new' ELSE '' END AS target, ord + CASE WHEN again THEN 1000000000 ELSE 0 END AS seq
+    FROM {_VERSIONED}, (VALUES (false), (true)) t(again) WHERE ord % 11 = 3 AND (NOT again OR ord % 3 = 0))"""
+#: A walk by depth; a page that is seen at some depth is seen again below, so the walk ends where no tree of this size has pages.
+_REACH = f"""WITH RECURSIVE e AS (SELECT '{BASE}/p' || page_id AS src, '{BASE}/p' || t AS dst, pos FROM (SELECT page_id, unnest([2 * page_id + 1, 2 * page_id + 2, CASE WHEN page_id > 0 THEN (page_id - 1) // 2 END]) AS t, unnest([0, 1, 2]) AS pos FROM pages) WHERE t IS NOT NULL),
+    r(url, depth) AS (SELECT '{BASE}/p0', 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth < 40),
     m AS (SELECT url, min(depth)::INTEGER AS depth FROM r GROUP BY url)"""
+_NODES = f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), k(i) AS (SELECT 0::BIGINT UNION SELECT unnest([2 * i + 1, 2 * i + 2]) FROM k, n WHERE i < n.n),
+    a AS (SELECT i, i < n.n AS ok, CASE WHEN i < n.n AND i % 8 <> 7 OR i % 2 = 0 THEN '{BASE}/p' || i ELSE '{BASE}/152/p' || i END AS url FROM k, n),
+    f AS (SELECT i, ok, url, CASE WHEN ok AND i % 8 <> 7 AND i % 13 = 5 THEN '{BASE}/moved' || i ELSE url END AS final FROM a)"""
+_HOST = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+_RECORDS = f"""(SELECT *, CASE WHEN page_id % 17 = 3 OR page_id % 19 = 4 THEN NULL ELSE TIMESTAMP '2024-01-15' - ((page_id % 50) - 1) * INTERVAL 1 HOUR END AS made, page_id % 7 <> 2 AND page_id % 23 <> 5 AS complete FROM pages)"""
+_STILL_FRESH = f"(complete AND coalesce(epoch_us(TIMESTAMP '2024-01-15') - epoch_us(made) < {TTL * 1_000_000}, false))"
+_ISO = "strftime({0}, '%Y-%m-%dT%H:%M:%S.') || '000Z'"
+
+
+def _entities(x: str) -> str:
+    return f"replace(replace(replace(replace(replace(replace({x}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+def _trimmed(x: str) -> str:
+    return rf"regexp_replace({x}, '\A[{_SPACE}\n]+|[{_SPACE}\n]+\z', '', 'g')"
+
+
+def _marked(x: str) -> str:
+    """Text with its Markdown marks escaped."""
+    for c in "\\*`[]_":
+        x = f"replace({x}, '{c}', '\\{c}')"
+    return x
+
+
+def _said(html: str) -> str:
+    """The text of a page of the plain template: its body without nav, footer, comments and tags."""
+    body = rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace({html}, '(?s)^.*?<body>', ''), '(?s)<!--.*?-->', '', 'g'), '(?s)<nav>.*?</nav>', '', 'g'), '(?s)<footer>.*?(?:</footer>|\z)', '')"
+    return _trimmed(_entities(rf"regexp_replace({body}, '<[a-z/!][^>]*(?:>|\z)', '', 'g')"))
+
+
+_H1 = _trimmed(_entities("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))
+_TEXT = _said("html")
+_PLAIN_TITLE = _entities(rf"regexp_replace(trim({_TITLE}), '\s+', ' ', 'g')")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -202,24 +414,52 @@ def oracle_sql() -> dict[str, str]:
     return {
         "url_clean": f"SELECT page_id, {_CLEAN.format('url')} AS clean_url FROM pages",
         "url_filename": f"SELECT page_id, {_FILE} || '.json' AS filename, {_FILE} || '.redirect.json' AS redirect_filename, {_FILE} || '.md' AS md_filename FROM pages",
-        "url_version": f"SELECT ord, {_VERSION} AS version FROM {_values(URLS, 'u', 'ord', 'url')}",
-        "url_canonical": f"SELECT ord, {_CANONICAL} AS canonical FROM {_values(URLS, 'u', 'ord', 'url')}",
+        "url_version": f"SELECT ord, {_VERSION} AS version FROM {_VERSIONED}",
+        "url_canonical": f"SELECT ord, {_CANONICAL} AS canonical FROM {_VERSIONED}",
         "page_title": f"SELECT page_id, {_TITLE} AS title FROM pages",
         "links_of_pages": f"{_LINKS} SELECT page_id, pos, link FROM l",
         "count_links": f"{_LINKS} SELECT count(*)::BIGINT AS n_links, count(DISTINCT link)::BIGINT AS n_distinct FROM l",
         "links_distinct_new": f"{_LINKS} SELECT DISTINCT link AS url FROM l WHERE link NOT IN (SELECT {_CLEAN.format('url')} FROM pages)",
         "filename_collisions": f"SELECT {_FILE} || '.json' AS filename, count(DISTINCT url)::BIGINT AS n_urls FROM pages GROUP BY 1 HAVING count(DISTINCT url) > 1",
         "filename_last_write": f"SELECT {_FILE} || '.json' AS filename, page_id, url FROM pages QUALIFY row_number() OVER (PARTITION BY {_FILE} ORDER BY page_id DESC) = 1",
-        "version_dedup": f"SELECT ord, url, {_CANONICAL} AS canonical FROM {_values(URLS, 'u', 'ord', 'url')} QUALIFY row_number() OVER (PARTITION BY {_CANONICAL} ORDER BY {_VERSION} IS NOT NULL, ord) = 1",
+        "version_dedup": f"SELECT ord, url, {_CANONICAL} AS canonical FROM {_VERSIONED} QUALIFY row_number() OVER (PARTITION BY {_CANONICAL} ORDER BY {_VERSION} IS NOT NULL, ord) = 1",
         "cache_freshness": f"SELECT event_id, {_FRESH} AS page_fresh, false AS never, NOT coalesce({_AGE} >= {TTL * 1_000_000}, false) AS redirect_fresh, true AS always FROM events",
         "cache_summary": f"SELECT count(*) FILTER ({_FRESH})::BIGINT AS fresh, count(*) FILTER (NOT {_FRESH})::BIGINT AS stale FROM events",
-        "redirect_resolve": f"SELECT ord, url, (SELECT arg_max(target, seq) FROM {_values(REDIRECTS, 'r', 'source', 'target', 'seq')} WHERE source = url) AS target FROM {_values(LINKS, 'l', 'ord', 'url')}",
-        "crawl_frontier": f"""WITH l AS (SELECT ord, url, {_VERSION} AS v, {_CANONICAL} AS c, (SELECT arg_max(target, seq) FROM {_values(REDIRECTS, "r", "source", "target", "seq")} WHERE source = url) AS target FROM {_values(LINKS, "l", "ord", "url")}),
-            s AS (SELECT * FROM {_values([(v,) for v in VISITED], "s", "seen")}),
+        "redirect_resolve": f"SELECT v.ord, v.url, t.target FROM {_VERSIONED} v LEFT JOIN (SELECT source, arg_max(target, {{'s': seq, 't': target}}) AS target FROM {_REDIRECTS} GROUP BY source) t ON t.source = v.url",
+        "crawl_frontier": f"""WITH t AS (SELECT source, arg_max(target, {{'s': seq, 't': target}}) AS target FROM {_REDIRECTS} GROUP BY source),
+            l AS (SELECT ord, url, {_VERSION} AS v, {_CANONICAL} AS c, target FROM {_VERSIONED} LEFT JOIN t ON source = url),
+            s AS (SELECT DISTINCT '{BASE}/doc' || page_id // 9 AS seen FROM pages WHERE page_id % 5 = 0),
             k AS (SELECT * FROM l WHERE url NOT IN (SELECT seen FROM s) AND (target IS NULL OR target NOT IN (SELECT seen FROM s)) QUALIFY row_number() OVER (PARTITION BY c ORDER BY v IS NOT NULL, ord) = 1)
             SELECT ord, url FROM k WHERE NOT (c <> url AND c IN (SELECT {_CANONICAL.replace("url", "seen")} FROM s))""",
         "crawl_reachable": f"{_REACH} SELECT url, depth FROM m",
-        "crawl_limit": f"{_REACH}, v AS (SELECT dst, min({{'s': src, 'p': pos}}) AS via FROM e GROUP BY dst) SELECT url, depth FROM m LEFT JOIN v ON v.dst = m.url WHERE url <> 'a' ORDER BY depth, via.s NULLS FIRST, via.p, url LIMIT 4",
+        "crawl_limit": f"{_REACH}, v AS (SELECT dst, min({{'s': src, 'p': pos}}) AS via FROM e GROUP BY dst) SELECT url, depth FROM m LEFT JOIN v ON v.dst = m.url WHERE url NOT IN (SELECT '{BASE}/p' || page_id FROM pages WHERE page_id % 7 = 1) ORDER BY depth, via.s NULLS FIRST, via.p, url LIMIT {BREADTH_LIMIT}",
+        "crawl_depth_first": f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), k(i, path) AS (SELECT 0::BIGINT, [0] UNION ALL SELECT 2 * i + c, list_append(path, c) FROM k, n, (VALUES (1), (2)) t(c) WHERE i < n.n),
+            o AS (SELECT i, row_number() OVER (ORDER BY path) AS nth FROM k)
+            SELECT (row_number() OVER (ORDER BY nth) - 1)::INTEGER AS ord, '{BASE}/p' || i AS url FROM o, n WHERE nth <= {DEPTH_FIRST_LIMIT} AND i < n.n""",
+        "crawl_attempts": f"{_NODES} SELECT url, final, ok, ok AS saved FROM f",
+        "crawl_visited": f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), k(i) AS (SELECT unnest([0, 5, 6])::BIGINT UNION SELECT unnest([2 * i + 1, 2 * i + 2]) FROM k, n WHERE i < n.n AND i <> 2),
+            {_NODES.split("FROM k, n WHERE i < n.n),", 1)[1].replace("FROM k, n)", "FROM (SELECT i FROM k UNION SELECT 2) k, n)", 1)} SELECT DISTINCT unnest([url, final]) AS url FROM f""",
+        "href_resolve": f"""SELECT page_id, form, CASE form WHEN 0 THEN o || regexp_replace(p, '[^/]*/[^/]*$', '') || 'x' WHEN 1 THEN o || f || 'b' WHEN 2 THEN o || '/s?q#f' WHEN 3 THEN o || '/z' WHEN 4 THEN o || f || 'c/' WHEN 5 THEN o || '/b/'
+            WHEN 6 THEN {_CLEAN.format("url")} || '?q=1' WHEN 7 THEN split_part(url, '#', 1) || '#f' WHEN 8 THEN regexp_extract(url, '^[a-z]+:') || '//other.example.org/q' WHEN 9 THEN 'mailto:x@y' WHEN 10 THEN 'http://h.example/a/../b' ELSE o || f || 'e f' END AS full
+            FROM (SELECT page_id, url, unnest(range(12))::INTEGER AS form, {_HOST} AS o, substr({_CLEAN.format("url")}, len({_HOST}) + 1) AS p, regexp_replace(substr({_CLEAN.format("url")}, len({_HOST}) + 1), '[^/]*$', '') AS f FROM pages)""",
+        "cache_pages": f"SELECT page_id, {_FILE} || '.json' AS filename, complete, {_STILL_FRESH} AS fresh FROM {_RECORDS}",
+        "cache_counts": f"SELECT count(*) FILTER ({_STILL_FRESH})::BIGINT AS fresh, count(*) FILTER (NOT {_STILL_FRESH})::BIGINT AS stale FROM {_RECORDS}",
+        "cache_resume": f"{_LINKS}, fresh AS (SELECT page_id, url FROM {_RECORDS} WHERE {_STILL_FRESH}) SELECT DISTINCT link AS url FROM l WHERE page_id IN (SELECT page_id FROM fresh) AND link NOT IN (SELECT url FROM fresh)",
+        "cache_redirects": f"SELECT url AS source, url || '/to' AS target, {_ISO.format('made')} AS cached_at FROM {_RECORDS} WHERE page_id % 29 <> 7 AND NOT coalesce(epoch_us(TIMESTAMP '2024-01-15') - epoch_us(made) >= {TTL * 1_000_000}, false)",
+        "regenerate_counts": "SELECT count(*) FILTER (page_id % 23 <> 5)::BIGINT AS success, count(*) FILTER (page_id % 23 = 5)::BIGINT AS error FROM pages",
+        "regenerate_order": f"SELECT url, row_number() OVER (ORDER BY encode({_FILE} || '.json'))::BIGINT AS place FROM (SELECT * FROM pages QUALIFY row_number() OVER (PARTITION BY {_FILE} ORDER BY page_id DESC) = 1) WHERE page_id % 23 <> 5",
+        "run_summary": f"SELECT 4::BIGINT AS totalPages, 3::BIGINT AS cachedPages, 4::BIGINT AS newlyFetchedPages, '2024-01-15T00:00:00.000Z' AS crawledAt, '{SITE.base_url}' AS baseUrl, count(*)::BIGINT AS n_pages, md5(string_agg(url, ' ' ORDER BY page_id)) AS pages_md5 FROM pages",
+        "corpus_whole": f"SELECT md5(c) AS md5, length(c)::BIGINT AS n_points FROM (SELECT '# Documentation' || chr(10) || chr(10) || '**Generated:** 2024-01-15T00:00:00.000Z' || chr(10) || '**Total Pages:** 3' || chr(10) || chr(10) || '---' || chr(10) || string_agg(chr(10) || chr(10) || chr(10) || {_TITLE}, '' ORDER BY page_id) AS c FROM pages)",
+        "corpus_headers": "SELECT h || chr(10) || '**Cached Pages:** ' || (n - 1) || chr(10) || '**Newly Fetched Pages:** 1' || t AS crawl, h || chr(10) || '**Regenerated from cache:** true' || t AS regenerated, h || t AS sample FROM (SELECT n, '# Documentation' || chr(10) || chr(10) || '**Generated:** 2024-01-15T00:00:00.000Z' || chr(10) || '**Total Pages:** ' || n AS h, chr(10) || chr(10) || '---' || chr(10) AS t FROM (SELECT count(*) AS n FROM pages))",
+        "utf16_sizes": "SELECT doc_id, (length(text) + 5)::BIGINT AS n_units, printf('%.2f', 300 * (length(text) + 5) / 1024.0 / 1024.0) AS megabytes FROM documents",
+        "content_markdown": f"SELECT page_id, {fm.format(_TITLE, "chr(10) || '**Breadcrumb:** Home > Here'")} || chr(10) || {_trimmed(_TITLE)} || chr(10) || chr(10) || 'text' AS md FROM pages",
+        "sample_pages": f"SELECT (4 - page_id)::INTEGER AS ord, url, {_PLAIN_TITLE} AS title, {_H1} AS heading, length({_TEXT})::BIGINT AS text_length, regexp_replace(({_TEXT})[1:300], '\n+', chr(10), 'g') AS preview FROM pages WHERE page_id < 5",
+        "page_text": f"SELECT page_id, {_PLAIN_TITLE} AS title, {_H1} AS heading, {_TEXT} AS text, NULL::VARCHAR AS error FROM pages",
+        "page_breadcrumb": f"SELECT page_id, array_to_string(list_concat(['Home'], list_filter(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a [^>]*>([^<]*)</a>', 1), lambda x: trim({_entities('x')})), lambda x: x <> '')), ' > ') AS trail FROM pages",
+        "page_live_links": f"{_LINKS} SELECT page_id, pos, link FROM l",
+        "page_cleaned": f"""SELECT page_id, {_said("replace(html, '<article>', 'L1L2L3 L4L5<article>')")} AS text FROM pages""",
+        "page_cleaned_html": f"SELECT page_id, '<p id=\"a\">' || {_TITLE} || '</p><!-- c --><br><img src=\"x.png\">' AS html FROM pages",
+        "page_structure": f"SELECT page_id, '#' || chr(10) || '**URL:** ' || url || chr(10) || '---' || chr(10) || '## ' || {_marked(_PLAIN_TITLE)} || chr(10) || chr(10) || 'a **b** _c_ [d](/l)' || chr(10) || chr(10) || '*   e' || chr(10) || '*   f' || chr(10) || chr(10) || '```' || chr(10) || 'g' || chr(10) || '  h' || chr(10) || '```' || chr(10) || chr(10) || '* * *' AS md FROM pages",
         "markdown_normalize": rf"""WITH x AS (SELECT doc_id, ' ' || chr(10) || chr(10) || chr(9) || replace(text, '. ', '.  ' || chr(160) || repeat(chr(10), 4) || '  ') || chr(9) || chr(10) || ' ' || chr(10) || chr(12288) AS t FROM documents)
             SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '[{_SPACE}]+(\n|\z)', '\1', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '\A[{_SPACE}\n]+|[{_SPACE}\n]+\z', '', 'g') AS md FROM x""",
         "text_sizes": r"SELECT doc_id, length(text)::BIGINT AS n_points, octet_length(encode(text))::BIGINT AS n_bytes, regexp_replace(text[1:300], '\n+', chr(10), 'g') AS preview FROM documents",

@@ -15,7 +15,3 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).where("error is null and md <> ''").count() == 50
-
-
-def test_depth_first(spark):
-    assert [r.url for r in own.crawl_depth_first(spark, SF).collect()] == ["r", "a", "c", "d"]
