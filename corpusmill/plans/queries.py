@@ -391,6 +391,10 @@ def _trimmed(x: str) -> str:
     return rf"regexp_replace({x}, '\A[{_SPACE}\n]+|[{_SPACE}\n]+\z', '', 'g')"
 
 
+def _spaced(x: str) -> str:
+    return rf"trim(regexp_replace({x}, '[ \t\r\n]+', ' ', 'g'))"
+
+
 def _marked(x: str) -> str:
     """Text with its Markdown marks escaped."""
     for c in "\\*`[]_":
@@ -409,6 +413,16 @@ _TEXT = _said("html")
 _PLAIN_TITLE = _entities(rf"regexp_replace(trim({_TITLE}), '\s+', ' ', 'g')")
 
 
+def _blocks_sql() -> str:
+    """Of pages of the plain template: ad, heading and, paragraph by paragraph, text, whether a line break ends it, and how many b are open."""
+    inner = r"regexp_replace(regexp_extract(html, '(?s)<article>(.*?)(?:</article>|\z)', 1), '<[a-z/][^>]*\z', '')"
+    ad = _entities(r"regexp_extract(html, '(?s)<div class=\"ad\">(.*?)(?:</div>|\z)', 1)")
+    plain = _entities("regexp_replace(part, '<[a-z/][^>]*>', '', 'g')")
+    return f"""s AS (SELECT page_id, url, {_H1} AS h1, {_PLAIN_TITLE} AS title, {ad} AS ad, string_split({inner}, '<p>')[2:] AS parts FROM pages),
+    q AS (SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM s),
+    b AS (SELECT page_id, k, {plain} AS text, contains(part, '<br>') AS br, (sum(contains(part, '<b>')::INTEGER) OVER (PARTITION BY page_id ORDER BY k))::BIGINT AS n FROM q)"""
+
+
 def oracle_sql() -> dict[str, str]:
     fm = f"'# ' || {{0}} || chr(10) || '**URL:** ' || url || {{1}} || chr(10) || '---'"
     return {
@@ -455,6 +469,9 @@ def oracle_sql() -> dict[str, str]:
         "content_markdown": f"SELECT page_id, {fm.format(_TITLE, "chr(10) || '**Breadcrumb:** Home > Here'")} || chr(10) || {_trimmed(_TITLE)} || chr(10) || chr(10) || 'text' AS md FROM pages",
         "sample_pages": f"SELECT (4 - page_id)::INTEGER AS ord, url, {_PLAIN_TITLE} AS title, {_H1} AS heading, length({_TEXT})::BIGINT AS text_length, regexp_replace(({_TEXT})[1:300], '\n+', chr(10), 'g') AS preview FROM pages WHERE page_id < 5",
         "page_text": f"SELECT page_id, {_PLAIN_TITLE} AS title, {_H1} AS heading, {_TEXT} AS text, NULL::VARCHAR AS error FROM pages",
+        "page_markdown": rf"""WITH {_blocks_sql()},
+            m AS (SELECT page_id, string_agg(chr(10) || chr(10) || repeat('**', n) || {_marked(_spaced("text"))} || CASE WHEN br THEN chr(10) ELSE '' END || repeat('**', n), '' ORDER BY k) AS body FROM b GROUP BY page_id)
+            SELECT page_id, '# ' || CASE WHEN h1 = '' THEN title ELSE h1 END || chr(10) || '**URL:** ' || url || chr(10) || '---' || chr(10) || {_marked(_spaced("ad"))} || chr(10) || chr(10) || '# ' || {_marked(_spaced("h1"))} || coalesce(body, '') AS md FROM s LEFT JOIN m USING (page_id)""",
         "page_breadcrumb": f"SELECT page_id, array_to_string(list_concat(['Home'], list_filter(list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a [^>]*>([^<]*)</a>', 1), lambda x: trim({_entities('x')})), lambda x: x <> '')), ' > ') AS trail FROM pages",
         "page_live_links": f"{_LINKS} SELECT page_id, pos, link FROM l",
         "page_cleaned": f"""SELECT page_id, {_said("replace(html, '<article>', 'L1L2L3 L4L5<article>')")} AS text FROM pages""",
