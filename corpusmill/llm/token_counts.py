@@ -7,7 +7,7 @@ up is therefore the chunk between two such spaces: one or a few whole pre-tokens
 Tier one is a compact table of the most frequent chunks of the whole corpus. It is made
 by one pass in which each task counts chunks of at most HOT_CHARS characters, with at most
 TASK_COUNTERS counters at a time, and hands on one row; these summaries, nothing else, are
-merged FAN at a time under the same bounds until one is left. It has at most HOT_ENTRIES
+merged FAN at a time under the same bounds until FAN are left for the driver. It has at most HOT_ENTRIES
 entries, broadcast as one packed value of at most 2.3 MB at any corpus size. Tier two is a
 bounded cache in each worker; what misses both is encoded by the tokenizer itself.
 
@@ -41,7 +41,7 @@ HOT_ENTRIES = 16_384
 HOT_CHARS = 32
 #: Counters that a task keeps while it counts or merges, entries of the summary it hands on, and summaries merged by a task.
 TASK_COUNTERS, TASK_TOP = 400_000, 16_384
-FAN = 32
+FAN = 16
 SLICE = 256
 
 #: A space that begins a pre-token, whatever stands around it.
@@ -85,7 +85,7 @@ class Counters(Counter):
 
 
 def frequent_chunks(docs: DataFrame, text: str = "text", entries: int = HOT_ENTRIES) -> list[str]:
-    """The most frequent chunks of all texts. The driver gets one row, of TASK_TOP strings at most."""
+    """The most frequent chunks of all texts. The driver gets FAN rows of TASK_TOP strings at most and merges them."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = Counters()
@@ -110,11 +110,13 @@ def frequent_chunks(docs: DataFrame, text: str = "text", entries: int = HOT_ENTR
     schema = "chunk array<string>, n array<long>"
     parts = docs.select(F.col(text).alias("text")).mapInArrow(count, schema)
     n = parts.rdd.getNumPartitions()
-    while n > 1:
+    while n > FAN:
         n = -(-n // FAN)
         parts = parts.repartition(n).mapInArrow(merge, schema)
-    found = [(k, m) for row in parts.collect() for k, m in zip(row.chunk, row.n, strict=True)]
-    return [k for k, _ in found[:entries]]
+    total = Counters()
+    for row in parts.toLocalIterator():
+        total.update(dict(zip(row.chunk, row.n, strict=True)))
+    return total.top().column(0)[0].as_py()[:entries]
 
 
 def packed(table: dict[str, int]) -> tuple[bytes, bytes, bytes]:
