@@ -4,7 +4,8 @@
    and a signature of 128 minima. Texts with equal sets form a class, by an aggregate that
    combines before the shuffle; only its smallest doc_id goes on, so a group of copies of
    any size is one row from here.
-2. Signatures are cut into 32 bands of 4. Classes that share a band are candidates. The pairs
+2. Signatures are cut into 32 bands of 4, each kept as one 64-bit key; of a signature itself
+   the lowest byte of each minimum stays, since that is what is compared. Classes that share a band are candidates. The pairs
    of a bucket are looked at in two rounds, and neither writes out all of them:
    a. Every class with the smallest one of each of its buckets. What passes is verified on
       the full sets; the links give components, which join near all of a group of copies.
@@ -14,7 +15,8 @@
       need no further comparison, so it gives a spanning forest of its links.
 3. Signatures of a pair are compared in batches of 16; it is dropped once the posterior
    probability that its similarity reaches the threshold, given the agreements so far and a
-   uniform prior, is below MISS. What survives is verified exactly.
+   uniform prior, is below MISS (bytes agree a little more often than minima, which can only
+   keep a pair). What survives is verified exactly.
 4. Components of the verified links.
 
 Both rounds deal a bucket's comparisons as a grid of bounded blocks, so that a bucket of any
@@ -158,7 +160,7 @@ class Members:
     def __init__(self, batch: pa.RecordBatch):
         self.node, self.label, self.n = (batch.column(k).to_numpy() for k in ("node", "label", "n"))
         self.minor = batch.column("minor").to_numpy(zero_copy_only=False)
-        self.sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(-1, HASHES)
+        self.sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(-1, HASHES)
         self.sets = [np.frombuffer(x, np.uint64) for x in batch.column("members").to_pylist()] if "members" in batch.schema.names else None
 
     def add(self, other: Members) -> None:
@@ -205,20 +207,23 @@ def fingerprint(found: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, print (of the set), sig of every row; the last two null without shingles."""
+    """doc_id, n_shingles, print (of the set), bands (the keys), sig (lowest bytes) of every row; the last three null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            counts, prints, sigs = [], [], []
-            for t in batch.column(1).to_pylist():
-                found = shingles(t or "")
-                counts.append(len(found))
-                prints.append(fingerprint(found) if len(found) else None)
-                sigs.append(signature(found).astype("<u4").tobytes() if len(found) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(prints, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "print", "sig"])
+            found = [shingles(t or "") for t in batch.column(1).to_pylist()]
+            full = [signature(f) for f in found if len(f)]
+            keys, low = iter(band_keys(np.stack(full)) if full else ()), iter(full)
+            columns = [
+                (pa.int64(), [len(f) for f in found]),
+                (pa.binary(), [fingerprint(f) if len(f) else None for f in found]),
+                (pa.binary(), [next(keys).tobytes() if len(f) else None for f in found]),
+                (pa.binary(), [next(low).astype(np.uint8).tobytes() if len(f) else None for f in found]),
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for k, c in columns)], names=["doc_id", "n_shingles", "print", "bands", "sig"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, print binary, sig binary")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, print binary, bands binary, sig binary")
 
 
 def banded(classes: DataFrame) -> DataFrame:
@@ -227,10 +232,10 @@ def banded(classes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                sigs = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<u4").reshape(-1, HASHES)
-                yield pa.RecordBatch.from_arrays([pa.array(band_keys(sigs).ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "node"])
+                keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS))], names=["key", "node"])
 
-    return classes.select("node", "sig").mapInArrow(run, "key long, node long")
+    return classes.select("node", "bands").mapInArrow(run, "key long, node long")
 
 
 def blocks_of(n: Column) -> Column:
@@ -315,7 +320,7 @@ def sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, doc_id: str,
 
 
 def verified_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """u, v: verified links that span the components of the classes (node, doc, print, n, sig)."""
+    """u, v: verified links that span the components of the classes (node, doc, print, n, bands, sig)."""
     bands = banded(classes)
     heads = written(bands.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head"), "heads")
     members = written(bands.join(heads, "key").select("key", "node", "head"), "members")
@@ -327,6 +332,8 @@ def verified_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT,
         return as_member("v", "v"), as_member("v", "u")
 
     stars = written(members.where("node <> head").select(F.col("node").alias("u"), F.col("head").alias("v")).distinct(), "stars")
+    if stars.isEmpty():
+        return stars
     near = written(compared(*sides(stars), signatures, percent, "pairs").select("u", "v"), "near")
     sets = sets_of(docs, classes, near.select(F.col("u").alias("node")).union(near.select("v")).distinct(), doc_id, text)
     first = written(compared(*sides(near), sets, percent, "links").select("u", "v"), "links")
@@ -335,6 +342,8 @@ def verified_links(docs: DataFrame, classes: DataFrame, percent: int = PERCENT,
     own = members.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
     counts = own.groupBy("key", "label").agg(F.count("*").alias("c"))
     split = written(counts.groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("major"), F.count("*").alias("labels")).where("labels > 1").select(F.col("key").alias("g"), "major"), "split")
+    if split.isEmpty():
+        return first
     left = own.withColumnRenamed("key", "g").join(split, "g").join(sizes, "node")
     left = written(left.select("g", "node", "label", (F.col("label") != F.col("major")).alias("minor"), "n"), "left")
     flags = written(compared(left.where("minor"), left, signatures, percent, "flags").select("g", F.col("u").alias("node")).distinct(), "flags")
@@ -350,8 +359,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     rows = written(signed(docs, doc_id, text), "signatures")
     full = rows.where("doc_id is not null and n_shingles > 0")
     # the number of a class is fixed as soon as the table is written; a doc_id with several texts is in several classes
-    of_print = full.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
-    classes = written(of_print.select(F.monotonically_increasing_id().alias("node"), "doc", "print", "n", "sig"), "classes")
+    of_print = full.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
+    classes = written(of_print.select(F.monotonically_increasing_id().alias("node"), "doc", "print", "n", "bands", "sig"), "classes")
     links = written(verified_links(docs, classes, percent, doc_id, text), "links")
     one = lambda side: classes.select(F.col("node").alias(side), F.col("doc").alias(f"{side}_doc"))
     between = links.join(one("u"), "u").join(one("v"), "v").select(F.col("u_doc").alias("u"), F.col("v_doc").alias("v"))
