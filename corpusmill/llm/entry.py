@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import decontaminate, html_extract, license_scan, near_dedup, piece_sampling, quality_rules, secret_scan, substring_dedup, token_files
+from corpusmill.llm import decontaminate, exact_topk, filter_audit, html_extract, lexical_search, license_scan, near_dedup, piece_sampling, quality_rules, secret_scan, substring_dedup, token_files
 from corpusmill.llm.common import scratch, table
 from corpusmill.llm.token_counts import count_tokens
 
@@ -52,9 +52,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.op10(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_html_extract, op2_secret_scan, op3_piece_sampling, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op8_substring_dedup, op9_decontaminate, op10_license_scan)}
+    return {f.__name__: f for f in (op1_html_extract, op2_secret_scan, op3_piece_sampling, op4_token_counts, op5_token_files, op6_near_dedup, op7_quality_rules, op8_substring_dedup, op9_decontaminate, op10_license_scan, op11_filter_audit, op12_exact_topk, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_html_extract": html_extract.ORACLE, "op6_near_dedup": near_dedup.ORACLE, "op7_quality_rules": quality_rules.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE}
+    return {"op1_html_extract": html_extract.ORACLE, "op6_near_dedup": near_dedup.ORACLE, "op7_quality_rules": quality_rules.ORACLE, "op8_substring_dedup": substring_dedup.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op11_filter_audit": filter_audit.ORACLE, "op12_exact_topk": exact_topk.ORACLE, "op13_lexical_search": lexical_search.ORACLE}
