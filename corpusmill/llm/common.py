@@ -12,7 +12,8 @@ from collections.abc import Callable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 T = TypeVar("T")
@@ -88,6 +89,34 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def named(name: str) -> Column:
+    """The column of just that name, whatever characters it has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, where their names clash with nothing and mean nothing."""
+    return F.struct(*map(named, docs.columns))
+
+
+def beside(docs: DataFrame, *columns) -> DataFrame:
+    """The rows of docs as one struct, row, and columns beside it."""
+    return docs.select(whole_row(docs).alias("row"), *columns)
+
+
+def restored(rows: DataFrame, names: list[str], **new) -> DataFrame:
+    """The columns of beside()'s rows again, those of new in place of the old ones."""
+    return rows.select(*((new[c] if c in new else F.col("row").getField(c)).alias(c) for c in names), *(x.alias(c) for c, x in new.items() if c not in names))
+
+
+def unused(name: str, names: list[str]) -> str:
+    """name, with underscores behind it where names has it already, in whatever case."""
+    taken = {c.lower() for c in names}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import slices, texts, worker_state, written
+from corpusmill.llm.common import named, slices, texts, whole_row, worker_state, written
 
 #: Positions that each mask keeps.
 MASKS = ((0, 1, 2, 5, 6), (0, 1, 3, 5, 6), (0, 2, 3, 5, 7), (0, 1, 4, 8, 9))
@@ -267,7 +267,7 @@ def clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     n = found.count()
     if not n:
         return docs
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text).alias("text")).withColumns(text_keys("text"))
+    rows = docs.select(whole_row(docs).alias("row"), named(text).alias("text")).withColumns(text_keys("text"))
     return rows.join(F.broadcast(found) if n <= BROADCAST_ROWS else found, ["k1", "k2"], "left_anti").select("row.*")
 
 

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.common import shuffle_partitions, slices, worker_state, written
+from corpusmill.llm.common import named, shuffle_partitions, slices, whole_row, worker_state, written
 from corpusmill.llm.components import components
 
 WORDS, PERCENT = 5, 75
@@ -375,16 +375,16 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id",
     """The rows of docs that are the smallest doc_id of their component, once each, with the columns of docs.
 
     Repeated rows of one doc_id count as copies: one of them stays, that with the smallest
-    text. Rows with a null doc_id stay.
+    text, and of equal texts that whose columns, as JSON, come first. Rows with a null doc_id stay.
     """
     found = near_duplicates(docs, percent, doc_id, text)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    rows = docs.select(named(doc_id).cast("long").alias("id"), F.coalesce(named(text), F.lit("")).alias("text"), whole_row(docs).alias("row"))
     left = rows.join(found.where("not kept").select(F.col("doc_id").alias("id")).distinct(), "id", "left_anti")
     again = found.where("doc_id is not null and kept").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("id"))
     if again.isEmpty():
         return left.select("row.*")
     twice = written(again, "twice")
-    chosen = left.join(twice, "id", "left_semi").groupBy("id").agg(F.min_by("row", "text").alias("row"))
+    chosen = left.join(twice, "id", "left_semi").groupBy("id").agg(F.min_by("row", F.struct("text", F.to_json("row"))).alias("row"))
     return left.join(twice, "id", "left_anti").select("row.*").unionByName(chosen.select("row.*"))
 
 

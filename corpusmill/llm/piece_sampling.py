@@ -19,7 +19,8 @@ pieces have for a space, is spelt by bytes too, which keeps decoding lossless.
 
 Defined results: a null text gives null pieces, an empty one none; a null key counts as
 the smallest 64-bit integer; repeated rows give equal results; other columns are not read
-by encode(), and with_pieces() passes them on.
+by encode(), and with_pieces() passes them on, whatever their names; an empty table gives
+an empty one.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from corpusmill.llm.common import slices, worker_state
+from corpusmill.llm.common import beside, named, restored, slices, unused, worker_state
 
 MARK = "▁"
 RANK_SHIFT = 100
@@ -346,20 +348,17 @@ def with_pieces(docs: DataFrame, path: str, seed: int = 0, alpha: float = 1.0, d
 
     Where docs has a column of that name, the new one gets underscores behind it.
     """
-    while name in docs.columns:
-        name += "_"
-    key, at = docs.columns.index(doc_id), docs.columns.index(text)
-    schema = docs.withColumn(name, F.lit(None).cast("array<int>")).schema
+    name = unused(name, docs.columns)
+    rows = beside(docs, named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1024):
-            raw = batch.column(at).to_pylist()
+            raw = batch.column(2).to_pylist()
             draw = sampler(path, alpha)
-            for a, b, ids in _drawn(path, alpha, seed, batch.column(key), raw):
-                part = batch.slice(a, b - a)
-                columns = list(part.columns)
-                columns[at] = pa.array([None if t is None else draw.decode(x) for x, t in zip(ids, raw[a:b], strict=True)], batch.schema.field(at).type)
+            for a, b, ids in _drawn(path, alpha, seed, batch.column(1), raw):
+                decoded = pa.array([None if t is None else draw.decode(x) for x, t in zip(ids, raw[a:b], strict=True)], batch.schema.field(2).type)
                 lists = pa.array([None if t is None else x for x, t in zip(ids, raw[a:b], strict=True)], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*columns, lists], names=[*batch.schema.names, name])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), decoded, lists], names=["row", "text", "pieces"])
 
-    return docs.mapInArrow(run, schema)
+    schema = StructType([rows.schema["row"], rows.schema["text"], StructField("pieces", ArrayType(IntegerType()))])
+    return restored(rows.mapInArrow(run, schema), docs.columns, **{text: F.col("text"), name: F.col("pieces")})

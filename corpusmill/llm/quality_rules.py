@@ -34,6 +34,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.llm.common import named, whole_row
+
 SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "A-Z"
@@ -256,7 +258,7 @@ def quality(docs: DataFrame, rules: list[Rule] | None = None, doc_id: str = "doc
 def keep_good(docs: DataFrame, rules: list[Rule] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that no rule rejects, with the columns of docs."""
     ordered = ordered_rules(docs, rules, doc_id, text)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    rows = docs.select(whole_row(docs).alias("__row"), F.coalesce(named(text), F.lit("")).alias("__text"))
     return judged(rows, ordered).where(kept()).select("__row.*")
 
 

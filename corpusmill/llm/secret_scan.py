@@ -34,8 +34,9 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from corpusmill.llm.common import slices, texts
+from corpusmill.llm.common import beside, named, restored, slices, texts
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -223,18 +224,17 @@ def redact(text: str, words: str) -> str:
 def redacted(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", words: str | None = None) -> DataFrame:
     """docs with every secret replaced by MARK, and n_chars made anew where a text changed."""
     words = words or public_tokenizers.path("word_bpe_49k.json")
-    names = docs.columns
-    at, count = names.index(text), names.index(n_chars) if n_chars in names else None
+    rows = beside(docs, named(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            old = batch.column(at).to_pylist()
+            old = batch.column(1).to_pylist()
             new = [t and redact(t, words) for t in old]
-            columns = list(batch.columns)
-            columns[at] = pa.array(new, batch.schema.field(at).type)
-            if count is not None:
-                kept = batch.column(count).to_pylist()
-                columns[count] = pa.array([n if a == b else len(b) for n, a, b in zip(kept, old, new, strict=True)], batch.schema.field(count).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+            changed = [None if a == b else len(b) for a, b in zip(old, new, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, batch.schema.field(1).type), pa.array(changed, pa.int64())], names=["row", "text", "n"])
+
+    found = rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("n", LongType())]))
+    new = {text: F.col("text")}
+    if n_chars in docs.columns:
+        new[n_chars] = F.coalesce(F.col("n").cast(docs.schema[n_chars].dataType), F.col("row").getField(n_chars))
+    return restored(found, docs.columns, **new)

@@ -12,4 +12,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in entry.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in entry.queries()] == [f"op{k}" for k in range(1, 14)]

@@ -127,3 +127,10 @@ def test_recall_of_bands_and_bounds():
         band = (x.reshape(near_dedup.BANDS, -1) == y.reshape(near_dedup.BANDS, -1)).all(axis=1).any()
         lost += not (band and len(passing(x.astype(np.uint8), y.astype(np.uint8)[None], bound_table())[0]))
     assert lost == 0
+
+
+def test_of_equal_rows_but_for_a_column_the_same_one_stays(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    for order in (1, -1):
+        docs = spark.createDataFrame([(7, text, "b", {"k": 1}), (7, text, "a", {"k": 1}), (8, "other", "c", {})][::order], "doc_id long, text string, lang string, m map<string,int>").coalesce(1)
+        assert sorted((r.doc_id, r.lang) for r in near_dedup.one_of_each(docs).collect()) == [(7, "a"), (8, "c")]

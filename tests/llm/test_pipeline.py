@@ -55,3 +55,17 @@ def test_stages_keep_columns_and_take_nulls(spark, tmp_path):
         for docs in (odd, odd.limit(0)):
             assert stage(spark, docs, f"file://{tmp_path}").columns == odd.columns
     assert corpus_pipeline.secrets(spark, odd, "").count() == 2
+
+
+def test_stages_pass_any_column_names(spark, tmp_path):
+    fixture(spark, tmp_path)
+    more = "`a.b` int, Pieces string, TEXT2 string, row int, `pieces_` int, `back``tick` string, n int"
+    text = " ".join(f"w{k}" for k in range(80)) + ". token = " + "0123456789abcdef" * 2
+    docs = spark.createDataFrame([(1, text, "en", "s", len(text), 5, "p", "t", 6, 7, "b", 8)], f"doc_id long, text string, lang string, source string, n_chars long, {more}")
+    assert docs.columns[5] == "a.b"
+    for name, stage in corpus_pipeline.STAGES:
+        docs_out = stage(spark, docs, f"file://{tmp_path}")
+        assert docs_out.columns[:12] == docs.columns and docs_out.columns[12:] == (["pieces__"] if name == "pieces" else [])
+        assert [r[5:12] for r in docs_out.collect()] == [(5, "p", "t", 6, 7, "b", 8)]
+        docs = docs_out.select(*(f"`{c.replace('`', '``')}`" for c in docs.columns))
+    assert "[REDACTED]" in docs.first().text
