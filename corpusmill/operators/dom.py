@@ -6,26 +6,31 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from html import escape
-from html.parser import HTMLParser
 
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TEXT = frozenset(("script", "style", "noscript", "iframe", "xmp", "noembed", "noframes"))
-HEAD_ONLY = frozenset("title base link meta".split())
-FORMATTING = frozenset("a b big code em font i nobr s small strike strong tt u".split())
-CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li dd dt".split())
-ENDED_BY = {
-    "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "option": frozenset(("option",)), "tr": frozenset(("tr", "td", "th")), "td": frozenset(("td", "th")), "th": frozenset(("td", "th")),
-    "tbody": frozenset(("tr", "td", "th", "thead", "tbody")), "tfoot": frozenset(("tr", "td", "th", "thead", "tbody")),
-}
-SCOPES = frozenset("html body table ul ol dl article section div nav aside main header footer td th".split())
+VOID = frozenset("area base basefont bgsound br col embed frame hr img input keygen link meta param source track wbr".split())
+RAW_TEXT = frozenset("iframe noembed noframes noscript plaintext script style xmp".split())
+# Names of SVG that have capitals.
+SVG_TAGS = {x.lower(): x for x in "altGlyph altGlyphDef altGlyphItem animateColor animateMotion animateTransform clipPath feBlend feColorMatrix feComponentTransfer feComposite feConvolveMatrix feDiffuseLighting feDisplacementMap feDistantLight feDropShadow feFlood feFuncA feFuncB feFuncG feFuncR feGaussianBlur feImage feMerge feMergeNode feMorphology feOffset fePointLight feSpecularLighting feSpotLight feTile feTurbulence foreignObject glyphRef linearGradient radialGradient textPath".split()}
+SVG_ATTRIBUTES = {x.lower(): x for x in "attributeName attributeType baseFrequency baseProfile calcMode clipPathUnits diffuseConstant edgeMode filterUnits glyphRef gradientTransform gradientUnits kernelMatrix kernelUnitLength keyPoints keySplines keyTimes lengthAdjust limitingConeAngle markerHeight markerUnits markerWidth maskContentUnits maskUnits numOctaves pathLength patternContentUnits patternTransform patternUnits pointsAtX pointsAtY pointsAtZ preserveAlpha preserveAspectRatio primitiveUnits refX refY repeatCount repeatDur requiredExtensions requiredFeatures specularConstant specularExponent spreadMethod startOffset stdDeviation stitchTiles surfaceScale systemLanguage tableValues targetX targetY textLength viewBox viewTarget xChannelSelector yChannelSelector zoomAndPan".split()}
 SPACE = "\t\n\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 class Text:
-    __slots__ = ("data", "parent")
+    """A piece of text, which may grow piece by piece."""
+
+    __slots__ = ("_parts", "parent")
 
     def __init__(self, data: str):
-        self.data, self.parent = data, None
+        self._parts, self.parent = [data], None
+
+    @property
+    def data(self) -> str:
+        if len(self._parts) > 1:
+            self._parts = ["".join(self._parts)]
+        return self._parts[0]
+
+    def extend(self, data: str) -> None:
+        self._parts.append(data)
 
 
 class Comment(Text):
@@ -33,15 +38,26 @@ class Comment(Text):
 
 
 class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+    """An element. space: svg or math for those, else empty. content: what a template holds, which is no part of the document."""
 
-    def __init__(self, tag: str, attrs: dict[str, str] | None = None):
-        self.tag, self.attrs, self.children, self.parent = tag, attrs or {}, [], None
+    __slots__ = ("attrs", "children", "content", "open", "parent", "space", "tag")
+
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None, space: str = ""):
+        self.tag, self.attrs, self.children, self.parent, self.space, self.open, self.content = tag, attrs or {}, [], None, space, False, None
 
     def append(self, child) -> None:
         child.parent = self
         self.children.append(child)
 
+    def index(self, child) -> int:
+        """The place of a child; one of the last is found at once."""
+        return next(k for k in range(len(self.children) - 1, -1, -1) if self.children[k] is child)
+
+    def put(self, child, before=None) -> None:
+        """Adds a child before another one, or at the end."""
+        child.parent = self
+        self.children.insert(len(self.children) if before is None else self.index(before), child)
+
     def elements(self) -> Iterator[Node]:
         """Descendants in document order, as the tree is now."""
         stack = [c for c in reversed(self.children) if isinstance(c, Node)]
@@ -63,7 +79,7 @@ class Node:
 
     def remove(self) -> None:
         if self.parent is not None:
-            self.parent.children = [c for c in self.parent.children if c is not self]
+            del self.parent.children[self.parent.index(self)]
             self.parent = None
 
     def select(self, selector: str) -> list[Node]:
@@ -118,149 +134,6 @@ def matches(node: Node, tests: tuple[tuple[str, str, str, str], ...]) -> bool:
     return True
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.document = Node("#document")
-        self.html, self.head, self.body = Node("html"), Node("head"), Node("body")
-        self.document.append(self.html)
-        self.html.append(self.head)
-        self.html.append(self.body)
-        self.open: list[Node] = [self.html, self.body]
-        self.formatting: list[Node] = []
-        self.raw: Node | None = None
-        self.in_head = self.seen_body = False
-
-    def here(self) -> Node:
-        return self.open[-1]
-
-    def cut(self, at: int) -> None:
-        del self.open[at:]
-
-    def find(self, tags, scopes=SCOPES) -> int | None:
-        for k in range(len(self.open) - 1, 1, -1):
-            if self.open[k].tag in tags:
-                return k
-            if self.open[k].tag in scopes:
-                return None
-        return None
-
-    def reopen(self) -> None:
-        """Formatting elements that a block's end has closed go on."""
-        for node in list(self.formatting):
-            if node not in self.open:
-                fresh = Node(node.tag, dict(node.attrs))
-                self.here().append(fresh)
-                self.open.append(fresh)
-                self.formatting[self.formatting.index(node)] = fresh
-
-    def handle_starttag(self, tag, attrs):
-        given = {}
-        for k, v in attrs:
-            given.setdefault(k, v or "")
-        if tag in ("html", "body", "head"):
-            target = {"html": self.html, "body": self.body, "head": self.head}[tag]
-            for k, v in given.items():
-                target.attrs.setdefault(k, v)
-            self.in_head = tag == "head"
-            self.seen_body |= tag == "body"
-            return
-        if not self.seen_body and len(self.open) == 2 and not self.body.children and (tag in HEAD_ONLY or self.in_head and tag in ("style", "script", "noscript")):
-            node = Node(tag, given)
-            self.head.append(node)
-            if tag not in VOID:
-                self.raw = node
-            return
-        self.in_head = False
-        if tag in CLOSES_P and (k := self.find(("p",))) is not None:
-            self.cut(k)
-        if tag in ENDED_BY and (k := self.find(ENDED_BY[tag], SCOPES - ENDED_BY[tag])) is not None:
-            self.cut(k)
-        if tag in ("h1", "h2", "h3", "h4", "h5", "h6") and re.fullmatch("h[1-6]", self.here().tag):
-            self.open.pop()
-        if tag == "a":
-            for old in [n for n in self.formatting if n.tag == "a"]:
-                self.formatting.remove(old)
-                if old in self.open:
-                    self.cut(self.open.index(old))
-        if tag not in CLOSES_P and tag not in ENDED_BY:
-            self.reopen()
-        node = Node(tag, given)
-        self.here().append(node)
-        if tag in VOID:
-            return
-        self.open.append(node)
-        if tag in FORMATTING:
-            self.formatting.append(node)
-        if tag in RAW_TEXT:
-            self.raw = node
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag in ("svg", "path", "circle", "rect", "g") and self.here().tag == tag:
-            self.open.pop()
-
-    def handle_endtag(self, tag):
-        if self.raw is not None:
-            if self.raw.tag == tag:
-                if self.raw in self.open:
-                    self.cut(self.open.index(self.raw))
-                self.raw = None
-            return
-        if tag in ("html", "body", "head"):
-            self.in_head = False
-            return
-        if tag == "br":
-            self.handle_starttag("br", [])
-            return
-        if tag == "p" and self.find(("p",)) is None:
-            self.here().append(Node("p"))
-            return
-        for k in range(len(self.open) - 1, 1, -1):
-            node = self.open[k]
-            if node.tag == tag:
-                if node in self.formatting:
-                    self.formatting.remove(node)
-                self.cut(k)
-                return
-            if tag in FORMATTING and node.tag in SCOPES:
-                break
-        self.formatting = [n for n in self.formatting if n.tag != tag or n in self.open] if tag in FORMATTING else self.formatting
-        if tag in FORMATTING:
-            for n in reversed(self.formatting):
-                if n.tag == tag:
-                    self.formatting.remove(n)
-                    break
-
-    def handle_data(self, data):
-        if self.raw is not None:
-            self.raw.append(Text(data))
-            return
-        if not self.seen_body and not self.body.children and not data.strip(SPACE):
-            return
-        if len(self.open) == 2 and not data.strip(SPACE):
-            self.here().append(Text(data))
-            return
-        if data.strip(SPACE):
-            self.reopen()
-        self.here().append(Text(data))
-
-    def handle_comment(self, data):
-        if self.raw is None and (self.seen_body or self.body.children):
-            self.here().append(Comment(data))
-
-
-def parse(html: str) -> Node:
-    """The document of any markup: html with head and body. A tag cut off by the end is dropped."""
-    builder = _Builder()
-    cut = html.rfind("<")
-    if cut >= 0 and ">" not in html[cut:] and re.match(r"</?[A-Za-z]", html[cut : cut + 3]):
-        html = html[:cut]
-    builder.feed(html)
-    builder.close()
-    return builder.document
-
-
 def inner_html(node: Node) -> str:
     """The markup of what stands below node, comments kept."""
     out: list[str] = []
@@ -276,8 +149,9 @@ def inner_html(node: Node) -> str:
             out.append(x.data if raw else escape(x.data, quote=False).replace("\u00a0", "&nbsp;"))
         else:
             attrs = "".join(f' {k}="{v.replace("&", "&amp;").replace(chr(34), "&quot;").replace(chr(160), "&nbsp;")}"' for k, v in x.attrs.items())
-            out.append(f"<{x.tag}{attrs}>")
-            if x.tag not in VOID:
-                stack.append(f"</{x.tag}>")
-                stack += reversed(x.children)
+            tag = SVG_TAGS.get(x.tag, x.tag) if x.space == "svg" else x.tag
+            out.append(f"<{tag}{attrs}>")
+            if x.tag not in VOID or x.space:
+                stack.append(f"</{tag}>")
+                stack += reversed(x.content or x.children)
     return "".join(out)

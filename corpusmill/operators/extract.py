@@ -12,8 +12,9 @@ from corpusmill.config import BREADCRUMB, BREADCRUMB_ITEMS, SiteProfile
 from corpusmill.functions.text import content_to_markdown
 from corpusmill.functions.urls import clean_url, resolve_href
 from corpusmill.operators.clean import clean
-from corpusmill.operators.dom import SPACE, inner_html, parse
+from corpusmill.operators.dom import SPACE, inner_html
 from corpusmill.operators.markdown import markdown
+from corpusmill.operators.tree import parse
 
 FIELDS = pa.struct([("title", pa.string()), ("heading", pa.string()), ("text", pa.string()), ("html", pa.string()), ("breadcrumb", pa.list_(pa.string())), ("hrefs", pa.list_(pa.string())), ("body_md", pa.string()), ("error", pa.string())])
 COLUMNS = "title string, heading string, text string, html string, breadcrumb array<string>, hrefs array<string>, body_md string, error string"

@@ -302,6 +302,21 @@ def page_cleaned_html(spark, d):
     return extract_pages(pages, SITE, fields=("html",)).select("page_id", "html")
 
 
+def _unmarked(html: F.Column) -> F.Column:
+    """The article of a page of the plain template without its tags, a line separator where a paragraph begins."""
+    article = F.regexp_extract(html, r"(?s)<article>(.*?)(?:</article>|\z)", 1)
+    return F.regexp_replace(F.replace(article, F.lit("<p>"), F.lit("\u2028")), r"<[a-z/!][^>]*(?:>|\z)", "")
+
+
+def page_tree(spark, d):
+    """The tree, as markup, of every page's article as rows of a table without sections and ends, with its heading loose in the table and in misnested elements behind it."""
+    article = _unmarked(F.col("html"))
+    heading = F.substring_index(article, "\u2028", 1)
+    behind = F.concat(F.lit("</table><b>a<div>"), heading, F.lit("</b>c</div><p>1<b>2<i>"), heading, F.lit("</b>4</i>5</p><a href=x>d<div><a href=y>"), heading, F.lit("</a></div><select><option>e<option>f<p>g</select><dl><dt>h<dd>i<dt>j"))
+    pages = _pages(spark, d).withColumn("html", F.concat(F.lit("<!doctype html><title>t</title><p>k<table>"), F.replace(article, F.lit("\u2028"), F.lit("<tr><td>")), behind))
+    return extract_pages(pages, SITE, selectors=(), fields=("html",)).select("page_id", "html")
+
+
 def page_structure(spark, d):
     """Markdown of headings, lists, code, links and emphasis around every page's title."""
     body = F.concat(F.lit("<body><h2>"), _title(), F.lit("</h2><p>a <b>b</b> <i>c</i> <a href='/l'>d</a></p><ul><li>e</li><li>f</li></ul><pre><code>g\n  h</code></pre><hr></body>"))
@@ -344,7 +359,7 @@ def page_markdown(spark, d):
 ALL = (
     url_clean, url_filename, url_version, url_canonical, href_resolve, page_title, links_of_pages, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
     cache_pages, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_headers, utf16_sizes, content_markdown, sample_pages,
-    page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
+    page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_tree, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
 )
 
 
@@ -414,13 +429,13 @@ _PLAIN_TITLE = _entities(rf"regexp_replace(trim({_TITLE}), '\s+', ' ', 'g')")
 
 
 def _blocks_sql() -> str:
-    """Of pages of the plain template: ad, heading and, paragraph by paragraph, text, whether a line break ends it, and how many b are open."""
+    """Of pages of the plain template: ad, heading and, paragraph by paragraph, text, whether a line break ends it, and how many b are open: three of those begun before go on at most."""
     inner = r"regexp_replace(regexp_extract(html, '(?s)<article>(.*?)(?:</article>|\z)', 1), '<[a-z/][^>]*\z', '')"
     ad = _entities(r"regexp_extract(html, '(?s)<div class=\"ad\">(.*?)(?:</div>|\z)', 1)")
     plain = _entities("regexp_replace(part, '<[a-z/][^>]*>', '', 'g')")
     return f"""s AS (SELECT page_id, url, {_H1} AS h1, {_PLAIN_TITLE} AS title, {ad} AS ad, string_split({inner}, '<p>')[2:] AS parts FROM pages),
     q AS (SELECT page_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM s),
-    b AS (SELECT page_id, k, {plain} AS text, contains(part, '<br>') AS br, (sum(contains(part, '<b>')::INTEGER) OVER (PARTITION BY page_id ORDER BY k))::BIGINT AS n FROM q)"""
+    b AS (SELECT page_id, k, {plain} AS text, contains(part, '<br>') AS br, (least(3, coalesce(sum(contains(part, '<b>')::INTEGER) OVER (PARTITION BY page_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) + contains(part, '<b>')::INTEGER)::BIGINT AS n FROM q)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -476,6 +491,10 @@ def oracle_sql() -> dict[str, str]:
         "page_live_links": f"{_LINKS} SELECT page_id, pos, link FROM l",
         "page_cleaned": f"""SELECT page_id, {_said("replace(html, '<article>', 'L1L2L3 L4L5<article>')")} AS text FROM pages""",
         "page_cleaned_html": f"SELECT page_id, '<p id=\"a\">' || {_TITLE} || '</p><!-- c --><br><img src=\"x.png\">' AS html FROM pages",
+        "page_tree": f"""WITH u AS (SELECT page_id, string_split(regexp_replace(replace(regexp_extract(html, '(?s)<article>(.*?)(?:</article>|\\z)', 1), '<p>', chr(8232)), '<[a-z/!][^>]*(?:>|\\z)', '', 'g'), chr(8232)) AS parts FROM pages),
+            e AS (SELECT page_id, list_transform(parts, lambda x: replace(replace(replace({_entities("x")}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')) AS p FROM u)
+            SELECT page_id, '<p>k</p>' || p[1] || '<table>' || CASE WHEN len(p) > 1 THEN '<tbody><tr><td>' || array_to_string(p[2:], '</td></tr><tr><td>') || '</td></tr></tbody>' ELSE '' END || '</table><b>a</b><div><b>' || p[1] || '</b>c</div><p>1<b>2<i>' || p[1] || '</i></b><i>4</i>5</p><a href="x">d</a><div><a href="x"></a><a href="y">' || p[1]
+                || '</a></div><select><option>e</option><option>fg</option></select><dl><dt>h</dt><dd>i</dd><dt>j</dt></dl>' AS html FROM e""",
         "page_structure": f"SELECT page_id, '#' || chr(10) || '**URL:** ' || url || chr(10) || '---' || chr(10) || '## ' || {_marked(_PLAIN_TITLE)} || chr(10) || chr(10) || 'a **b** _c_ [d](/l)' || chr(10) || chr(10) || '*   e' || chr(10) || '*   f' || chr(10) || chr(10) || '```' || chr(10) || 'g' || chr(10) || '  h' || chr(10) || '```' || chr(10) || chr(10) || '* * *' AS md FROM pages",
         "markdown_normalize": rf"""WITH x AS (SELECT doc_id, ' ' || chr(10) || chr(10) || chr(9) || replace(text, '. ', '.  ' || chr(160) || repeat(chr(10), 4) || '  ') || chr(9) || chr(10) || ' ' || chr(10) || chr(12288) AS t FROM documents)
             SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '[{_SPACE}]+(\n|\z)', '\1', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '\A[{_SPACE}\n]+|[{_SPACE}\n]+\z', '', 'g') AS md FROM x""",
