@@ -1,48 +1,37 @@
-"""The column functions under names for SQL, and links as a table function."""
+"""The column functions under names for SQL, and the links of pages as a view."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from urllib.parse import urljoin
 
-from pyspark.sql import SparkSession
-from pyspark.sql.functions import udtf
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.config import SiteProfile
 from corpusmill.functions.text import LINE_END, TRIM
+from corpusmill.operators.links import page_links
 
-ANCHOR = re.compile(r"<a[^>]+href=[\"']([^\"']+)[\"'][^>]*>", re.I)
 
-
-class ExtractLinks:
-    """extract_links(html, base): pos, link of each distinct link of a page, resolved and clean."""
-
-    def eval(self, html: str, base: str) -> Iterator[tuple[int, str]]:
-        seen = {}
-        for href in ANCHOR.findall(html or ""):
-            try:
-                full = href if href.startswith("http") else urljoin(base or "", href)
-            except ValueError:
-                continue
-            seen.setdefault(full.split("#")[0].split("?")[0], None)
-        yield from enumerate(seen)
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def register_functions(spark: SparkSession, profile: SiteProfile) -> list[str]:
-    """Temporary SQL functions that the optimizer writes out in place, and extract_links."""
+    """Temporary SQL functions that the optimizer writes out in place."""
     quoted = re.sub(r"([^A-Za-z0-9/])", r"\\\1", profile.path_prefix)
-    lit = lambda s: "r'" + s.replace("'", "") + "'"
+    lit = _literal
     made = {
         "clean_url": "substring_index(substring_index(u, '#', 1), '?', 1)",
         "extract_version": f"nullif(regexp_extract(u, {lit(quoted + '/([0-9]+)/')}, 1), '')",
-        "canonical_url": f"regexp_replace(u, {lit('(?s)^(.*?)' + quoted + '/[0-9]+/')}, {lit('$1' + profile.path_prefix + '/')})",
+        "canonical_url": f"regexp_replace(u, {lit('(?s)^(.*?)' + quoted + '/[0-9]+/')}, {lit('$1' + re.sub(r'([\\$])', r'\\\1', profile.path_prefix) + '/')})",
         "normalize_markdown": f"regexp_replace(regexp_replace(regexp_replace(u, {lit(LINE_END)}, ''), {lit('\\n{3,}')}, '\\n\\n'), {lit(TRIM)}, '')",
         "js_trim": f"regexp_replace(u, {lit(TRIM)}, '')",
     }
     for name, body in made.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(u STRING) RETURNS STRING RETURN {body}")
-    kind = StructType([StructField("pos", IntegerType()), StructField("link", StringType())])
-    spark.udtf.register("extract_links", udtf(ExtractLinks, returnType=kind))
-    return [*made, "extract_links"]
+    return [*made]
+
+
+def register_links(spark: SparkSession, pages: DataFrame, profile: SiteProfile, name: str = "page_links") -> str:
+    """A view of page_id, url, pos, link over pages (page_id, url, html), by the same expressions as everywhere."""
+    page_links(pages, profile).createOrReplaceTempView(name)
+    return name

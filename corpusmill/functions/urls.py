@@ -3,18 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from corpusmill.functions.weburl import ORIGIN, PATH, SEGMENTS, hrefs_of, let, percent_encoded, url_href, without_dots
 
 LINK = r"(?i)<a[^>]+href=[\"']([^\"']+)[\"'][^>]*>"
-PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)"
-ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
-#: Characters of a path that a URL has percent-encoded.
-ENCODED = r'[^\x21\x23-\x3b\x3d\x3f-\x5d\x5f\x61-\x7a\x7c\x7e]'
 
 
 def _quoted(text: str) -> str:
@@ -38,10 +33,13 @@ def canonical_url(url: Column, prefix: str) -> Column:
 
 
 def url_path(url: Column) -> Column:
-    """The percent-encoded path; null if url isn't absolute."""
-    path = F.regexp_extract(url, PATH, 1)
-    encoded = F.array_join(F.transform(F.split(path, ""), lambda c: F.when(F.regexp_like(c, F.lit(ENCODED)), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))).otherwise(c)), "")
-    return F.when(F.regexp_like(url, F.lit(PATH)), F.when(F.regexp_like(path, F.lit(ENCODED)), encoded).otherwise(path))
+    """The path of url in normal form; null if url isn't absolute. Whether its host can be one is not asked."""
+    plain = rf"^{ORIGIN}({SEGMENTS}|/?)(?:[?#](?s:.*))?\z"
+    web = r"(?i)^(?:https?|ftp|wss?):[/\\]*[^/\\?#]+([^?#]*)"
+    found = F.when(F.regexp_like(url, F.lit(web)), F.translate(F.regexp_extract(url, web, 1), "\\", "/")).otherwise(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1))
+    whole = let(found, lambda p: let(without_dots(p), lambda x: percent_encoded(x, PATH)))
+    path = F.when(F.regexp_like(url, F.lit(plain)), F.regexp_extract(url, plain, 1)).when(F.regexp_like(url, F.lit(rf"{web}|^[A-Za-z][A-Za-z0-9+.-]*://")), whole)
+    return F.when((path == "") & F.regexp_like(url, F.lit(web)), "/").otherwise(path)
 
 
 def url_to_filename(url: Column, prefix: str, extension: str = ".json") -> Column:
@@ -61,53 +59,9 @@ def redirect_filename(url: Column, prefix: str) -> Column:
     return url_to_filename(url, prefix, ".redirect.json")
 
 
-def without_dots(path: Column) -> Column:
-    """An absolute path without its . and .. segments; what leads above the top stays at the top."""
-    dot = lambda x, n: F.lower(F.regexp_replace(x, "(?i)%2e", ".")) == "." * n
-    parts = F.slice(F.split(path, "/"), 2, F.size(F.split(path, "/")))
-    kept = F.aggregate(
-        parts,
-        F.array().cast("array<string>"),
-        lambda done, x: F.when(dot(x, 2), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(dot(x, 1), done).otherwise(F.concat(done, F.array(x))),
-    )
-    last = F.element_at(parts, -1)
-    ends = F.when(dot(last, 1) | dot(last, 2), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    return F.when(F.regexp_like(path, F.lit(r"(?i)/(?:\.|%2e){1,2}(?:/|\z)")), F.concat(F.lit("/"), F.array_join(ends, "/"))).otherwise(path)
-
-
 def resolve_href(href: Column, base: Column) -> Column:
-    """href as an absolute URL, dot segments resolved; null if that can't be. An href that begins with http stays as it is."""
-    origin = F.regexp_extract(base, ORIGIN, 1)
-    path, rest = F.regexp_extract(href, r"^([^?#]*)", 1), F.regexp_extract(href, r"^[^?#]*((?s:.*))\z", 1)
-    here = F.regexp_extract(clean_url(base), PATH, 1)
-    folder = F.when(F.contains(here, F.lit("/")), F.regexp_extract(here, "^(.*/)[^/]*$", 1)).otherwise("/")
-    host = F.regexp_extract(path, "^(//[^/]*)", 1)
-    below = F.regexp_replace(path, "^//[^/]*", "")
-    found = (
-        F.when(href.startswith("http"), href)
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1), host, without_dots(F.when(below == "", "/").otherwise(below)), rest))
-        .when(href.startswith("/"), F.concat(origin, without_dots(path), rest))
-        .when(href.startswith("#"), F.concat(F.substring_index(base, "#", 1), href))
-        .when(href.startswith("?"), F.concat(clean_url(base), href))
-        .when(F.regexp_like(href, F.lit("^[A-Za-z][A-Za-z0-9+.-]*:")), href)
-        .otherwise(F.concat(origin, without_dots(F.concat(folder, path)), rest))
-    )
-    return F.when((origin != "") | href.startswith("http"), found)
-
-
-@F.pandas_udf(StringType())
-def resolve_href_general(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """The same by the standard library, for hrefs of other schemes' rules."""
-    from urllib.parse import urljoin
-
-    def one(href, base):
-        try:
-            return None if href is None or base is None else href if href.startswith("http") else urljoin(base, href)
-        except ValueError:
-            return None
-
-    for href, base in pairs:
-        yield pd.Series([one(h, b) for h, b in zip(href, base, strict=True)])
+    """href as an absolute URL; null if that can't be. An href that begins with http stays as it is."""
+    return F.when(base.isNotNull() & href.startswith("http"), href).otherwise(url_href(href, base))
 
 
 def raw_hrefs(html: Column) -> Column:
@@ -115,8 +69,14 @@ def raw_hrefs(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(LINK), F.lit(1))
 
 
+def links_below(hrefs: Column, full: Column, base_url: str, prefix: str) -> Column:
+    """The distinct clean ones of full, below base_url, whose hrefs have the prefix, in order of their first place."""
+    pairs = F.filter(F.arrays_zip(hrefs.alias("href"), full.alias("full")), lambda x: F.contains(x["href"], F.lit(prefix)) & F.coalesce(x["full"].startswith(base_url), F.lit(False)))
+    return F.array_distinct(F.transform(pairs, lambda x: clean_url(x["full"])))
+
+
 def extract_links(html: Column, url: Column, base_url: str, prefix: str) -> Column:
-    """The distinct clean links of a page below base_url, in order of their first place."""
+    """The links of a page's markup as links_below() has them; an href that begins with http is taken as it is."""
     own = F.filter(raw_hrefs(html), lambda h: F.contains(h, F.lit(prefix)))
-    full = F.transform(own, lambda h: clean_url(resolve_href(h, url)))
-    return F.array_distinct(F.filter(full, lambda u: F.coalesce(u.startswith(base_url), F.lit(False))))
+    kept = lambda hrefs: F.transform(F.arrays_zip(hrefs.alias("h"), hrefs_of(hrefs, url).alias("u")), lambda x: F.when(x["h"].startswith("http"), x["h"]).otherwise(x["u"]))
+    return let(own, lambda hrefs: links_below(hrefs, kept(hrefs), base_url, prefix))

@@ -12,9 +12,10 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterable
 
 from corpusmill.config import COURSE_BLOCKS, COURSE_HREF, COURSE_IMAGES, COURSE_TEXTS, LATE_SELECTORS, THANKS, SiteProfile
-from corpusmill.operators.dom import SPACE, Comment, Node, matches, parse_selector
+from corpusmill.operators.dom import SPACE, Comment, Node, rules
 
 HEADING = re.compile(r"h([1-6])")
+SECTION_HEADINGS = frozenset(("h2", "h3", "h4", "h5"))
 #: Characters that make a pattern more than the text that it finds.
 SPECIAL = re.compile(r"[\\.^$*+?{}\[\]|()]")
 SAID = re.compile(f"[^{SPACE}]+")
@@ -97,24 +98,22 @@ def outermost(nodes: Iterable[Node], flagged: set[int]) -> list[Node]:
 
 def drop_selected(body: Node, selectors: tuple[str, ...]) -> None:
     """Each match of a selector with all below it. As matches go whole, one walk does what one selector after another would."""
-    tests = [t for s in selectors for t in parse_selector(s)]
-    tags = {t[0][1] for t in tests if len(t) == 1 and t[0][0] == "tag"}
-    others = [t for t in tests if not (len(t) == 1 and t[0][0] == "tag")]
-    by_tag = [t for t in others if all(x[0] == "tag" for x in t)]
-    gone, stack = [], [body]
+    hit, gone, stack = rules(selectors).hit, [], [body]
     while stack:
         for c in stack.pop().children:
             if isinstance(c, Node):
-                if c.tag in tags or "*" in tags or any(matches(c, t) for t in (others if c.attrs else by_tag)):
+                if hit(c):
                     gone.append(c)
-                else:
+                elif c.children:
                     stack.append(c)
     drop(gone)
 
 
 def drop_heading_sections(body: Node, patterns: list[re.Pattern]) -> None:
     """Headings h2 to h5 that match, with the sibling elements up to one of their level or above."""
-    found = [h for h in body.select("h2, h3, h4, h5") if any(p.search(h.text().strip(SPACE)) for p in patterns)]
+    found = [h for h in body.elements() if h.tag in SECTION_HEADINGS and any(p.search(h.text().strip(SPACE)) for p in patterns)]
+    if not found:
+        return
     flagged, gone = {id(h) for h in found}, []
     for parent in {id(h.parent): h.parent for h in found}.values():
         level = 0  # of the heading whose section goes
@@ -132,10 +131,11 @@ def drop_heading_sections(body: Node, patterns: list[re.Pattern]) -> None:
 
 def drop_noise(body: Node, patterns: list[re.Pattern], wrappers: bool = True) -> None:
     """div, p and section elements whose text matches; with wrappers, the outermost goes with all below it, else those that hold no other match."""
+    text = body.text()
+    if all(not SPECIAL.search(p.pattern) and not p.search(text) for p in patterns):
+        return
     flat = Flat(body)
     finders = [Finder(flat.text, p) for p in patterns]
-    if not any(f.places is None or f.places for f in finders):
-        return
     found = [n for n in flat.nodes if n.tag in ("div", "p", "section") and any(f.inside(*flat.stripped(n)) for f in finders)]
     if wrappers:
         drop(outermost(flat.nodes, {id(n) for n in found}))
@@ -151,10 +151,11 @@ def drop_noise(body: Node, patterns: list[re.Pattern], wrappers: bool = True) ->
 
 def drop_course_blocks(body: Node) -> None:
     """For each link to a course, the nearest block above it that speaks of one; without such a block, nothing."""
+    text = body.text()
+    if not any(t in text for t in COURSE_BLOCKS):
+        return
     flat = Flat(body)
     places = sorted((m.start(), m.start() + len(t)) for t in COURSE_BLOCKS for m in re.finditer(f"(?={re.escape(t)})", flat.text))
-    if not places:
-        return
     begins = [a for a, _ in places]
     following = list(range(len(places) + 1))  # the place itself, or one behind it if it went with a block
 
@@ -202,10 +203,9 @@ def drop_course_blocks(body: Node) -> None:
 
 
 def drop_exact_text(body: Node, text: str) -> None:
-    flat = Flat(body)
-    if text not in flat.text:
+    if text not in body.text():
         return
-    found = set()
+    flat, found = Flat(body), set()
     for n in flat.nodes:
         a, b = flat.stripped(n)
         if b - a == len(text) and flat.text.startswith(text, a):
@@ -218,6 +218,5 @@ def clean(body: Node, profile: SiteProfile, selectors: tuple[str, ...] | None =
     drop_heading_sections(body, profile.headings())
     drop_noise(body, profile.noises(), profile.noise_takes_wrappers)
     drop_course_blocks(body)
-    drop_selected(body, (COURSE_IMAGES,))
     drop_exact_text(body, THANKS)
-    drop_selected(body, LATE_SELECTORS)
+    drop_selected(body, (COURSE_IMAGES, *LATE_SELECTORS))  # images say nothing, so they may go with the last

@@ -134,6 +134,46 @@ def matches(node: Node, tests: tuple[tuple[str, str, str, str], ...]) -> bool:
     return True
 
 
+class Rules:
+    """Many selectors at once: what an element has is looked up, by tag, class and attribute, and all [x*=] of an attribute are one pattern."""
+
+    def __init__(self, selectors: tuple[str, ...]):
+        self.tags, self.classes, self.equal, self.begins, self.tagged, self.rest = set(), set(), {}, {}, {}, []
+        parts: dict[str, list[str]] = {}
+        for tests in (t for s in selectors for t in parse_selector(s)):
+            kind, name, how, value = tests[0]
+            if len(tests) > 1:
+                (self.tagged.setdefault(name, []) if kind == "tag" and name != "*" else self.rest).append(tests)
+            elif kind == "tag" and name != "*":
+                self.tags.add(name)
+            elif kind == "class":
+                self.classes.add(name)
+            elif how == "=":
+                self.equal.setdefault(name, set()).add(value)
+            elif how == "^=" and value:
+                self.begins[name] = (*self.begins.get(name, ()), value)
+            elif how == "*=" and value:
+                parts.setdefault(name, []).append(re.escape(value))
+            else:
+                self.rest.append(tests)
+        self.holds = {name: re.compile("|".join(values)) for name, values in parts.items()}
+
+    def hit(self, node: Node) -> bool:
+        if node.tag in self.tags:
+            return True
+        if node.attrs:
+            for name, value in node.attrs.items():
+                if name == "class" and self.classes and not self.classes.isdisjoint(value.split()):
+                    return True
+                if name in self.holds and self.holds[name].search(value) or name in self.equal and value in self.equal[name] or name in self.begins and value.startswith(self.begins[name]):
+                    return True
+        tests = self.tagged.get(node.tag)
+        return bool(tests and any(matches(node, t) for t in tests) or self.rest and any(matches(node, t) for t in self.rest))
+
+
+rules = lru_cache(64)(Rules)
+
+
 def inner_html(node: Node) -> str:
     """The markup of what stands below node, comments kept."""
     out: list[str] = []

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from corpusmill.config import BREADCRUMB, BREADCRUMB_ITEMS, SiteProfile
 from corpusmill.functions.text import content_to_markdown
-from corpusmill.functions.urls import clean_url, resolve_href
+from corpusmill.functions.urls import links_below
+from corpusmill.functions.weburl import hrefs_of, let, url_href
 from corpusmill.operators.clean import clean
-from corpusmill.operators.dom import SPACE, inner_html
+from corpusmill.operators.dom import SPACE, inner_html, rules
 from corpusmill.operators.markdown import markdown
 from corpusmill.operators.tree import parse
 
-FIELDS = pa.struct([("title", pa.string()), ("heading", pa.string()), ("text", pa.string()), ("html", pa.string()), ("breadcrumb", pa.list_(pa.string())), ("hrefs", pa.list_(pa.string())), ("body_md", pa.string()), ("error", pa.string())])
-COLUMNS = "title string, heading string, text string, html string, breadcrumb array<string>, hrefs array<string>, body_md string, error string"
+FIELDS = pa.struct([("title", pa.string()), ("heading", pa.string()), ("text", pa.string()), ("html", pa.string()), ("breadcrumb", pa.list_(pa.string())), ("hrefs", pa.list_(pa.string())), ("base", pa.string()), ("body_md", pa.string()), ("error", pa.string())])
+COLUMNS = "title string, heading string, text string, html string, breadcrumb array<string>, hrefs array<string>, base string, body_md string, error string"
 
 
 #: Rows of a batch that are in Python at a time.
@@ -26,20 +27,28 @@ SLICE = 64
 
 def extract_one(html: str | None, profile: SiteProfile, selectors: tuple[str, ...] | None = None, fields: frozenset[str] = frozenset(FIELDS.names)) -> dict:
     """All fields of a page; those not among fields stay empty. A page that fails gives its error, and stops nothing."""
-    out = dict.fromkeys(("title", "heading", "text", "html", "body_md"), "") | {"breadcrumb": [], "hrefs": [], "error": None}
+    out = dict.fromkeys(("title", "heading", "text", "html", "body_md"), "") | {"breadcrumb": [], "hrefs": [], "base": None, "error": None}
     try:
         document = parse(html or "")
-        title = document.first("title")
-        out["title"] = " ".join(title.text().split()) if title is not None else ""
-        trail = document.first(BREADCRUMB)
-        if trail is not None:
-            out["breadcrumb"] = [t for t in (n.text().strip(SPACE) for n in trail.select(BREADCRUMB_ITEMS)) if t]
-        heading = document.first("h1")
-        out["heading"] = heading.text().strip(SPACE) if heading is not None else ""
-        out["hrefs"] = [n.attrs["href"] for n in document.select("a[href]")]
+        first, trails = {}, rules((BREADCRUMB,))
+        for n in document.elements():
+            if n.tag == "a" and "href" in n.attrs:
+                out["hrefs"].append(n.attrs["href"])
+            elif n.tag in ("title", "h1") or n.tag == "base" and "href" in n.attrs:
+                first.setdefault(n.tag, n)
+            if n.attrs and "trail" not in first and trails.hit(n):
+                first["trail"] = n
+        if "title" in first:
+            out["title"] = " ".join(first["title"].text().split())
+        if "trail" in first:
+            out["breadcrumb"] = [t for t in (n.text().strip(SPACE) for n in first["trail"].select(BREADCRUMB_ITEMS)) if t]
+        if "h1" in first:
+            out["heading"] = first["h1"].text().strip(SPACE)
+        if "base" in first:
+            out["base"] = first["base"].attrs["href"]
         if not fields & {"text", "html", "body_md"}:
             return out
-        body = document.first("body")
+        body = document.children[0].children[-1]
         clean(body, profile, selectors)
         # the cleaned body stands in no page, so its text is that of its text nodes
         if "text" in fields:
@@ -70,11 +79,14 @@ def extract_pages(pages: DataFrame, profile: SiteProfile, selectors: tuple[str,
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *rows.flatten()], names=[*names, *(f.name for f in FIELDS)])
 
     found = pages.select(*names, "html").mapInArrow(run, f"{kept}, {COLUMNS}")
+    # a step of its own: the analyzer counts how deep one step's expressions are
+    found = found.withColumn("base", F.when(F.col("base").isNull(), F.col("url")).otherwise(F.coalesce(url_href(F.col("base"), F.col("url")), F.col("url"))))
+    # a link that can't be resolved is what it says
+    full = lambda hrefs: F.transform(F.arrays_zip(hrefs.alias("h"), hrefs_of(hrefs, F.col("base")).alias("u")), lambda x: F.coalesce(x["u"], x["h"]))
     own = F.filter("hrefs", lambda h: F.contains(h, F.lit(profile.path_prefix)))
-    full = F.filter(F.transform(own, lambda h: resolve_href(h, F.col("url"))), lambda u: F.coalesce(u.startswith(profile.base_url), F.lit(False)))
     return found.withColumns(
         {
-            "links": F.array_distinct(F.transform(full, clean_url)),
+            "links": let(own, lambda hrefs: links_below(hrefs, full(hrefs), profile.base_url, profile.path_prefix)),
             "md": content_to_markdown(F.col("title"), F.col("heading"), F.col("url"), F.col("breadcrumb"), F.col("body_md")),
         }
-    ).drop("hrefs")
+    ).drop("hrefs", "base")

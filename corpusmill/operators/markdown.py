@@ -11,6 +11,7 @@ import re
 
 from corpusmill.operators.dom import Comment, Node, Text
 
+BLANKS = re.compile(r"[ \t\r\n]+")
 BLOCKS = frozenset(
     "address article aside audio blockquote body canvas center dd dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html isindex li main menu nav noframes noscript ol output p pre section table tbody td tfoot th thead tr ul video".split()
 )
@@ -32,7 +33,13 @@ ESCAPES = (
 )
 
 
+#: What some pattern above may begin with; most texts have none of it.
+MARKS = re.compile(r"[\\*`\[\]_]|^(?:[-=>#]|\+ |~~~|\d+\. )", re.M)
+
+
 def escaped(text: str) -> str:
+    if not MARKS.search(text):
+        return text
     for pattern, by in ESCAPES:
         text = pattern.sub(by, text)
     return text
@@ -84,7 +91,7 @@ def _render(node: Node, depth: int = 0) -> list[tuple[str, bool]]:
         if isinstance(child, Comment):
             continue
         if isinstance(child, Text):
-            text = re.sub(r"[ \t\r\n]+", " ", child.data)
+            text = BLANKS.sub(" ", child.data)
             if text:
                 parts.append((escaped(text), False))
             continue

@@ -10,7 +10,7 @@ from html.entities import html5
 from typing import NamedTuple
 
 BREAK = r"\t\n\f\r "
-_MARK = re.compile(r"<(?=[A-Za-z/!?])")
+_MARK = re.compile(r"<(/?[A-Za-z]|[/!?])")
 _NAME = re.compile(rf"[^{BREAK}/>]+")
 _SKIP = re.compile(rf"[{BREAK}/]*")
 _KEY = re.compile(rf"=?[^{BREAK}/>=]*")
@@ -121,7 +121,7 @@ def tokens(html: str, mode: Mode) -> Iterator[Token]:
         at = start
         if at >= n:
             return
-        kind = html[at + 1]
+        kind = html[at + 1] if not m[1][-1].isalpha() else ""
         if kind == "!" and html.startswith("<!--", at):
             short = next((s for s in ("<!-->", "<!--->") if html.startswith(s, at)), None)
             m = None if short else _COMMENT_END.search(html, at + 4)
@@ -131,7 +131,7 @@ def tokens(html: str, mode: Mode) -> Iterator[Token]:
             end = html.find("]]>", at)
             yield Token("text", html[at + 9 : end if end >= 0 else n])
             at = end + 3 if end >= 0 else n
-        elif kind in "!?" or kind == "/" and not re.match("[A-Za-z]", html[at + 2 : at + 3]):
+        elif kind:
             if at + 2 >= n and kind == "/":
                 yield Token("text", "</")
                 return
@@ -144,9 +144,10 @@ def tokens(html: str, mode: Mode) -> Iterator[Token]:
                 yield Token("comment", said)
             at = end + 1
         else:
-            name = _NAME.match(html, at + 1 + (kind == "/"))
+            ends = len(m[1]) > 1
+            name = _NAME.match(html, at + 1 + ends)
             rest = _attributes(html, name.end())
             if rest is None:
                 return
             attrs, closed, at = rest
-            yield Token("end", name[0].lower()) if kind == "/" else Token("start", name[0].lower(), attrs, closed)
+            yield Token("end", name[0].lower()) if ends else Token("start", name[0].lower(), attrs, closed)

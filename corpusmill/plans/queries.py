@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.config import ANY_SITE, CrawlOptions, SiteProfile
 from corpusmill.functions import text as T
 from corpusmill.functions import urls as U
+from corpusmill.functions import weburl as W
 from corpusmill.operators import crawl, dedup
 from corpusmill.operators.extract import extract_pages
 from corpusmill.operators.links import link_counts, new_links, page_links
@@ -19,6 +20,9 @@ from corpusmill.sources.corpus import corpus_header, corpus_lines, corpus_text,
 from corpusmill.sources.tables import table
 
 HREFS = ("../x", "./a/../b", "/r/../s?q#f", "../../../z", "c/d/..", "/a/./%2E%2e/b/.", "?q=1", "#f", "//other.example.org/p/../q", "mailto:x@y", "http://h.example/a/../b", "e f")
+FORMS = ("e f", "\\a\\.\\b", " a\tb\n", "HTTP:x", "HTTPS://EX.com:443", "http://u:p@X.example:80/%7e/../q?'", "http://0x7f.1/", "http://[0:0::1]:8080", "//b.example:443", "", "?", "#x y", "\u00e9/\U0001f642?\u00e9", "http://a:99999", "MAILTO:a b", "HTTP:/r", "http://b\u00fccher.example")
+#: A profile of links that have a prefix and stand below a base.
+BELOW = SiteProfile(base_url="https://", path_prefix="/th")
 PREFIX = "/documentation/product"
 BASE = f"https://docs.example.com{PREFIX}"
 SITE = SiteProfile()
@@ -69,6 +73,23 @@ def href_resolve(spark, d):
     return rows.select("page_id", "form", U.resolve_href(F.col("href"), F.col("url")).alias("full"))
 
 
+def url_resolve(spark, d):
+    """What browsers make of references against every page's URL: encodings, backslashes, schemes, ports, addresses, names."""
+    rows = _pages(spark, d).select("page_id", "url", F.posexplode(W.hrefs_of(F.array(*map(F.lit, FORMS)), F.col("url"))).alias("form", "href"))
+    return rows.select("page_id", "form", "href")
+
+
+def links_below(spark, d):
+    """Links by the pattern whose hrefs have a prefix, of pages below a base."""
+    return page_links(_pages(spark, d), BELOW).select("page_id", F.col("pos").cast("long").alias("pos"), "link")
+
+
+def page_live_links_below(spark, d):
+    """The same from the tree, the hrefs being read against the folder that each page names as its base."""
+    pages = _pages(spark, d).withColumn("html", F.replace("html", F.lit("<head>"), F.lit("<head><base href='/b a/se?x'>")))
+    return extract_pages(pages, BELOW, fields=()).select("page_id", F.posexplode("links").alias("pos", "link")).withColumn("pos", F.col("pos").cast("long"))
+
+
 def page_title(spark, d):
     return _pages(spark, d).select("page_id", _title().alias("title"))
 
@@ -357,7 +378,7 @@ def page_markdown(spark, d):
 
 
 ALL = (
-    url_clean, url_filename, url_version, url_canonical, href_resolve, page_title, links_of_pages, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
+    url_clean, url_filename, url_version, url_canonical, href_resolve, url_resolve, page_title, links_of_pages, links_below, page_live_links_below, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
     cache_pages, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_headers, utf16_sizes, content_markdown, sample_pages,
     page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_tree, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
 )
@@ -372,8 +393,14 @@ _FILE = r"""(CASE WHEN regexp_replace(regexp_replace(regexp_replace(regexp_repla
 _CLEAN = "split_part(split_part({0}, '#', 1), '?', 1)"
 _TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
 _HREFS = r"""SELECT page_id, url, generate_subscripts(h, 1) AS k, unnest(h) AS href FROM (SELECT page_id, url, regexp_extract_all(html, '(?i)<a[^>]+href=["'']([^"'']+)["''][^>]*>', 1) AS h FROM pages)"""
+#: A path as URLs have it: what is no visible ASCII is percent-encoded.
+_ENCODED = r"array_to_string(list_transform(string_split(href, ''), lambda c: CASE WHEN regexp_matches(c, '[^\x21-\x7e]') THEN url_encode(c) ELSE c END), '')"
 _LINKS = f"""WITH h AS ({_HREFS}),
-    f AS (SELECT page_id, k, {_CLEAN.format("CASE WHEN starts_with(href, 'http') THEN href ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href END")} AS link FROM h),
+    f AS (SELECT page_id, k, {_CLEAN.format("CASE WHEN starts_with(href, 'http') THEN href ELSE regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || " + _ENCODED + " END")} AS link FROM h),
+    u AS (SELECT page_id, link, min(k) AS k FROM f GROUP BY page_id, link),
+    l AS (SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY k) - 1)::BIGINT AS pos, link FROM u)"""
+_BELOW = f"""WITH h AS ({_HREFS}),
+    f AS (SELECT page_id, k, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || {_ENCODED} AS link FROM h WHERE contains(href, '/th') AND starts_with(url, 'https://')),
     u AS (SELECT page_id, link, min(k) AS k FROM f GROUP BY page_id, link),
     l AS (SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY k) - 1)::BIGINT AS pos, link FROM u)"""
 _SPACE = r"\t\x0B\f\r \x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
@@ -469,8 +496,14 @@ def oracle_sql() -> dict[str, str]:
         "crawl_visited": f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), k(i) AS (SELECT unnest([0, 5, 6])::BIGINT UNION SELECT unnest([2 * i + 1, 2 * i + 2]) FROM k, n WHERE i < n.n AND i <> 2),
             {_NODES.split("FROM k, n WHERE i < n.n),", 1)[1].replace("FROM k, n)", "FROM (SELECT i FROM k UNION SELECT 2) k, n)", 1)} SELECT DISTINCT unnest([url, final]) AS url FROM f""",
         "href_resolve": f"""SELECT page_id, form, CASE form WHEN 0 THEN o || regexp_replace(p, '[^/]*/[^/]*$', '') || 'x' WHEN 1 THEN o || f || 'b' WHEN 2 THEN o || '/s?q#f' WHEN 3 THEN o || '/z' WHEN 4 THEN o || f || 'c/' WHEN 5 THEN o || '/b/'
-            WHEN 6 THEN {_CLEAN.format("url")} || '?q=1' WHEN 7 THEN split_part(url, '#', 1) || '#f' WHEN 8 THEN regexp_extract(url, '^[a-z]+:') || '//other.example.org/q' WHEN 9 THEN 'mailto:x@y' WHEN 10 THEN 'http://h.example/a/../b' ELSE o || f || 'e f' END AS full
+            WHEN 6 THEN {_CLEAN.format("url")} || '?q=1' WHEN 7 THEN split_part(url, '#', 1) || '#f' WHEN 8 THEN regexp_extract(url, '^[a-z]+:') || '//other.example.org/q' WHEN 9 THEN 'mailto:x@y' WHEN 10 THEN 'http://h.example/a/../b' ELSE o || f || 'e%20f' END AS full
             FROM (SELECT page_id, url, unnest(range(12))::INTEGER AS form, {_HOST} AS o, substr({_CLEAN.format("url")}, len({_HOST}) + 1) AS p, regexp_replace(substr({_CLEAN.format("url")}, len({_HOST}) + 1), '[^/]*$', '') AS f FROM pages)""",
+        "url_resolve": f"""SELECT page_id, form, CASE form WHEN 0 THEN o || f || 'e%20f' WHEN 1 THEN o || '/a/b' WHEN 2 THEN o || f || 'ab' WHEN 3 THEN CASE WHEN s THEN 'http://x/' ELSE o || f || 'x' END WHEN 4 THEN 'https://ex.com/' WHEN 5 THEN 'http://u:p@x.example/q?%27' WHEN 6 THEN 'http://127.0.0.1/'
+            WHEN 7 THEN 'http://[::1]:8080/' WHEN 8 THEN CASE WHEN s THEN 'https://b.example/' ELSE 'http://b.example:443/' END WHEN 9 THEN split_part(url, '#', 1) WHEN 10 THEN {_CLEAN.format("url")} || '?' WHEN 11 THEN split_part(url, '#', 1) || '#x%20y'
+            WHEN 12 THEN o || f || '%C3%A9/%F0%9F%99%82?%C3%A9' WHEN 14 THEN 'mailto:a b' WHEN 15 THEN CASE WHEN s THEN 'http://r/' ELSE o || '/r' END WHEN 16 THEN 'http://xn--bcher-kva.example/' END AS href
+            FROM (SELECT page_id, url, starts_with(url, 'https:') AS s, unnest(range(17))::INTEGER AS form, {_HOST} AS o, regexp_replace(substr({_CLEAN.format("url")}, len({_HOST}) + 1), '[^/]*$', '') AS f FROM pages)""",
+        "links_below": f"{_BELOW} SELECT page_id, pos, link FROM l",
+        "page_live_links_below": f"{_BELOW} SELECT page_id, pos, link FROM l",
         "cache_pages": f"SELECT page_id, {_FILE} || '.json' AS filename, complete, {_STILL_FRESH} AS fresh FROM {_RECORDS}",
         "cache_counts": f"SELECT count(*) FILTER ({_STILL_FRESH})::BIGINT AS fresh, count(*) FILTER (NOT {_STILL_FRESH})::BIGINT AS stale FROM {_RECORDS}",
         "cache_resume": f"{_LINKS}, fresh AS (SELECT page_id, url FROM {_RECORDS} WHERE {_STILL_FRESH}) SELECT DISTINCT link AS url FROM l WHERE page_id IN (SELECT page_id FROM fresh) AND link NOT IN (SELECT url FROM fresh)",

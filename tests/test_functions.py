@@ -41,9 +41,8 @@ def test_links(spark):
 
 def test_hrefs(spark):
     base = "https://h.example/a/b?x#y"
-    cases = {"c": "https://h.example/a/c", "/c": "https://h.example/c", "//o/c": "https://o/c", "#z": "https://h.example/a/b?x#z", "?q": "https://h.example/a/b?q", "http://o": "http://o", "mailto:x": "mailto:x"}
+    cases = {"c": "https://h.example/a/c", "/c": "https://h.example/c", "//o/c": "https://o/c", "#z": "https://h.example/a/b?x#z", "?q": "https://h.example/a/b?q", "http://o": "http://o", "HTTP://o": "http://o/", "mailto:x": "mailto:x"}
     assert column(spark, list(cases), lambda h: U.resolve_href(h, F.lit(base))) == list(cases.values())
-    assert column(spark, ["../c", "c", None], lambda h: U.resolve_href_general(h, F.lit(base))) == ["https://h.example/c", "https://h.example/a/c", None]
     assert column(spark, ["/c"], lambda h: U.resolve_href(h, F.lit("no base"))) == [None]
 
 
@@ -106,8 +105,6 @@ def test_long_runs_of_space_cost_their_length_once(spark):
 
 def test_dot_segments(spark):
     base = "https://h.example/a/b/c?q#f"
-    cases = {"../x": "/a/x", "./x": "/a/b/x", "../../../x": "/x", "..": "/a/", ".": "/a/b/", "/p/./q/../r": "/p/r", "/p/..": "/", "x/%2e%2E/y": "/a/b/y", "x.y/..z": "/a/b/x.y/..z", "/a//b/../c": "/a//c", "x?../y": "/a/b/x?../y", "": "/a/b/"}
+    cases = {"../x": "/a/x", "./x": "/a/b/x", "../../../x": "/x", "..": "/a/", ".": "/a/b/", "/p/./q/../r": "/p/r", "/p/..": "/", "x/%2e%2E/y": "/a/b/y", "x.y/..z": "/a/b/x.y/..z", "/a//b/../c": "/a//c", "x?../y": "/a/b/x?../y", "": "/a/b/c?q"}
     assert column(spark, list(cases), lambda h: U.resolve_href(h, F.lit(base))) == ["https://h.example" + v for v in cases.values()]
     assert column(spark, ["x", "../x", "/"], lambda h: U.resolve_href(h, F.lit("https://h.example"))) == ["https://h.example/x", "https://h.example/x", "https://h.example/"]
-    for href in [k for k in cases if k and "%" not in k]:
-        assert column(spark, [href], lambda h: U.resolve_href(h, F.lit(base))) == column(spark, [href], lambda h: U.resolve_href_general(h, F.lit(base))), href

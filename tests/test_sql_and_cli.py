@@ -1,17 +1,28 @@
 from corpusmill.__main__ import main
 from corpusmill.config import SiteProfile
-from corpusmill.functions.sql import register_functions
+from corpusmill.functions.sql import register_functions, register_links
 
 SITE = SiteProfile()
 B = SITE.base_url
 
 
 def test_sql_functions(spark):
-    assert "extract_links" in register_functions(spark, SITE)
+    register_functions(spark, SITE)
     row = spark.sql(f"SELECT clean_url('{B}/a?b#c') a, extract_version('{B}/12/a') b, canonical_url('{B}/12/13/a') c, normalize_markdown('\\n x  \\n\\n\\n\\ny\\t ') d, js_trim('\\u00a0 x\\n') e").first()
     assert tuple(row) == (f"{B}/a", "12", f"{B}/13/a", "x\n\ny", "x")
-    got = spark.sql("SELECT l.pos, l.link FROM VALUES ('<a href=\"/x#1\"><a href=\"/x\"><a class=c href=\"../y\">', 'http://h/a/b') t(html, base), LATERAL extract_links(html, base) l")
-    assert sorted(map(tuple, got.collect())) == [(0, "http://h/x"), (1, "http://h/y")]
+
+
+def test_sql_functions_of_a_prefix_with_quotes_and_marks(spark):
+    odd = SiteProfile(base_url="https://h.example/it's\\(a$1)", path_prefix="/it's\\(a$1)")
+    register_functions(spark, odd)
+    row = spark.createDataFrame([(f"{odd.base_url}/12/a",)], "u string").selectExpr("extract_version(u)", "canonical_url(u)").first()
+    assert tuple(row) == ("12", f"{odd.base_url}/a")
+
+
+def test_links_view(spark):
+    html = f"<a href='{SITE.path_prefix}/x#1'><a href='{SITE.path_prefix}/x'><a class=c href='../y'><a href='/other/y'><a href='HTTPS:{SITE.path_prefix}/e f'>"
+    register_links(spark, spark.createDataFrame([(1, f"{B}/a/b", html)], "page_id int, url string, html string"), SITE)
+    assert [tuple(r) for r in spark.sql("SELECT pos, link FROM page_links ORDER BY pos").collect()] == [(0, f"{B}/x"), (1, f"{B}/e%20f")]
 
 
 def test_command(spark, tmp_path, capsys):
