@@ -17,7 +17,7 @@ from corpusmill.operators.links import link_counts, new_links, page_links
 from corpusmill.plans import runs
 from corpusmill.sources import progress
 from corpusmill.sources.corpus import corpus_header, corpus_lines, corpus_text, summary
-from corpusmill.sources.tables import table
+from corpusmill.sources.tables import new_path, table
 
 HREFS = ("../x", "./a/../b", "/r/../s?q#f", "../../../z", "c/d/..", "/a/./%2E%2e/b/.", "?q=1", "#f", "//other.example.org/p/../q", "mailto:x@y", "http://h.example/a/../b", "e f")
 FORMS = ("e f", "\\a\\.\\b", " a\tb\n", "HTTP:x", "HTTPS://EX.com:443", "http://u:p@X.example:80/%7e/../q?'", "http://0x7f.1/", "http://[0:0::1]:8080", "//b.example:443", "", "?", "#x y", "\u00e9/\U0001f642?\u00e9", "http://a:99999", "MAILTO:a b", "HTTP:/r", "http://b\u00fccher.example")
@@ -230,6 +230,22 @@ def cache_pages(spark, d):
     return progress.judged(_records(spark, d), _options()).select("page_id", "filename", "complete", "fresh")
 
 
+def cache_folder(spark, d):
+    """The records as a folder of files, written by the executors and read again: of each name the last write."""
+    path = new_path(spark, "cache")
+    progress.save_records(dedup.last_write(_records(spark, d).withColumn("text", F.lit("")), F.col("filename"), "page_id"), f"{path}/progress")
+    found = progress.read_pages(spark, _options(output_dir=path))
+    return found.select("filename", "url", "title", "crawledAt", F.md5("html").alias("html_md5"), "md", "complete", "fresh")
+
+
+def cache_redirect_folder(spark, d):
+    """Redirects as a folder of files, one a name, and those that are valid when it is read."""
+    path = new_path(spark, "redirects")
+    leads = _pages(spark, d).where("page_id % 3 = 1").select(F.col("url").alias("source"), F.concat("url", F.lit('/"to"')).alias("target"))
+    progress.save_redirects(leads, ANY_SITE, _options(output_dir=path))
+    return progress.read_redirects(spark, _options(output_dir=path)).select("source", "target")
+
+
 def cache_counts(spark, d):
     return progress.cache_summary(progress.judged(_records(spark, d), _options()))
 
@@ -379,7 +395,7 @@ def page_markdown(spark, d):
 
 ALL = (
     url_clean, url_filename, url_version, url_canonical, href_resolve, url_resolve, page_title, links_of_pages, links_below, page_live_links_below, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
-    cache_pages, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_headers, utf16_sizes, content_markdown, sample_pages,
+    cache_pages, cache_folder, cache_redirect_folder, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_headers, utf16_sizes, content_markdown, sample_pages,
     page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_tree, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
 )
 
@@ -505,6 +521,9 @@ def oracle_sql() -> dict[str, str]:
         "links_below": f"{_BELOW} SELECT page_id, pos, link FROM l",
         "page_live_links_below": f"{_BELOW} SELECT page_id, pos, link FROM l",
         "cache_pages": f"SELECT page_id, {_FILE} || '.json' AS filename, complete, {_STILL_FRESH} AS fresh FROM {_RECORDS}",
+        "cache_folder": f"""SELECT {_FILE} || '.json' AS filename, url, {_TITLE} AS title, CASE WHEN page_id % 17 = 3 THEN NULL WHEN page_id % 19 = 4 THEN 'no time' ELSE {_ISO.format('made')} END AS crawledAt, CASE WHEN page_id % 23 <> 5 THEN md5(html) END AS html_md5,
+            CASE WHEN page_id % 7 <> 2 THEN '# ' || {_TITLE} END AS md, complete, {_STILL_FRESH} AS fresh FROM {_RECORDS} QUALIFY row_number() OVER (PARTITION BY {_FILE} ORDER BY page_id DESC) = 1""",
+        "cache_redirect_folder": f"""SELECT max(url) AS source, max(url) || '/"to"' AS target FROM (SELECT *, {_FILE} AS file FROM pages WHERE page_id % 3 = 1) GROUP BY file""",
         "cache_counts": f"SELECT count(*) FILTER ({_STILL_FRESH})::BIGINT AS fresh, count(*) FILTER (NOT {_STILL_FRESH})::BIGINT AS stale FROM {_RECORDS}",
         "cache_resume": f"{_LINKS}, fresh AS (SELECT page_id, url FROM {_RECORDS} WHERE {_STILL_FRESH}) SELECT DISTINCT link AS url FROM l WHERE page_id IN (SELECT page_id FROM fresh) AND link NOT IN (SELECT url FROM fresh)",
         "cache_redirects": f"SELECT url AS source, url || '/to' AS target, {_ISO.format('made')} AS cached_at FROM {_RECORDS} WHERE page_id % 29 <> 7 AND NOT coalesce(epoch_us(TIMESTAMP '2024-01-15') - epoch_us(made) >= {TTL * 1_000_000}, false)",

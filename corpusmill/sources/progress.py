@@ -6,9 +6,6 @@ explicit schema; what can't be parsed counts as stale, or as no redirect, and st
 
 from __future__ import annotations
 
-import datetime as dt
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +13,7 @@ from corpusmill.config import CrawlOptions, SiteProfile
 from corpusmill.functions.text import iso_time, page_is_fresh, redirect_is_fresh
 from corpusmill.functions.urls import extract_links, redirect_filename, url_to_filename
 from corpusmill.operators.dedup import last_write
+from corpusmill.sources import folder as folder_source
 
 PAGE = "url string, title string, heading string, breadcrumb array<string>, text string, crawledAt string"
 REDIRECT = "source string, target string, cachedAt string"
@@ -26,13 +24,14 @@ def parsed_time(text: Column) -> Column:
     return F.coalesce(F.try_to_timestamp(text), F.when(F.regexp_like(text, F.lit(r"^-?\d+$")), F.timestamp_millis(text.cast("long"))))
 
 
-def _files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    """filename and value of each file; an absent or empty folder gives no rows."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, glob))
-    if not found:
-        return spark.createDataFrame([], "filename string, value string")
-    return spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("filename"), "value")
+#: Names in the folder that are no page.
+NO_PAGES = ".redirect.json,_summary.json"
+
+
+def _stems(spark: SparkSession, folder: str, kinds: str, **more: str) -> DataFrame:
+    """stem and the files of kinds of every record; an absent or empty folder gives no rows."""
+    folder_source.register(spark)
+    return spark.read.format("stems").option("kinds", kinds).options(**more).load(folder)
 
 
 def valid_redirects(rows: DataFrame, options: CrawlOptions) -> DataFrame:
@@ -43,7 +42,7 @@ def valid_redirects(rows: DataFrame, options: CrawlOptions) -> DataFrame:
 
 def read_redirects(spark: SparkSession, options: CrawlOptions) -> DataFrame:
     """source, target, cachedAt of the redirects that are still valid."""
-    return valid_redirects(_files(spark, options.progress_dir, "*.redirect.json").select(F.from_json("value", REDIRECT).alias("r")).select("r.*"), options)
+    return valid_redirects(_stems(spark, options.progress_dir, "redirect_json").select(F.from_json("redirect_json", REDIRECT).alias("r")).select("r.*"), options)
 
 
 def lookup_redirect(spark: SparkSession, url: str, profile: SiteProfile, options: CrawlOptions) -> str | None:
@@ -51,28 +50,41 @@ def lookup_redirect(spark: SparkSession, url: str, profile: SiteProfile, options
     name = spark.range(1).select(redirect_filename(F.lit(url), profile.path_prefix)).first()[0]
     if name is None:
         return None
-    row = _files(spark, options.progress_dir, name).select(F.from_json("value", REDIRECT).alias("r")).select("r.*").first()
+    found = _stems(spark, options.progress_dir, "redirect_json").where(F.col("stem") == name.removesuffix(".redirect.json"))
+    row = found.select(F.from_json("redirect_json", REDIRECT).alias("r")).select("r.*").first()
     if row is None or row.target is None:
         return None
     fresh = spark.createDataFrame([row], REDIRECT).where(redirect_is_fresh(parsed_time(F.col("cachedAt")), F.lit(options.now), options.stale_seconds))
     return None if fresh.isEmpty() else row.target
 
 
-def _put(spark: SparkSession, folder: str, name: str, text: str) -> None:
-    """One file, in whatever store the folder is: the driver writes it through Spark's file systems."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder, name)
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
+def _pretty(**fields: Column) -> Column:
+    """A JSON object of strings and lists of strings, two spaces deep, as a crawl writes its records."""
+    text = lambda c: F.when(c.isNull(), "null").otherwise(F.regexp_extract(F.to_json(F.struct(c.alias("x"))), r'(?s)^\{"x":(.*)\}\z', 1))
+
+    def shown(name: str) -> Column:
+        c = fields[name]
+        if name != "breadcrumb":
+            return F.concat(F.lit(f'  "{name}": '), text(c))
+        items = F.array_join(F.transform(c, lambda x: F.concat(F.lit("    "), text(x))), ",\n")
+        return F.concat(F.lit(f'  "{name}": '), F.when(F.coalesce(F.size(c), F.lit(0)) <= 0, "[]").otherwise(F.concat(F.lit("[\n"), items, F.lit("\n  ]"))))
+
+    return F.concat(F.lit("{\n"), F.concat_ws(",\n", *map(shown, fields)), F.lit("\n}"))
 
 
-def save_redirect(spark: SparkSession, source: str, target: str, profile: SiteProfile, options: CrawlOptions) -> str:
-    name = spark.range(1).select(redirect_filename(F.lit(source), profile.path_prefix)).first()[0]
-    at = options.now.astimezone(dt.timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.") + f"{options.now.microsecond // 1000:03d}Z"
-    _put(spark, options.progress_dir, name, json.dumps({"source": source, "target": target, "cachedAt": at}, indent=2, ensure_ascii=False))
-    return name
+def save_redirects(redirects: DataFrame, profile: SiteProfile, options: CrawlOptions) -> None:
+    """A file for each source (source, target) that has a name; the executors write. Of repeated names one stays."""
+    folder_source.register(redirects.sparkSession)
+    rows = last_write(redirects.withColumn("name", redirect_filename(F.col("source"), profile.path_prefix)).where("name is not null"), F.col("name"), "target")
+    made = _pretty(source=F.col("source"), target=F.col("target"), cachedAt=iso_time(F.lit(options.now).cast("timestamp")))
+    rows.select(F.regexp_replace("name", r"\.redirect\.json\z", "").alias("stem"), made.alias("redirect_json")).write.format("stems").option("kinds", "redirect_json").mode("append").save(options.progress_dir)
+
+
+def save_redirect(spark: SparkSession, source: str, target: str, profile: SiteProfile, options: CrawlOptions) -> str | None:
+    """The same for one source: the name of its file."""
+    row = spark.createDataFrame([(source, target)], "source string, target string")
+    save_redirects(row, profile, options)
+    return row.select(redirect_filename(F.col("source"), profile.path_prefix)).first()[0]
 
 
 def page_records(pages: DataFrame, profile: SiteProfile, now: Column, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -91,14 +103,18 @@ def save_table(pages: DataFrame, profile: SiteProfile, options: CrawlOptions, pa
     chosen_records(pages, profile, options, ord_).write.mode("overwrite").parquet(path)
 
 
+def save_records(records: DataFrame, folder: str) -> None:
+    """Records (filename and the JSON fields, html, md) as files of their own, three a page, null for a file that is not there. The executors write."""
+    folder_source.register(records.sparkSession)
+    made = _pretty(**{k: F.col(k) for k in ("url", "title", "heading", "breadcrumb", "text", "crawledAt")})
+    rows = records.select(F.regexp_replace("filename", r"\.json\z", "").alias("stem"), made.alias("json"), "html", "md")
+    rows.write.format("stems").mode("append").save(folder)
+
+
 def save_pages(pages: DataFrame, profile: SiteProfile, options: CrawlOptions, ord_: str = "ord") -> None:
-    """The three files of each page, in any store. The driver writes them, a page at a time; save_table() is the form for large crawls."""
-    spark = pages.sparkSession
-    for r in chosen_records(pages, profile, options, ord_).toLocalIterator():
-        data = {k: r[k] for k in ("url", "title", "heading", "breadcrumb", "text", "crawledAt")}
-        stem = r["filename"].removesuffix(".json")
-        for name, text in ((r["filename"], json.dumps(data, indent=2, ensure_ascii=False)), (f"{stem}.html", r["html"] or ""), (f"{stem}.md", r["md"] or "")):
-            _put(spark, options.progress_dir, name, text)
+    """The three files of each page; the last write of a name stays."""
+    chosen = chosen_records(pages, profile, options, ord_)
+    save_records(chosen.withColumns({c: F.coalesce(c, F.lit("")) for c in ("html", "md")}), options.progress_dir)
 
 
 def judged(records: DataFrame, options: CrawlOptions) -> DataFrame:
@@ -108,12 +124,11 @@ def judged(records: DataFrame, options: CrawlOptions) -> DataFrame:
     return records.withColumn("complete", complete).withColumn("fresh", young & complete)
 
 
-def read_pages(spark: SparkSession, options: CrawlOptions) -> DataFrame:
-    """filename, the JSON fields, html, md, complete and fresh of every page record of the folder."""
-    records = _files(spark, options.progress_dir, "*.json").where("filename not like '%.redirect.json' and filename <> '_summary.json'")
-    records = records.select(F.regexp_replace("filename", r"\.json\z", "").alias("stem"), "filename", F.from_json("value", PAGE).alias("r")).select("stem", "filename", "r.*")
-    side = lambda ext: _files(spark, options.progress_dir, f"*.{ext}").select(F.regexp_replace("filename", rf"\.{ext}\z", "").alias("stem"), F.col("value").alias(ext))
-    return judged(records.join(side("html"), "stem", "left").join(side("md"), "stem", "left"), options)
+def read_pages(spark: SparkSession, options: CrawlOptions, bodies: bool = True) -> DataFrame:
+    """filename, the JSON fields, html, md, complete and fresh of every page record of the folder; without bodies html and md only say whether they are there."""
+    found = _stems(spark, options.progress_dir, "json,html,md", without=NO_PAGES, bodies=str(bodies).lower())
+    records = found.select(F.concat("stem", F.lit(".json")).alias("filename"), F.from_json("json", PAGE).alias("r"), "html", "md")
+    return judged(records.select("filename", "r.*", "html", "md"), options)
 
 
 def cache_summary(pages: DataFrame) -> DataFrame:

@@ -25,9 +25,14 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _LOCAL["dir"]
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path below the shared folder that is not there yet."""
+    return f"{shared_dir(spark)}/corpusmill/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a written table: no lineage, and safe from lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/corpusmill/{name}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
