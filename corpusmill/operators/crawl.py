@@ -7,7 +7,7 @@ from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions.urls import canonical_url
@@ -15,6 +15,21 @@ from corpusmill.operators.dedup import dedup_versions
 from corpusmill.sources.tables import written
 
 
+#: Places that keys are hashed to where a round asks a table that holds all rounds.
+PLACES = 1 << 20
+
+
+def asked_for(rows: DataFrame, key: Column, *asked: DataFrame) -> DataFrame:
+    """The rows whose key is among asked (one column each), and few others: no more is needed to look asked keys up.
+
+    Only the places that asked keys are hashed to are broadcast, PLACES at most whatever is
+    asked, so a large table is read but not shuffled: what a round moves follows what it asks.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(PLACES)).cast("int")
+    places = _union([a.toDF("__key") for a in asked]).where("__key is not null").select(place(F.col("__key")).alias("__place")).distinct()
+    return rows.withColumn("__place", place(key)).join(F.broadcast(places), "__place", "left_semi").drop("__place")
+
+
 def resolve_redirects(urls: DataFrame, redirects: DataFrame) -> DataFrame:
     """urls with target: where a redirect leads, by one step; null without one. The last record of a source counts."""
     last = redirects.groupBy("source").agg(F.max_by("target", F.struct("cachedAt", "target")).alias("target"))
@@ -46,20 +61,16 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None)
     last, depth, rounds = found, 0, [found]
     while max_depth is None or depth < max_depth:
         depth += 1
-        step = edges.join(last.select(F.col("url").alias("src")), "src").select(F.col("dst").alias("url")).where("url is not null").distinct()
-        seen = rounds[0]
-        for r in rounds[1:]:
-            seen = seen.union(r)
-        last = written(step.join(seen, "url", "left_anti").withColumn("depth", F.lit(depth)), "reached")
+        here = last.select(F.col("url").alias("src"))
+        step = written(asked_for(edges, F.col("src"), here).join(here, "src").select(F.col("dst").alias("url")).where("url is not null").distinct(), "step")
+        seen = _union(rounds)
+        last = written(step.join(asked_for(seen, F.col("url"), step), "url", "left_anti").withColumn("depth", F.lit(depth)), "reached")
         if last.isEmpty():
             break
         rounds.append(last)
         if len(rounds) > 16:
             rounds = [written(seen.union(last), "reached")]
-    out = rounds[0]
-    for r in rounds[1:]:
-        out = out.union(r)
-    return out
+    return _union(rounds)
 
 
 def reachable_within(edges: DataFrame, seeds: DataFrame, max_pages: int | None, cached: DataFrame | None = None) -> DataFrame:
@@ -89,7 +100,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: str, leads: DataFrame, known: DataFrame, cached: DataFrame, max_pages: int | None = None) -> Rounds:
-    """A crawl by breadth, round by round, each a few joins and written tables.
+    """A crawl by breadth, round by round, each a few joins and written tables. What a round
+    shuffles follows its links: of the tables of all pages and all rounds it takes what it asks for.
 
     links: src, dst, pos of the pages that are there (url). leads: source, target of what a
     fetch is led to. known: source, target, cachedAt of redirects known before. seeds: url,
@@ -108,10 +120,14 @@ def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: s
     tried: list[DataFrame] = []
     room, round_ = max_pages, 0
     while room is None or room > 0:
-        seen, led = _union(visited), _union(memo).select("source", "target", F.struct("round", "cachedAt").alias("cachedAt"))
-        new = frontier(queue, seen, led, prefix)
         canonical = canonical_url(F.col("url"), prefix)
-        new = new.withColumn("canonical", canonical).join(answers.withColumnRenamed("url", "canonical").withColumn("answers", F.lit(True)), "canonical", "left")
+        urls, plain = queue.select("url"), queue.select(canonical.alias("url"))
+        led = written(asked_for(_union(memo), F.col("source"), urls, plain).select("source", "target", F.struct("round", "cachedAt").alias("cachedAt")), "led")
+        every = _union(visited).select("url")
+        seen = written(asked_for(every, F.col("url"), urls, plain, led.select("target")).union(asked_for(every, canonical, plain)).distinct(), "seen")
+        new = frontier(queue, seen, led, prefix)
+        can = asked_for(answers, F.col("url"), plain)
+        new = new.withColumn("canonical", canonical).join(can.withColumnRenamed("url", "canonical").withColumn("answers", F.lit(True)), "canonical", "left")
         new = new.groupBy(F.when(F.col("answers"), F.col("canonical")).otherwise(F.col("url")).alias("url")).agg(F.min("ord").alias("ord"))
         # the page that a version gives way to may be visited itself, or led to what is
         new = new.join(seen.select("url"), "url", "left_anti")
@@ -121,8 +137,10 @@ def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: s
         n = goes.count()
         if not n:
             break
-        led_to = goes.join(leads.withColumnRenamed("source", "url"), "url", "left").select("url", "number", F.coalesce("target", "url").alias("final"))
-        got = led_to.join(found.select(F.col("url").alias("final"), F.lit(True).alias("ok")), "final", "left").join(seen.select(F.col("url").alias("final"), F.lit(True).alias("old")).distinct(), "final", "left")
+        led_to = written(goes.join(asked_for(leads, F.col("source"), goes.select("url")).withColumnRenamed("source", "url"), "url", "left").select("url", "number", F.coalesce("target", "url").alias("final")), "led_to")
+        finals = led_to.select("final")
+        there_now, old = (asked_for(x, F.col("url"), finals).select(F.col("url").alias("final")).distinct() for x in (found, every))
+        got = led_to.join(there_now.withColumn("ok", F.lit(True)), "final", "left").join(old.withColumn("old", F.lit(True)), "final", "left")
         first = written(got.where("ok").groupBy("final").agg(F.min(F.struct((F.col("final") != F.col("url")).alias("led"), "number")).alias("first")), "first")
         got = got.join(first, "final", "left").select("url", "final", F.coalesce("ok", F.lit(False)).alias("ok"), "number", (F.col("ok") & F.col("old").isNull() & (F.col("first.number") == F.col("number"))).alias("saved"))
         got = written(got.withColumns({"saved": F.coalesce("saved", F.lit(False)), "round": F.lit(round_)}), "tried")
@@ -131,7 +149,8 @@ def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: s
         also = got.where("ok and final <> url").join(got.select(F.col("url").alias("final")), "final", "left_anti").groupBy("final").agg(F.min("number").alias("number")).select(F.col("final").alias("url"), F.lit(round_).alias("round"), "number", F.lit(1).alias("step"))
         visited.append(written(own.unionByName(also), "visited"))
         memo.append(written(got.where("ok and final <> url").select(F.col("url").alias("source"), F.col("final").alias("target"), F.lit("").alias("cachedAt"), "round"), "memo"))
-        queue = written(got.where("saved").select(F.col("final").alias("src"), "number").join(links, "src").where("dst is not null").groupBy(F.col("dst").alias("url")).agg(F.min(F.struct("number", F.col("pos").cast("long").alias("pos"))).alias("ord")), "queue")
+        sources = got.where("saved").select(F.col("final").alias("src"), "number")
+        queue = written(sources.join(asked_for(links, F.col("src"), sources.select("src")), "src").where("dst is not null").groupBy(F.col("dst").alias("url")).agg(F.min(F.struct("number", F.col("pos").cast("long").alias("pos"))).alias("ord")), "queue")
         room, round_ = None if room is None else room - n, round_ + 1
         if round_ % 16 == 0:
             visited, memo = [written(_union(visited), "visited")], [written(_union(memo), "memo")]

@@ -7,7 +7,7 @@ import threading
 from pyspark.sql import functions as F
 
 from corpusmill.config import CrawlOptions, SiteProfile
-from corpusmill.operators.crawl import Crawl, Site, crawl_rounds, reachable, reachable_within
+from corpusmill.operators.crawl import Crawl, Site, asked_for, crawl_rounds, reachable, reachable_within
 from corpusmill.operators.dedup import dedup_versions
 from corpusmill.plans.runs import crawl_snapshot, regenerate, sample
 from corpusmill.sources import progress
@@ -180,3 +180,14 @@ def test_rounds_against_a_plain_crawl(spark):
         done = crawl_rounds(edges, spark.createDataFrame([(u,) for u in there], "url string"), spark.createDataFrame([(B + "/p0", 0)], "url string, ord long"), P, spark.createDataFrame(list(leads.items()) or [("", "")], "source string, target string"), spark.createDataFrame([], "source string, target string, cachedAt string"), spark.createDataFrame([], "url string"), limit)
         assert [(r.url, r.final, r.ok, r.saved) for r in done.tried.orderBy("round", "number").collect()] == tried
         assert {r.url for r in done.visited.collect()} == set(visited)
+
+
+def test_a_round_takes_what_it_asks_for(spark):
+    """Of a large table little more than the asked keys' rows go on, and all of those."""
+    table = spark.range(200_000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"))
+    asked = spark.createDataFrame([(f"u{k}",) for k in range(0, 1000, 10)] + [("none",), (None,)], "k string")
+    got = asked_for(table, F.col("url"), asked, asked.limit(0))
+    assert got.join(asked.withColumnRenamed("k", "url"), "url", "left_semi").count() == 100 and got.count() < 200
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert asked_for(table, F.col("url"), asked.limit(0)).count() == 0
