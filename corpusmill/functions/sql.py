@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusmill.config import SiteProfile
-from corpusmill.functions.text import LINE_END, TRIM
+from corpusmill.functions.text import SPACE
 from corpusmill.operators.links import page_links
 
 
@@ -23,8 +23,8 @@ def register_functions(spark: SparkSession, profile: SiteProfile) -> list[str]:
         "clean_url": "substring_index(substring_index(u, '#', 1), '?', 1)",
         "extract_version": f"nullif(regexp_extract(u, {lit(quoted + '/([0-9]+)/')}, 1), '')",
         "canonical_url": f"regexp_replace(u, {lit('(?s)^(.*?)' + quoted + '/[0-9]+/')}, {lit('$1' + re.sub(r'([\\$])', r'\\\1', profile.path_prefix) + '/')})",
-        "normalize_markdown": f"regexp_replace(regexp_replace(regexp_replace(u, {lit(LINE_END)}, ''), {lit('\\n{3,}')}, '\\n\\n'), {lit(TRIM)}, '')",
-        "js_trim": f"regexp_replace(u, {lit(TRIM)}, '')",
+        "normalize_markdown": f"trim({lit(SPACE + '\n')} FROM regexp_replace(array_join(transform(split(u, '\\n'), x -> rtrim({lit(SPACE)}, x)), '\\n'), {lit('\n{3,}')}, '\\n\\n'))",
+        "js_trim": f"trim({lit(SPACE + '\n')} FROM u)",
     }
     for name, body in made.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(u STRING) RETURNS STRING RETURN {body}")

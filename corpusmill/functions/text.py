@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The white space of the web, without and with the line feed.
-SPACE = r"\t\x0B\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
-SPACE_LF = SPACE + r"\n"
-#: A run of space is tried at its first character alone and never given back, so that a long run costs its length once.
-LINE_END = f"(?<![{SPACE}])[{SPACE}]++(?=\\n|\\z)"
-TRIM = f"\\A[{SPACE_LF}]++|(?<![{SPACE_LF}])[{SPACE_LF}]++\\z"
+#: The white space of the web, without the line feed.
+SPACE = "\t\x0b\f\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 
 def js_trim(text: Column) -> Column:
-    return F.regexp_replace(text, TRIM, "")
+    return F.trim(text, F.lit(SPACE + "\n"))
 
 
 def trim_line_ends(text: Column) -> Column:
-    return F.regexp_replace(text, LINE_END, "")
+    """Each line without space at its end: lines are cut and joined, as a pattern would be tried at every character."""
+    return F.array_join(F.transform(F.split(text, "\n"), lambda line: F.rtrim(line, F.lit(SPACE))), "\n")
 
 
 def normalize_whitespace(markdown: Column) -> Column:
