@@ -21,8 +21,9 @@ work is linear in the markup, however deep or unclosed it is. Markup that is cut
 is no text, an end tag without its start is ignored.
 
 Defined results: a null or empty page gives an empty text; a page without a block called
-content too; a null page_id or url is passed on; repeated rows each give a row; other
-columns are not read.
+content too; a null page_id or url is passed on; repeated rows each give a row; an empty
+table gives no rows; of several cuts of least capacity the one with the fewest blocks of
+content counts, save what the settling of blocks has fixed; other columns are not read.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ import re
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -52,26 +54,29 @@ ATTRS_READ = frozenset("class id role aria-label itemprop hidden aria-hidden sty
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is raw up to their end tag, and those whose text is no text of the page.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript".split())
-UNSEEN = frozenset("script style textarea title xmp iframe noembed noframes noscript template select button option datalist label legend svg object head annotation annotation-xml".split())
+UNSEEN = frozenset("script style textarea title xmp iframe noembed noframes noscript template select option datalist label legend svg object head annotation annotation-xml".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mspace mpadded mphantom semantics annotation annotation-xml".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mspace mpadded mphantom semantics annotation annotation-xml button select option datalist output meter progress svg object".split()
 )
 #: A start tag of these ends an open p; and what else an element ends when it starts.
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li dd dt".split())
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "tbody": ("tr", "td", "th", "thead", "tbody"), "body": ("head",)}
 SCOPES = frozenset("table ul ol dl article section div body html nav aside main".split())
 
-#: Words in class, id, role or label of an element that speak for boilerplate or content.
-BOILER = re.compile(
-    r"(?<![a-z])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banner|nav(?:bar|igation)?|menus?|breadcrumbs?|sidebar|side-?bar|aside|widgets?|footer|foot|header|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|alerts?|disclaimer|popup|modal|overlay|newsletter|subscribe|subscription|signup|sign-?up|login|share|sharing|social|related|recommend(?:ed|ations?)?|trending|popular|comments?|comment-?list|replies|reply|disqus|respond|reviews?|feedback|rating|pagination|pager|tags?|tag-?cloud|copyright|legal|skip|search|form|hidden|sr-only|cta|teaser|more-?stories|complementary|contentinfo|dialog)(?![a-z])"
+#: Words that speak for boilerplate or content in a class, id, role or label. A name of several words speaks only if
+#: each of them does, or is one of PLACES: market-share and legal-history say nothing, post-share and site-footer do.
+BOILER = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promos promotion banner nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside widget widgets footer foot header masthead topbar toolbar cookie cookies consent gdpr notice notices alert alerts disclaimer popup modal overlay newsletter subscribe subscription signup login share sharing social related recommend recommended recommendation recommendations trending popular comment comments replies reply disqus respond feedback rating pagination pager tag tags tagcloud copyright legal skip search form hidden cta teaser teasers complementary contentinfo dialog".split()
 )
-CONTENT = re.compile(r"(?<![a-z])(?:article|content|main|post|entry|story|body|text|prose|articlebody|article-?body|post-?body)(?![a-z])")
+CONTENT = frozenset("article content main post entry story body text prose articlebody".split())
+PLACES = frozenset("a area bar block blocks bottom box btn button buttons cloud col column container first fixed global group head in inner item items js large last left line link links list main more outer page panel primary right row secondary section side site small sticky the top widget wrap wrapper zone articles news posts stories".split())
+_PAIRS = (("side-bar", "sidebar"), ("sign-up", "signup"), ("sign-in", "login"), ("sr-only", "hidden"), ("tag-cloud", "tagcloud"), ("article-body", "articlebody"), ("post-body", "articlebody"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 #: What the classifier reads of a block, and its weights, in favour of content: as html_training.fit() gives them.
-FEATURES = ("bias", "linked", "article", "main", "boiler_tag", "boiler_name", "content_name", "paragraph", "heading", "long", "sentence")
-WEIGHTS = (-0.37, -8.81, 4.98, 6.0, -24.49, -25.69, 7.28, 2.88, 2.21, -0.2, -0.34)
+FEATURES = ("bias", "linked", "article", "main", "boiler_tag", "boiler_name", "content_name", "paragraph", "heading", "long", "sentence", "linked_core", "bare", "outside")
+WEIGHTS = (-1.06, -4.08, 1.62, 2.48, -10.44, -7.79, 4.62, 2.21, 2.93, 0.06, 0.03, 3.68, 5.25, -4.97)
 #: Share of a page's text from which its largest article, or an element around it, is the page's core.
 ARTICLE_SHARE, WRAPPER_SHARE = 1 / 3, 1 / 2
 LONG_CHARS = 80
@@ -84,6 +89,20 @@ SCALE = 2.0
 LAYOUT = frozenset("article main nav header footer".split())
 
 
+@lru_cache(10_000)
+def spoken(name: str, in_article: bool) -> str:
+    """What a name speaks for, by all its words: boiler, content, or nothing. Within an article a header is the place of its title."""
+    text = re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()
+    words = "-".join(re.findall("[a-z]+", text))
+    for pair, one in _PAIRS:
+        words = words.replace(pair, one)
+    found = [w for w in words.split("-") if not (in_article and w in ("header", "head"))]
+    boiler = [w for w in found if w in BOILER]
+    if boiler and all(w in BOILER or w in PLACES or w in CONTENT for w in found):
+        return "boiler"
+    return "content" if not boiler and any(w in CONTENT for w in found) and all(w in CONTENT or w in PLACES for w in found) else ""
+
+
 class Element:
     __slots__ = ("tag", "parent", "section", "article", "main", "boiler_tag", "content_name", "unseen", "core", "named_boiler", "mark", "boiler", "size", "block", "inline", "scope", "open", "form", "layout")
 
@@ -105,16 +124,18 @@ class Element:
         self.scope = p.scope if p and tag not in SCOPES else self
         self.inline, self.open = {}, {}
         self.form, self.layout = self if tag == "form" else p.form if p else None, False
-        if tag in LAYOUT and p:
+        had_name = self.content_name
+        if attrs and tag not in ("html", "body", "meta", "link"):
+            self.named(attrs)
+        # what a form has only if it is a wrapper of the page
+        if p and p.form and (tag in LAYOUT or self.core or self.content_name and not had_name and not p.form.article and not p.form.main):
             f = p.form
             while f and not f.layout:
                 f.layout = True
                 f = f.parent.form if f.parent else None
-        if attrs and tag not in ("html", "body", "meta", "link"):
-            self.named(attrs)
         # the nearest element, this one or around it, that is a core or has a boilerplate name
         self.mark = self if self.core or self.named_boiler else p.mark if p else None
-        self.section = p.section if p and tag not in ("article", "main", "section", "nav", "aside", "footer", "header", "div", "body", "table", "ul", "ol") else self
+        self.section = p.section if p and tag not in ("article", "main", "section", "nav", "aside", "footer", "header", "div", "body", "form", "table", "td", "ul", "ol") else self
 
     @property
     def boiler_name(self) -> bool:
@@ -130,15 +151,16 @@ class Element:
                 self.unseen = True
             elif key == "role" and value.lower() in ("main", "article"):
                 self.main, self.core = True, value.lower()
-            elif key not in ("style", "hidden", "aria-hidden"):
-                names.append(value)
-        if names:
-            text = re.sub(r"([a-z])([A-Z])", r"\1-\2", " ".join(names)).lower().replace("_", "-")
-            # within an article, a header is the place of its title
-            if any(not (self.article and m[0] in ("header", "head", "body", "post", "entry")) for m in BOILER.finditer(text)):
-                self.named_boiler = True
-            elif CONTENT.search(text):
-                self.content_name = True
+            elif key in ("class", "id"):
+                names += value.split()
+            elif key in ("role", "aria-label", "itemprop"):
+                names.append("-".join(value.split()))
+        for name in names:
+            said = spoken(name, self.article)
+            self.named_boiler |= said == "boiler"
+            self.content_name |= said == "content"
+        if self.named_boiler:
+            self.content_name = False
 
 
 def weigh_names(marks: list[Element], found: list[Block]) -> None:
@@ -182,6 +204,12 @@ class Block:
     text: str
     element: Element
     linked: float
+    #: It stands in no article, main or element named so, on a page that has one.
+    outside: bool = False
+
+    @property
+    def core(self) -> bool:
+        return self.element.article or self.element.main or self.element.content_name
 
 
 def blocks(html: str) -> list[Block]:
@@ -190,22 +218,24 @@ def blocks(html: str) -> list[Block]:
     here, out = root, []
     marks: list[Element] = []
     parts: list[str] = []
-    links = 0  # characters of the parts that stand in links
+    links = pressed = 0  # characters of the parts that stand in links, and on buttons
     holder = root
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, pressed
         if parts:
-            text = " ".join(unescape("".join(parts)).split())
-            if text:
+            whole = "".join(parts)
+            text = " ".join(unescape(whole).split())
+            # what is on a button is read where it stands in a sentence
+            if text and pressed < len(whole.strip()):
                 out.append(Block(text, holder, min(1.0, links / len(text))))
             parts.clear()
-        links = 0
+        links = pressed = 0
 
-    anchors = 0
+    anchors = buttons = 0
 
     def say(text: str) -> None:
-        nonlocal holder, links
+        nonlocal holder, links, pressed
         if here.unseen or not text:
             return
         if not parts:
@@ -215,12 +245,15 @@ def blocks(html: str) -> list[Block]:
         parts.append(text)
         if anchors:
             links += len(text)
+        if buttons:
+            pressed += len(text)
 
     def pop_to(e: Element) -> None:
-        nonlocal here, anchors
+        nonlocal here, anchors, buttons
         while here is not e:
             if here.tag == "a":
                 anchors -= 1
+            buttons -= here.tag == "button"
             if here.tag not in INLINE:
                 flush()
             else:
@@ -292,6 +325,7 @@ def blocks(html: str) -> list[Block]:
             if (e := enclosing(("a",))) is not None:
                 pop_to(e.parent)
             anchors += 1
+        buttons += name == "button"
         here = Element(name, here, groups["attrs"])
         here.parent.scope.open[name] = here.parent.scope.open.get(name, 0) + 1
         names[name] += 1
@@ -300,16 +334,32 @@ def blocks(html: str) -> list[Block]:
         if here.mark is here:
             marks.append(here)
     flush()
-    out = [b for b in out if not b.element.form or b.element.form.layout]
+    out = without_forms(out)
     weigh_names(marks, out)
+    cored = any(b.core and not b.element.boiler_tag and not b.element.boiler_name for b in out)
+    for b in out:
+        b.outside = cored and not b.core
     return out
 
 
+def without_forms(found: list[Block]) -> list[Block]:
+    """The blocks that stand in no form, but for forms that are wrappers: by what is in them, or by most of the page's long texts."""
+    long = [b for b in found if len(b.text) >= LONG_CHARS and not b.element.boiler_tag and b.linked < 0.5]
+    total, inside = sum(len(b.text) for b in long), Counter()
+    for b in long:
+        f = b.element.form
+        if f and not f.article and not f.main:
+            inside[f] += len(b.text)
+    for f, n in inside.items():
+        f.layout |= n > WRAPPER_SHARE * total
+    return [b for b in found if not b.element.form or b.element.form.layout]
+
+
 def features(block: Block) -> tuple[float, ...]:
     """The values of FEATURES."""
     e, text = block.element, block.text
     paragraph, sentence = e.tag in ("p", "pre", "blockquote", "dd", "td", "li"), text[-1] in ".!?:;\"')”»"
-    return (1.0, block.linked, e.article, e.main, e.boiler_tag, e.boiler_name, e.content_name, paragraph, e.tag in HEADINGS, len(text) >= LONG_CHARS, sentence)
+    return (1.0, block.linked, e.article, e.main, e.boiler_tag, e.boiler_name, e.content_name, paragraph, e.tag in HEADINGS, len(text) >= LONG_CHARS, sentence, block.linked * block.core, e.tag in ("body", "html") and block.linked < 0.5, block.outside)
 
 
 def score(block: Block) -> float:
@@ -457,5 +507,5 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
 #: What the method finds on pages of one plain template: the blocks of the article element.
 ORACLE = r"""WITH a AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|\z)', 1), '<[a-z/][^>]*\z', '') AS b FROM pages),
     p AS (SELECT page_id, url, list_transform(regexp_split_to_array(regexp_replace(b, '</?b>|<br>', '', 'g'), '</?(?:p|h1|article)>'),
-        lambda x: trim(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'))) AS l FROM a)
+        lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '&copy;?', '©', 'g'), '&middot;?', '·', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS l FROM a)
 SELECT page_id, url, array_to_string(list_filter(l, lambda x: x <> ''), chr(10)) AS text, length(array_to_string(list_filter(l, lambda x: x <> ''), chr(10)))::BIGINT AS n_chars FROM p"""

@@ -19,7 +19,10 @@ from corpusmill.llm.html_extract import FEATURES, blocks, features, labels
 
 FIT_PAGES, TUNE_PAGES = 1500, 500
 SCALES = (0.0, 0.5, 1.0, 1.5, 2.0)
-PENALTY = 0.01
+PENALTY = 1.0
+#: Names that tell the classifier nothing: of content, with words of boilerplate among others, and of boilerplate.
+PLAIN_NAMES = ("market-share", "legal-history", "form-theory", "tags-explained", "key-facts", "figure-note", "reply-to-critics", "reviews", "step-3")
+OTHER_NAMES = ("gnav", "hdr", "rail", "dfp", "slot-2", "xq", "blk", "zone-7", "outbrain", "u-bottom")
 
 CONTENT_NAMES = ("content", "post-body", "entry-content", "article-body", "story", "main-text", "prose")
 BOILER_NAMES = {
@@ -33,7 +36,7 @@ class Page:
 
     def __init__(self, seed: int):
         self.pick = random.Random(seed)
-        self.style = self.pick.choice(("semantic", "semantic", "main", "named", "named", "bare", "table"))
+        self.style = self.pick.choice(("semantic", "semantic", "main", "named", "named", "bare", "table", "text", "form"))
 
     def words(self, kind: str, low: int, high: int, end: str = ".") -> str:
         n = self.pick.randint(low, high)
@@ -53,18 +56,26 @@ class Page:
         how = self.pick.random()
         if self.style in ("semantic", "main") and tag and how < 0.8:
             return f"<{tag}>{inner}</{tag}>"
-        if self.style in ("bare", "table") and how < 0.6:
+        if self.style in ("bare", "table", "text") and how < 0.6:
             return f"<div>{inner}</div>"
+        if how > 0.9:
+            return f'<div class="{self.pick.choice(OTHER_NAMES)}">{inner}</div>'
         return f'<div class="{self.pick.choice(BOILER_NAMES[role])}">{inner}</div>'
 
     def article(self) -> str:
         out = [f"<h1>{self.words('c', 2, 10, '')}</h1>"]
         for _ in range(self.pick.randint(2, 9)):
             what = self.pick.random()
-            if what < 0.55:
+            if what < 0.5:
                 out.append(self.paragraph("c", self.pick.random() < 0.75))
-            elif what < 0.65:
+            elif what < 0.55:
+                out.append(self.paragraph("c").replace("<p>", f'<p class="{self.pick.choice(PLAIN_NAMES)}">', 1))
+            elif what < 0.62:
                 out.append(f"<h2>{self.words('c', 1, 8, '')}</h2>")
+            elif what < 0.65:
+                out.append(f"<h2><a href=h>{self.words('c', 1, 8, '')}</a></h2>")
+            elif what < 0.68:
+                out.append(f"<ul>{self.links('c', self.pick.randint(1, 5))}</ul>")
             elif what < 0.75:
                 out.append("<ul>" + "".join(f"<li>{self.words('c', 1, 14)}" for _ in range(self.pick.randint(2, 6))) + "</ul>")
             elif what < 0.8:
@@ -84,6 +95,10 @@ class Page:
         if self.style == "semantic":
             body = f'<article{self.pick.choice(("", " class=post", " class=story"))}>{body}</article>'
             return f"<main>{body}</main>" if self.pick.random() < 0.5 else body
+        if self.style == "text":
+            return "".join(self.words("c", 3, 60) + self.pick.choice(("<br><br>", "<hr>", "<p>" if k else "<hr>")) for k in range(self.pick.randint(1, 6)))
+        if self.style == "form":
+            return f'<div class="{self.pick.choice(CONTENT_NAMES)}">{body}</div>'
         if self.style == "main":
             return f"<main><div>{body}</div></main>"
         if self.style == "named":
@@ -110,7 +125,8 @@ class Page:
         middle = self.article()
         if self.style == "table":
             return f"<html><body><table><tr><td>{top}</td></tr><tr>{middle}</tr><tr><td>{low}</td></tr></table></body></html>"
-        return f"<html><head><title>t</title></head><body>{top}{middle}{low}</body></html>"
+        wrap = ("<form id=f>", "</form>") if self.style == "form" else ("", "")
+        return f"<html><head><title>t</title></head><body>{wrap[0]}{top}{middle}{low}{wrap[1]}</body></html>"
 
 
 def labelled(seeds: range) -> list[tuple[list, list[bool]]]:
