@@ -49,6 +49,8 @@ WINDOW, SHARE, MIN_SEEDED = 13, 80, 8
 CACHE_WORDS = 300_000
 #: Bits of a bitmap: about BITS_A_SEED for each seed, and 2**MOST_BITS (16 MB) at most.
 BITS_A_SEED, LEAST_BITS, MOST_BITS = 64, 20, 27
+#: Hits of a text that are gathered in one row.
+LINES = 4096
 #: Fingerprints of contaminated texts that are broadcast; with more of them, the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
@@ -204,27 +206,36 @@ def texts_with_seeds(docs: DataFrame, table: DataFrame, lengths: list[int], doc_
 
 
 def overlaps(distinct: DataFrame, table: DataFrame, found: DataFrame) -> DataFrame:
-    """k1, k2, item, n, n_match of each item in each text (k1, k2, words, hits, distinct), written."""
+    """k1, k2, item, n, n_match of each item in each text (k1, k2, words, hits, distinct), written.
+
+    The lines along which a text and items may agree are gathered by text, LINES hits a part,
+    and the text's words meet them once a part, not once a line.
+    """
 
     def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
             for k1, k2, data in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 hits = np.frombuffer(data, HIT)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hits), k1)), pa.array(np.full(len(hits), k2)), pa.array(hits["seed"].copy()), pa.array(hits["at"].copy())], names=["k1", "k2", "seed", "place"])
+                parts = pa.array(np.full(len(hits), 1 + len(hits) // LINES, np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hits), k1)), pa.array(np.full(len(hits), k2)), pa.array(hits["seed"].copy()), pa.array(hits["at"].copy()), parts], names=["k1", "k2", "seed", "place", "parts"])
 
-    hits = found.select("k1", "k2", "hits").mapInArrow(opened, "k1 long, k2 long, seed long, place int")
-    lines = written(hits.join(table, "seed").select("k1", "k2", "item", "n", (F.col("place") - F.col("at")).alias("shift")), "lines")
-    lines = written(lines.distinct(), "lines")
+    hits = found.select("k1", "k2", "hits").mapInArrow(opened, "k1 long, k2 long, seed long, place int, parts int")
+    lines = written(hits.join(table, "seed").select("k1", "k2", "parts", "item", "n", (F.col("place") - F.col("at")).alias("shift")), "lines")
+    part_of = F.pmod(F.xxhash64("item", "shift"), F.col("parts")).alias("part")
+    lines = written(lines.groupBy("k1", "k2", part_of).agg(F.collect_set(F.struct("item", "n", "shift")).alias("lines")), "lines")
     along = [("k1", pa.int64()), ("k2", pa.int64()), ("item", pa.binary()), ("n", pa.int32()), ("start", pa.int32()), ("part", pa.binary())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words of a text that stand beside those of the item; start is the item's first of them."""
         for batch in slices(batches, 64):
-            rows = []
-            for k1, k2, item, n, shift, data in zip(*(batch.column(k).to_pylist() for k in ("k1", "k2", "item", "n", "shift", "words")), strict=True):
-                start, end = max(0, -shift), min(n, len(data) // 8 - shift)
-                rows.append((k1, k2, item, n, start, data[8 * (start + shift) : 8 * (end + shift)]))
-            yield _batch(list(zip(*rows, strict=True)), along)
+            for k1, k2, found, data in zip(*(batch.column(k).to_pylist() for k in ("k1", "k2", "lines", "words")), strict=True):
+                for at in range(0, len(found), LINES):
+                    rows = []
+                    for line in found[at : at + LINES]:
+                        item, n, shift = line["item"], line["n"], line["shift"]
+                        start, end = max(0, -shift), min(n, len(data) // 8 - shift)
+                        rows.append((k1, k2, item, n, start, data[8 * (start + shift) : 8 * (end + shift)]))
+                    yield _batch(list(zip(*rows, strict=True)), along)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = [*along[:4], ("n_match", pa.int32())]
@@ -238,7 +249,7 @@ def overlaps(distinct: DataFrame, table: DataFrame, found: DataFrame) -> DataFra
             if rows:
                 yield _batch(list(zip(*rows, strict=True)), schema)
 
-    parts = written(lines.join(found.select("k1", "k2", "words"), ["k1", "k2"]).select("k1", "k2", "item", "n", "shift", "words").mapInArrow(cut, "k1 long, k2 long, item binary, n int, start int, part binary"), "parts")
+    parts = written(lines.join(found.select("k1", "k2", "words"), ["k1", "k2"]).select("k1", "k2", "lines", "words").mapInArrow(cut, "k1 long, k2 long, item binary, n int, start int, part binary"), "parts")
     checked = written(parts.join(distinct.select("item", "words"), "item").select("k1", "k2", "item", "n", "start", "part", "words").mapInArrow(verify, "k1 long, k2 long, item binary, n int, n_match int"), "checked")
     return written(checked.groupBy("k1", "k2", "item", "n").agg(F.max("n_match").alias("n_match")), "found")
 

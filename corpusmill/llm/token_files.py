@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm.chunks import ChunkCache, tokenizer
-from corpusmill.llm.common import shuffle_partitions, slices, texts, worker_state
+from corpusmill.llm.common import shuffle_partitions, slices, texts, worker_state, written
 
 MAGIC = b"DAC1"
 DIRECTORY_BITS = 512
@@ -269,6 +269,8 @@ def write_ids(docs: DataFrame, tokenizer_path: str, end_id: int, path: str, doc_
     dealt.sortWithinPartitions("bucket", F.col("doc_id").asc_nulls_first(), "hash", "ids").mapInArrow(pack, FILES).write.option("compression", "none").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
+#: Segments that a condition names, and positions that are broadcast, at most.
+FEW_SEGMENTS, FEW_PLACES = 2000, 500_000
 FILES = "bucket int, seq int, start long, n_docs long, n_tokens long, payload binary"
 
 
@@ -282,25 +284,34 @@ def _files(spark: SparkSession, path: str) -> tuple[DataFrame, dict[int, int]]:
 def tokens_at(spark: SparkSession, path: str, positions: DataFrame) -> DataFrame:
     """position, token of each distinct position (long) of a file set, by ranks in the segments that hold them.
 
-    Segments and positions meet by stripes of SEGMENT_TOKENS positions; then only the payloads
-    asked for are read, and each id is looked up without decoding the others.
+    Segments and positions meet by stripes of SEGMENT_TOKENS positions, without their payloads.
+    The segments asked for, if they are few, then go as a condition to the scan of payloads,
+    which skips files and row groups that have none of them; each id is looked up without
+    decoding the others. A payload is never broadcast.
     """
     files, base = _files(spark, path)
     starts = spark.createDataFrame(list(base.items()), "bucket int, base long")  # a row for each bucket
     segments = files.join(F.broadcast(starts), "bucket").select("bucket", "seq", (F.col("base") + F.col("start")).alias("begin"), "n_tokens")
-    stripe = lambda c: F.floor(c / SEGMENT_TOKENS)
+    stripe = lambda c: F.call_function("div", c, F.lit(SEGMENT_TOKENS))
     striped = segments.where("n_tokens > 0").withColumn("stripe", F.explode(F.sequence(stripe(F.col("begin")), stripe(F.col("begin") + F.col("n_tokens") - 1))))
     asked = positions.select(F.col("position").cast("long").alias("position")).where("position >= 0").distinct().withColumn("stripe", stripe(F.col("position")))
     found = striped.join(asked, "stripe").where((F.col("position") >= F.col("begin")) & (F.col("position") < F.col("begin") + F.col("n_tokens")))
     # the places of a segment are as many as it has ids, at most
-    places = found.groupBy("bucket", "seq", "begin").agg(F.sort_array(F.collect_list(F.col("position") - F.col("begin"))).alias("places"))
+    places = written(found.groupBy("bucket", "seq", "begin").agg(F.sort_array(F.collect_list(F.col("position") - F.col("begin"))).alias("places")), "places")
+    wanted = places.select("bucket", "seq").limit(FEW_SEGMENTS + 1).collect()
+    if len(wanted) > FEW_SEGMENTS:
+        payloads = files.hint("merge")
+    else:
+        payloads = files.where(F.col("bucket").isin(sorted({r.bucket for r in wanted})) & F.col("seq").isin(sorted({r.seq for r in wanted})))
+        few = (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= FEW_PLACES
+        places = F.broadcast(places) if few else places.hint("merge")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             begin, at, segment = batch.column(0)[0].as_py(), batch.column(1)[0].as_py(), Segment(batch.column(2)[0].as_py())
             yield pa.RecordBatch.from_arrays([pa.array([begin + i for i in at], pa.int64()), pa.array([segment[i] for i in at], pa.int64())], names=["position", "token"])
 
-    return places.join(files.select("bucket", "seq", "payload"), ["bucket", "seq"]).select("begin", "places", "payload").mapInArrow(look, "position long, token long")
+    return places.join(payloads.select("bucket", "seq", "payload"), ["bucket", "seq"]).select("begin", "places", "payload").mapInArrow(look, "position long, token long")
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:

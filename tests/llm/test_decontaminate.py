@@ -99,3 +99,12 @@ def test_empty_and_repeated(spark):
     assert sorted((tuple(r) for r in find_items(d, b).collect()), key=str) == sorted([(None, 1, 8, 8, 8)] * 2 + [(5, 1, 8, 8, 8)] * 4, key=str)
     assert find_items(d.limit(0), b).count() == 0 and find_items(d, b.limit(0)).count() == 0 and clean(d, b.limit(0)).count() == 3
     assert clean(d, b).count() == 0 and clean(d.limit(0), b).count() == 0
+
+
+def test_a_text_with_very_many_hits(spark):
+    """Its lines are dealt out in parts, its words once a part: what crosses does not grow with hits times length."""
+    item = " ".join(f"w{j}" for j in range(16))
+    text = " ".join(f"{item} x{k}" for k in range(3000))
+    docs = spark.createDataFrame([(1, text), (2, "nothing of it " * 50), (3, "w0 w1 y " + item)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, item + " more"), (3, "none of this is there at all in them")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id, r.n_match) for r in find_items(docs, items).collect()) == [(1, 1, 13), (1, 2, 13), (3, 1, 13), (3, 2, 13)]

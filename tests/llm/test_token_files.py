@@ -79,3 +79,20 @@ def test_other_tokenizers_encode_whole_texts():
     batch = ["The Cat  sat\n on", "", "a <|endoftext|> b", "É漢 x" * 50]
     want = [e.ids for e in tokenizer(other).encode_batch(batch, add_special_tokens=False)]
     assert [np.frombuffer(x, "<u4").tolist() for x in Encoder(other).encode(batch)] == want
+
+
+def test_one_position_opens_its_segments_alone(spark, tmp_path):
+    path = f"file://{tmp_path}/f"
+    rows = [(k, f"text number {k} " * 400) for k in range(400)]
+    write_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), PATH, 2, path)
+    assert spark.read.parquet(path).count() > 6
+    found = tokens_at(spark, path, spark.createDataFrame([(3,)], "position long"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    payload = next(line for line in plan.splitlines() if "FileScan" in line and "payload" in line)
+    assert "In(bucket" in payload or "EqualTo(bucket" in payload, payload
+    assert found.count() == 1
+    seen = found._jdf.queryExecution().executedPlan().toString()
+    broadcasts = seen.split("BroadcastExchange")[1:]
+    assert all("payload" not in b.split("FileScan")[1].splitlines()[0] for b in broadcasts if "FileScan" in b)
+    many = tokens_at(spark, path, spark.range(0, 200_000, 7).withColumnRenamed("id", "position"))
+    assert many.count() == len(range(0, 200_000, 7))
