@@ -30,7 +30,7 @@ def main(argv: list[str]) -> int:
 
     from corpusmill.plans.runs import crawl_snapshot
     from corpusmill.sources import progress
-    from corpusmill.sources.corpus import write_corpus
+    from corpusmill.sources.corpus import write_corpus_file
 
     spark = SparkSession.builder.appName("corpusmill").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     print(f"pages: {options.max_pages or 'no limit'}, kept for {hours_and_minutes(options.stale_seconds) if options.stale_seconds != float('inf') else 'ever'}")
@@ -38,7 +38,7 @@ def main(argv: list[str]) -> int:
     cached = stored.where("fresh").select("url", "md")
     got = crawl_snapshot(spark.read.parquet(known.pages), profile, options, cached, progress.read_redirects(spark, options), progress.resume_seeds(stored, profile))
     progress.save_pages(got["pages"], profile, options)
-    write_corpus(got["corpus"], f"{options.output_dir}/llms-full.txt")
+    write_corpus_file(got["corpus"], f"{options.output_dir}/llms-full.txt")
     got["summary"].write.mode("overwrite").json(f"{options.output_dir}/_summary.json")
     row = got["summary"].select("cachedPages", "newlyFetchedPages").first()
     print(f"done: {row.cachedPages + row.newlyFetchedPages} pages ({row.cachedPages} kept, {row.newlyFetchedPages} new)")

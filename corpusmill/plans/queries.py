@@ -16,7 +16,7 @@ from corpusmill.operators.extract import extract_pages
 from corpusmill.operators.links import link_counts, new_links, page_links
 from corpusmill.plans import runs
 from corpusmill.sources import progress
-from corpusmill.sources.corpus import corpus_header, corpus_lines, corpus_text, summary
+from corpusmill.sources.corpus import corpus_header, corpus_lines, corpus_text, read_ranges, summary, write_corpus_file
 from corpusmill.sources.tables import new_path, table
 
 HREFS = ("../x", "./a/../b", "/r/../s?q#f", "../../../z", "c/d/..", "/a/./%2E%2e/b/.", "?q=1", "#f", "//other.example.org/p/../q", "mailto:x@y", "http://h.example/a/../b", "e f")
@@ -281,6 +281,15 @@ def corpus_whole(spark, d):
     return corpus_text(pages, header).select(F.md5("corpus").alias("md5"), F.length("corpus").cast("long").alias("n_points"))
 
 
+def corpus_file(spark, d):
+    """Where each page stands in the corpus as one file, and what is read there again."""
+    path = f"{new_path(spark, 'corpus')}/llms-full.txt"
+    header = spark.range(1).select(corpus_header("Documentation", F.lit(NOW).cast("timestamp"), F.lit(3))).first()[0]
+    front = T.frontmatter(_title(), F.lit(""), F.col("url"), F.array().cast("array<string>"))
+    ranges = write_corpus_file(corpus_lines(_pages(spark, d).select(F.col("page_id").alias("ord"), F.concat(front, F.lit("\n"), F.col("html")).alias("md")), header), path)
+    return ranges.join(read_ranges(ranges, path), "seq").where("seq >= 0").select("seq", "begin", "n_bytes", F.md5("data").alias("md5"))
+
+
 def corpus_headers(spark, d):
     """The lines above a corpus: of a crawl, a regeneration and a sample."""
     n, now = F.col("n"), F.lit(NOW).cast("timestamp")
@@ -395,7 +404,7 @@ def page_markdown(spark, d):
 
 ALL = (
     url_clean, url_filename, url_version, url_canonical, href_resolve, url_resolve, page_title, links_of_pages, links_below, page_live_links_below, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
-    cache_pages, cache_folder, cache_redirect_folder, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_headers, utf16_sizes, content_markdown, sample_pages,
+    cache_pages, cache_folder, cache_redirect_folder, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_file, corpus_headers, utf16_sizes, content_markdown, sample_pages,
     page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_tree, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
 )
 
@@ -531,6 +540,8 @@ def oracle_sql() -> dict[str, str]:
         "regenerate_order": f"SELECT url, row_number() OVER (ORDER BY encode({_FILE} || '.json'))::BIGINT AS place FROM (SELECT * FROM pages QUALIFY row_number() OVER (PARTITION BY {_FILE} ORDER BY page_id DESC) = 1) WHERE page_id % 23 <> 5",
         "run_summary": f"SELECT 4::BIGINT AS totalPages, 3::BIGINT AS cachedPages, 4::BIGINT AS newlyFetchedPages, '2024-01-15T00:00:00.000Z' AS crawledAt, '{SITE.base_url}' AS baseUrl, count(*)::BIGINT AS n_pages, md5(string_agg(url, ' ' ORDER BY page_id)) AS pages_md5 FROM pages",
         "corpus_whole": f"SELECT md5(c) AS md5, length(c)::BIGINT AS n_points FROM (SELECT '# Documentation' || chr(10) || chr(10) || '**Generated:** 2024-01-15T00:00:00.000Z' || chr(10) || '**Total Pages:** 3' || chr(10) || chr(10) || '---' || chr(10) || string_agg(chr(10) || chr(10) || chr(10) || {_TITLE}, '' ORDER BY page_id) AS c FROM pages)",
+        "corpus_file": f"""WITH v AS (SELECT page_id::BIGINT AS seq, chr(10) || chr(10) || {fm.format(_TITLE, repr(''))} || chr(10) || html AS v FROM pages)
+            SELECT seq, (length('# Documentation' || '**Generated:** 2024-01-15T00:00:00.000Z' || '**Total Pages:** 3' || '---') + 7 + coalesce(sum(octet_length(encode(v)) + 1) OVER (ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS begin, octet_length(encode(v))::BIGINT AS n_bytes, md5(v) AS md5 FROM v""",
         "corpus_headers": "SELECT h || chr(10) || '**Cached Pages:** ' || (n - 1) || chr(10) || '**Newly Fetched Pages:** 1' || t AS crawl, h || chr(10) || '**Regenerated from cache:** true' || t AS regenerated, h || t AS sample FROM (SELECT n, '# Documentation' || chr(10) || chr(10) || '**Generated:** 2024-01-15T00:00:00.000Z' || chr(10) || '**Total Pages:** ' || n AS h, chr(10) || chr(10) || '---' || chr(10) AS t FROM (SELECT count(*) AS n FROM pages))",
         "utf16_sizes": "SELECT doc_id, (length(text) + 5)::BIGINT AS n_units, printf('%.2f', 300 * (length(text) + 5) / 1024.0 / 1024.0) AS megabytes FROM documents",
         "content_markdown": f"SELECT page_id, {fm.format(_TITLE, "chr(10) || '**Breadcrumb:** Home > Here'")} || chr(10) || {_trimmed(_TITLE)} || chr(10) || chr(10) || 'text' AS md FROM pages",
