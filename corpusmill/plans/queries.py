@@ -18,6 +18,7 @@ from corpusmill.plans import runs
 from corpusmill.sources import progress
 from corpusmill.sources.corpus import corpus_header, corpus_lines, corpus_text, read_ranges, summary, write_corpus_file
 from corpusmill.sources.tables import new_path, table
+from corpusmill.streaming.refetch import refetches
 
 HREFS = ("../x", "./a/../b", "/r/../s?q#f", "../../../z", "c/d/..", "/a/./%2E%2e/b/.", "?q=1", "#f", "//other.example.org/p/../q", "mailto:x@y", "http://h.example/a/../b", "e f")
 FORMS = ("e f", "\\a\\.\\b", " a\tb\n", "HTTP:x", "HTTPS://EX.com:443", "http://u:p@X.example:80/%7e/../q?'", "http://0x7f.1/", "http://[0:0::1]:8080", "//b.example:443", "", "?", "#x y", "\u00e9/\U0001f642?\u00e9", "http://a:99999", "MAILTO:a b", "HTTP:/r", "http://b\u00fccher.example")
@@ -136,6 +137,12 @@ def cache_summary(spark, d):
     return cache_freshness(spark, d).agg(F.count_if("page_fresh").alias("fresh"), F.count_if(~F.col("page_fresh")).alias("stale"))
 
 
+def cache_refetches(spark, d):
+    """Which of all events, as arrivals of a page for each user, a cache with a lifetime takes."""
+    rows = table(spark, d, "events").select(F.concat(F.lit(f"{BASE}/p"), F.col("user_id").cast("string")).alias("url"), F.col("ts").alias("fetched_at"), F.col("event_id").alias("page_id"))
+    return refetches(rows, TTL)
+
+
 def _redirects(spark, d) -> DataFrame:
     """source, target, cachedAt: every eleventh page's URL leads elsewhere, and every third of these has two records."""
     u = _versioned(spark, d).where("ord % 11 = 3")
@@ -403,7 +410,7 @@ def page_markdown(spark, d):
 
 
 ALL = (
-    url_clean, url_filename, url_version, url_canonical, href_resolve, url_resolve, page_title, links_of_pages, links_below, page_live_links_below, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
+    url_clean, url_filename, url_version, url_canonical, href_resolve, url_resolve, page_title, links_of_pages, links_below, page_live_links_below, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, cache_refetches, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
     cache_pages, cache_folder, cache_redirect_folder, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_file, corpus_headers, utf16_sizes, content_markdown, sample_pages,
     page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_tree, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
 )
@@ -506,6 +513,9 @@ def oracle_sql() -> dict[str, str]:
         "version_dedup": f"SELECT ord, url, {_CANONICAL} AS canonical FROM {_VERSIONED} QUALIFY row_number() OVER (PARTITION BY {_CANONICAL} ORDER BY {_VERSION} IS NOT NULL, ord) = 1",
         "cache_freshness": f"SELECT event_id, {_FRESH} AS page_fresh, false AS never, NOT coalesce({_AGE} >= {TTL * 1_000_000}, false) AS redirect_fresh, true AS always FROM events",
         "cache_summary": f"SELECT count(*) FILTER ({_FRESH})::BIGINT AS fresh, count(*) FILTER (NOT {_FRESH})::BIGINT AS stale FROM events",
+        "cache_refetches": f"""WITH RECURSIVE p AS (SELECT user_id, event_id, epoch_us(ts) AS at FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+            t(user_id, at) AS (SELECT user_id, min(at) FROM p GROUP BY user_id UNION ALL SELECT p.user_id, min(p.at) FROM t JOIN p ON p.user_id = t.user_id AND p.at >= t.at + {TTL * 1_000_000} GROUP BY p.user_id)
+            SELECT '{BASE}/p' || user_id AS key, at, min(event_id) AS id FROM t JOIN p USING (user_id, at) GROUP BY ALL""",
         "redirect_resolve": f"SELECT v.ord, v.url, t.target FROM {_VERSIONED} v LEFT JOIN (SELECT source, arg_max(target, {{'s': seq, 't': target}}) AS target FROM {_REDIRECTS} GROUP BY source) t ON t.source = v.url",
         "crawl_frontier": f"""WITH t AS (SELECT source, arg_max(target, {{'s': seq, 't': target}}) AS target FROM {_REDIRECTS} GROUP BY source),
             l AS (SELECT ord, url, {_VERSION} AS v, {_CANONICAL} AS c, target FROM {_VERSIONED} LEFT JOIN t ON source = url),
