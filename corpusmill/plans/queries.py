@@ -513,9 +513,9 @@ def oracle_sql() -> dict[str, str]:
         "version_dedup": f"SELECT ord, url, {_CANONICAL} AS canonical FROM {_VERSIONED} QUALIFY row_number() OVER (PARTITION BY {_CANONICAL} ORDER BY {_VERSION} IS NOT NULL, ord) = 1",
         "cache_freshness": f"SELECT event_id, {_FRESH} AS page_fresh, false AS never, NOT coalesce({_AGE} >= {TTL * 1_000_000}, false) AS redirect_fresh, true AS always FROM events",
         "cache_summary": f"SELECT count(*) FILTER ({_FRESH})::BIGINT AS fresh, count(*) FILTER (NOT {_FRESH})::BIGINT AS stale FROM events",
-        "cache_refetches": f"""WITH RECURSIVE p AS (SELECT user_id, event_id, epoch_us(ts) AS at FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
-            t(user_id, at) AS (SELECT user_id, min(at) FROM p GROUP BY user_id UNION ALL SELECT p.user_id, min(p.at) FROM t JOIN p ON p.user_id = t.user_id AND p.at >= t.at + {TTL * 1_000_000} GROUP BY p.user_id)
-            SELECT '{BASE}/p' || user_id AS key, at, min(event_id) AS id FROM t JOIN p USING (user_id, at) GROUP BY ALL""",
+        "cache_refetches": f"""WITH RECURSIVE p AS (SELECT user_id, event_id, epoch_us(ts) AS u FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+            t(user_id, u) AS (SELECT user_id, min(u) FROM p GROUP BY user_id UNION ALL SELECT p.user_id, min(p.u) FROM t JOIN p ON p.user_id = t.user_id AND p.u >= t.u + {TTL * 1_000_000} GROUP BY p.user_id)
+            SELECT '{BASE}/p' || user_id AS key, u AS "at", min(event_id) AS id FROM t JOIN p USING (user_id, u) GROUP BY user_id, u""",
         "redirect_resolve": f"SELECT v.ord, v.url, t.target FROM {_VERSIONED} v LEFT JOIN (SELECT source, arg_max(target, {{'s': seq, 't': target}}) AS target FROM {_REDIRECTS} GROUP BY source) t ON t.source = v.url",
         "crawl_frontier": f"""WITH t AS (SELECT source, arg_max(target, {{'s': seq, 't': target}}) AS target FROM {_REDIRECTS} GROUP BY source),
             l AS (SELECT ord, url, {_VERSION} AS v, {_CANONICAL} AS c, target FROM {_VERSIONED} LEFT JOIN t ON source = url),
