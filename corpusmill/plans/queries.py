@@ -211,6 +211,17 @@ def crawl_attempts(spark, d):
     return done.tried.select("url", "final", "ok", "saved")
 
 
+def crawl_led(spark, d):
+    """A crawl in which every thirteenth page is led to the page that links to it, which was visited: nothing is saved, and its links are not followed."""
+    pages, i = _pages(spark, d).select("page_id"), F.col("page_id")
+    links = pages.select(_node(i).alias("src"), F.posexplode(F.array(2 * i + 1, 2 * i + 2)).alias("pos", "to")).select("src", _node(F.col("to")).alias("dst"), "pos")
+    leads = pages.where(i % 13 == 5).select(_node(i).alias("source"), _node(F.expr("(page_id - 1) DIV 2")).alias("target"))
+    none = leads.select("source", "target", F.lit(0).alias("cachedAt")).limit(0)
+    there = pages.select(_node(i).alias("url"))
+    done = crawl.crawl_rounds(links, there, spark.createDataFrame([(f"{BASE}/p0", 0)], "url string, ord long"), PREFIX, leads, none, there.limit(0))
+    return done.tried.select("url", "final", "ok", "saved")
+
+
 def crawl_visited(spark, d):
     """What a crawl counts as visited: attempts, failed ones too, and where they were led."""
     links, there, leads = _site(spark, d)
@@ -410,7 +421,7 @@ def page_markdown(spark, d):
 
 
 ALL = (
-    url_clean, url_filename, url_version, url_canonical, href_resolve, url_resolve, page_title, links_of_pages, links_below, page_live_links_below, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, cache_refetches, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_visited,
+    url_clean, url_filename, url_version, url_canonical, href_resolve, url_resolve, page_title, links_of_pages, links_below, page_live_links_below, count_links, links_distinct_new, filename_collisions, filename_last_write, version_dedup, cache_freshness, cache_summary, cache_refetches, redirect_resolve, crawl_frontier, crawl_reachable, crawl_limit, crawl_depth_first, crawl_attempts, crawl_led, crawl_visited,
     cache_pages, cache_folder, cache_redirect_folder, cache_counts, cache_resume, cache_redirects, regenerate_counts, regenerate_order, run_summary, corpus_whole, corpus_file, corpus_headers, utf16_sizes, content_markdown, sample_pages,
     page_breadcrumb, page_live_links, page_cleaned, page_cleaned_html, page_tree, page_structure, markdown_normalize, text_sizes, frontmatter, corpus_concat, page_extract, page_text, page_markdown,
 )
@@ -528,6 +539,8 @@ def oracle_sql() -> dict[str, str]:
             o AS (SELECT i, row_number() OVER (ORDER BY path) AS nth FROM k)
             SELECT (row_number() OVER (ORDER BY nth) - 1)::INTEGER AS ord, '{BASE}/p' || i AS url FROM o, n WHERE nth <= {DEPTH_FIRST_LIMIT} AND i < n.n""",
         "crawl_attempts": f"{_NODES} SELECT url, final, ok, ok AS saved FROM f",
+        "crawl_led": f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), k(i) AS (SELECT 0::BIGINT UNION SELECT unnest([2 * i + 1, 2 * i + 2]) FROM k, n WHERE i < n.n AND i % 13 <> 5)
+            SELECT '{BASE}/p' || i AS url, '{BASE}/p' || CASE WHEN i < n AND i % 13 = 5 THEN (i - 1) // 2 ELSE i END AS final, i < n AS ok, i < n AND i % 13 <> 5 AS saved FROM k, n""",
         "crawl_visited": f"""WITH RECURSIVE n AS (SELECT count(*) AS n FROM pages), k(i) AS (SELECT unnest([0, 5, 6])::BIGINT UNION SELECT unnest([2 * i + 1, 2 * i + 2]) FROM k, n WHERE i < n.n AND i <> 2),
             {_NODES.split("FROM k, n WHERE i < n.n),", 1)[1].replace("FROM k, n)", "FROM (SELECT i FROM k UNION SELECT 2) k, n)", 1)} SELECT DISTINCT unnest([url, final]) AS url FROM f""",
         "href_resolve": f"""SELECT page_id, form, CASE form WHEN 0 THEN o || regexp_replace(p, '[^/]*/[^/]*$', '') || 'x' WHEN 1 THEN o || f || 'b' WHEN 2 THEN o || '/s?q#f' WHEN 3 THEN o || '/z' WHEN 4 THEN o || f || 'c/' WHEN 5 THEN o || '/b/'
