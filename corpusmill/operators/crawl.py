@@ -17,6 +17,8 @@ from corpusmill.sources.tables import written
 
 #: Places that keys are hashed to where a round asks a table that holds all rounds.
 PLACES = 1 << 20
+#: Rows of all rounds up to which a round joins whole tables, which Spark then broadcasts or shuffles in a moment.
+SMALL = 1_000_000
 
 
 def asked_for(rows: DataFrame, key: Column, *asked: DataFrame) -> DataFrame:
@@ -30,6 +32,11 @@ def asked_for(rows: DataFrame, key: Column, *asked: DataFrame) -> DataFrame:
     return rows.withColumn("__place", place(key)).join(F.broadcast(places), "__place", "left_semi").drop("__place")
 
 
+def whole(rows: DataFrame, key: Column, *asked: DataFrame) -> DataFrame:
+    """In place of asked_for() where all rows are few."""
+    return rows
+
+
 def resolve_redirects(urls: DataFrame, redirects: DataFrame) -> DataFrame:
     """urls with target: where a redirect leads, by one step; null without one. The last record of a source counts."""
     last = redirects.groupBy("source").agg(F.max_by("target", F.struct("cachedAt", "target")).alias("target"))
@@ -57,14 +64,16 @@ def reachable(edges: DataFrame, seeds: DataFrame, max_depth: int | None = None)
     Each round joins the last round's pages with the edges and writes what is new: as many
     rounds as the longest of the shortest paths, no state but the written table.
     """
+    part = asked_for if edges.count() > SMALL else whole
     found = written(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "reached")
     last, depth, rounds = found, 0, [found]
     while max_depth is None or depth < max_depth:
         depth += 1
         here = last.select(F.col("url").alias("src"))
-        step = written(asked_for(edges, F.col("src"), here).join(here, "src").select(F.col("dst").alias("url")).where("url is not null").distinct(), "step")
+        step = part(edges, F.col("src"), here).join(here, "src").select(F.col("dst").alias("url")).where("url is not null").distinct()
+        step = step if part is whole else written(step, "step")
         seen = _union(rounds)
-        last = written(step.join(asked_for(seen, F.col("url"), step), "url", "left_anti").withColumn("depth", F.lit(depth)), "reached")
+        last = written(step.join(part(seen, F.col("url"), step), "url", "left_anti").withColumn("depth", F.lit(depth)), "reached")
         if last.isEmpty():
             break
         rounds.append(last)
@@ -118,15 +127,17 @@ def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: s
     memo = [written(known.select("source", "target", F.col("cachedAt").cast("string").alias("cachedAt"), F.lit(-1).alias("round")), "memo")]
     visited = [written(cached.select("url").distinct().select("url", F.lit(-1).alias("round"), F.lit(0).cast("long").alias("number"), F.lit(0).alias("step")), "visited")]
     tried: list[DataFrame] = []
-    room, round_ = max_pages, 0
+    room, round_, total = max_pages, 0, answers.count() + visited[0].count()
     while room is None or room > 0:
+        part = asked_for if total > SMALL else whole
+        kept = written if total > SMALL else (lambda df, name: df)
         canonical = canonical_url(F.col("url"), prefix)
         urls, plain = queue.select("url"), queue.select(canonical.alias("url"))
-        led = written(asked_for(_union(memo), F.col("source"), urls, plain).select("source", "target", F.struct("round", "cachedAt").alias("cachedAt")), "led")
+        led = kept(part(_union(memo), F.col("source"), urls, plain).select("source", "target", F.struct("round", "cachedAt").alias("cachedAt")), "led")
         every = _union(visited).select("url")
-        seen = written(asked_for(every, F.col("url"), urls, plain, led.select("target")).union(asked_for(every, canonical, plain)).distinct(), "seen")
+        seen = every if part is whole else written(part(every, F.col("url"), urls, plain, led.select("target")).union(part(every, canonical, plain)).distinct(), "seen")
         new = frontier(queue, seen, led, prefix)
-        can = asked_for(answers, F.col("url"), plain)
+        can = part(answers, F.col("url"), plain)
         new = new.withColumn("canonical", canonical).join(can.withColumnRenamed("url", "canonical").withColumn("answers", F.lit(True)), "canonical", "left")
         new = new.groupBy(F.when(F.col("answers"), F.col("canonical")).otherwise(F.col("url")).alias("url")).agg(F.min("ord").alias("ord"))
         # the page that a version gives way to may be visited itself, or led to what is
@@ -137,9 +148,9 @@ def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: s
         n = goes.count()
         if not n:
             break
-        led_to = written(goes.join(asked_for(leads, F.col("source"), goes.select("url")).withColumnRenamed("source", "url"), "url", "left").select("url", "number", F.coalesce("target", "url").alias("final")), "led_to")
+        led_to = kept(goes.join(part(leads, F.col("source"), goes.select("url")).withColumnRenamed("source", "url"), "url", "left").select("url", "number", F.coalesce("target", "url").alias("final")), "led_to")
         finals = led_to.select("final")
-        there_now, old = (asked_for(x, F.col("url"), finals).select(F.col("url").alias("final")).distinct() for x in (found, every))
+        there_now, old = (part(x, F.col("url"), finals).select(F.col("url").alias("final")).distinct() for x in (found, every))
         got = led_to.join(there_now.withColumn("ok", F.lit(True)), "final", "left").join(old.withColumn("old", F.lit(True)), "final", "left")
         first = written(got.where("ok").groupBy("final").agg(F.min(F.struct((F.col("final") != F.col("url")).alias("led"), "number")).alias("first")), "first")
         got = got.join(first, "final", "left").select("url", "final", F.coalesce("ok", F.lit(False)).alias("ok"), "number", (F.col("ok") & F.col("old").isNull() & (F.col("first.number") == F.col("number"))).alias("saved"))
@@ -150,8 +161,8 @@ def crawl_rounds(links: DataFrame, there: DataFrame, seeds: DataFrame, prefix: s
         visited.append(written(own.unionByName(also), "visited"))
         memo.append(written(got.where("ok and final <> url").select(F.col("url").alias("source"), F.col("final").alias("target"), F.lit("").alias("cachedAt"), "round"), "memo"))
         sources = got.where("saved").select(F.col("final").alias("src"), "number")
-        queue = written(sources.join(asked_for(links, F.col("src"), sources.select("src")), "src").where("dst is not null").groupBy(F.col("dst").alias("url")).agg(F.min(F.struct("number", F.col("pos").cast("long").alias("pos"))).alias("ord")), "queue")
-        room, round_ = None if room is None else room - n, round_ + 1
+        queue = written(sources.join(part(links, F.col("src"), sources.select("src")), "src").where("dst is not null").groupBy(F.col("dst").alias("url")).agg(F.min(F.struct("number", F.col("pos").cast("long").alias("pos"))).alias("ord")), "queue")
+        room, round_, total = None if room is None else room - n, round_ + 1, total + n
         if round_ % 16 == 0:
             visited, memo = [written(_union(visited), "visited")], [written(_union(memo), "memo")]
     empty = visited[0].limit(0).select("url", F.col("url").alias("final"), F.lit(False).alias("ok"), "number", F.lit(False).alias("saved"), "round")

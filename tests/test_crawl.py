@@ -7,6 +7,7 @@ import threading
 from pyspark.sql import functions as F
 
 from corpusmill.config import CrawlOptions, SiteProfile
+from corpusmill.operators import crawl
 from corpusmill.operators.crawl import Crawl, Site, asked_for, crawl_rounds, reachable, reachable_within
 from corpusmill.operators.dedup import dedup_versions
 from corpusmill.plans.runs import crawl_snapshot, regenerate, sample
@@ -182,6 +183,21 @@ def test_rounds_against_a_plain_crawl(spark):
         assert {r.url for r in done.visited.collect()} == set(visited)
 
 
+def test_rounds_over_large_tables_give_the_same(spark, monkeypatch):
+    """Whether rounds join whole tables or what they ask for."""
+    links = [(f"{B}/{i}", f"{B}/{'152/' if j % 3 == 0 else ''}{j}", p) for i in range(30) for p, j in enumerate((2 * i + 1, 2 * i + 2))]
+    there = [(f"{B}/{i}",) for i in range(28)] + [(f"{B}/moved",)]
+    leads = [(f"{B}/5", f"{B}/moved"), (f"{B}/7", f"{B}/3"), (f"{B}/8", f"{B}/moved")]
+    frames = [spark.createDataFrame(links, "src string, dst string, pos int"), spark.createDataFrame(there, "url string"), spark.createDataFrame([(f"{B}/0", 0)], "url string, ord long")]
+    lead, none, cached = spark.createDataFrame(leads, "source string, target string"), spark.createDataFrame([], "source string, target string, cachedAt string"), spark.createDataFrame([(f"{B}/9",)], "url string")
+    got = []
+    for small in (1_000_000, 0):
+        monkeypatch.setattr(crawl, "SMALL", small)
+        done = crawl_rounds(*frames, P, lead, none, cached, 25)
+        got.append((sorted(map(tuple, done.tried.select("url", "final", "ok", "saved", "round").collect())), sorted(map(tuple, done.visited.select("url", "round", "step").collect())), sorted((r.url, r.depth) for r in reachable(frames[0], frames[2].select("url")).collect())))
+    assert got[0] == got[1] and len(got[0][0]) > 10
+
+
 def test_a_round_takes_what_it_asks_for(spark):
     """Of a large table little more than the asked keys' rows go on, and all of those."""
     table = spark.range(200_000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"))
