@@ -4,7 +4,8 @@ Patterns find assignments, access keys and long hex runs. Besides, a value that
 after a credential word (`pwd: ...`, `Authorization = ...`) is a secret if guessing it is
 dear: dynamic programming over its characters finds the cheapest segmentation into
 dictionary words, dates, repeats, keyboard walks and brute-force spans, and a value whose
-cheapest segmentation needs at least 10**MIN_LOG10 guesses gives a span of kind `guess`.
+cheapest segmentation needs at least 10**MIN_LOG10 guesses gives a span of kind `guess`,
+unless it is a reference by its form: a variable, a template, a call, a file path, a web address.
 A quoted value goes up to its closing quote on the line, any other up to white space, and
 every character of it is costed, whatever its length (but punctuation that ends an unquoted
 one). Dates are tried at every character, words come from a ranked list: common words of
@@ -52,7 +53,13 @@ CONTEXT = re.compile(
 CONTEXT_WORDS = ("pass", "pwd", "secret", "token", "key", "auth", "credential")
 #: Punctuation behind an unquoted value, which is no part of what is costed.
 ENDS = ".,;:)}]>\"'`|"
-MIN_LOG10, MIN_CHARS = 9.0, 8
+MIN_LOG10 = 9.0
+#: Values that say where a secret is, and are none: variables and templates, calls and members, file paths, plain web addresses.
+REFERENCE = re.compile(
+    r"""\$\{[^{}]*\}|\$\(.*\)|\$[A-Za-z_]\w*|%[A-Za-z_]\w*%|\{\{.*\}\}|<[A-Za-z][\w -]*>|(?:[A-Za-z_]\w*(?:\.|->|::))*[A-Za-z_]\w*\((?:[^()'"`]|["'][\w.-]*["'])*\)?|[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)*\[["']?\w+["']?\]"""
+    r"""|(?:process\.env|os\.environ|config|settings|self|this)(?:\.[A-Za-z_]\w*)+|(?:~|\.{1,2}|[A-Za-z]:)?(?:[/\\]\.?[A-Za-z][a-z0-9_-]*)+(?:\.[a-z]{1,5})+|(?:~|\.{1,2})?(?:/[a-z][a-z_-]*){2,}/?|https?://[a-z0-9.-]+(?::\d+)?(?:/[a-z0-9._-]*[a-z]{2}[a-z0-9._-]*)*/?""",
+    re.A,
+)
 
 #: Words that passwords are made of more often than prose; they come first in the list.
 FIRST_WORDS = (
@@ -176,7 +183,7 @@ def find_spans(text: str, words: str) -> list[tuple[int, int, str]]:
     if (":" in text or "=" in text) and any(w in low for w in CONTEXT_WORDS):
         for m in CONTEXT.finditer(text):
             value = m[2] or m[3].rstrip(ENDS)
-            if len(value) >= MIN_CHARS and guess_cost(value, words) >= MIN_LOG10:
+            if not REFERENCE.fullmatch(m[2] or m[3].rstrip(".,;")) and not REFERENCE.fullmatch(value) and guess_cost(value, words) >= MIN_LOG10:
                 found.append((*m.span(2 if m[2] else 3), "guess"))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
