@@ -94,7 +94,7 @@ def postings(docs: DataFrame, asked: dict[bytes, int]) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, "doc_id long, n long, terms array<int>, tfs array<bigint>")
 
 
-class Window_:
+class WindowScores:
     """The documents of one window: their postings by term, and a score array for one item at a time."""
 
     def __init__(self, ids: list, sizes: np.ndarray, counts: np.ndarray, numbers: np.ndarray, tfs: np.ndarray, weights: np.ndarray, n_docs: int, n_all: int):
@@ -147,7 +147,7 @@ def best_of(ranged: DataFrame, items: list[np.ndarray], weights: np.ndarray, n_d
         def score(window: pa.Table) -> None:
             numbers, tfs = window.column("terms").combine_chunks(), window.column("tfs").combine_chunks()
             counts = np.diff(numbers.offsets.to_numpy()) if len(numbers) else np.empty(0, np.int64)
-            w = Window_(window.column("doc_id").to_pylist(), window.column("n").to_numpy(), counts, numbers.flatten().to_numpy(), tfs.flatten().to_numpy(), weight, n_docs, n_all)
+            w = WindowScores(window.column("doc_id").to_pylist(), window.column("n").to_numpy(), counts, numbers.flatten().to_numpy(), tfs.flatten().to_numpy(), weight, n_docs, n_all)
             for terms_of, heap in zip(own, heaps, strict=True):
                 w.harvest(terms_of, heap, k)
 
