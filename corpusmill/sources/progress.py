@@ -73,9 +73,9 @@ def _pretty(**fields: Column) -> Column:
 
 
 def save_redirects(redirects: DataFrame, profile: SiteProfile, options: CrawlOptions) -> None:
-    """A file for each source (source, target) that has a name; the executors write. Of repeated names one stays."""
+    """A file for each source (source, target) that has a name; the executors write. Of repeated names the largest source stays, with its largest target."""
     folder_source.register(redirects.sparkSession)
-    rows = last_write(redirects.withColumn("name", redirect_filename(F.col("source"), profile.path_prefix)).where("name is not null"), F.col("name"), "target")
+    rows = last_write(redirects.withColumn("name", redirect_filename(F.col("source"), profile.path_prefix)).where("name is not null").withColumn("ord", F.struct("source", "target")), F.col("name"), "ord")
     made = _pretty(source=F.col("source"), target=F.col("target"), cachedAt=iso_time(F.lit(options.now).cast("timestamp")))
     rows.select(F.regexp_replace("name", r"\.redirect\.json\z", "").alias("stem"), made.alias("redirect_json")).write.format("stems").option("kinds", "redirect_json").mode("append").save(options.progress_dir)
 

@@ -125,3 +125,12 @@ def test_redirects_of_many_sources(spark, tmp_path):
     assert len(os.listdir(options.progress_dir)) == 20 and progress.read_redirects(spark, options).count() == 20
     assert progress.lookup_redirect(spark, f"{SITE.base_url}/s7", SITE, options) == f"{SITE.base_url}/t"
     assert progress.read_pages(spark, options).count() == 0
+
+
+def test_of_redirects_with_one_name_the_largest_source_stays(spark, tmp_path):
+    options = CrawlOptions(output_dir=str(tmp_path))
+    plain, anchored = f"{SITE.base_url}/s", f"{SITE.base_url}/s#top"
+    # the order of the targets is not that of the sources: '#' comes before '/'
+    leads = spark.createDataFrame([(plain, f"{plain}/to"), (anchored, f"{anchored}/to"), (anchored, f"{anchored}/later")], "source string, target string")
+    progress.save_redirects(leads, SITE, options)
+    assert [r[:2] for r in progress.read_redirects(spark, options).collect()] == [(anchored, f"{anchored}/to")]
