@@ -55,8 +55,9 @@ def utf16_length(text: Column) -> Column:
     return (F.octet_length(F.encode(text, "UTF-16BE")) / 2).cast("long")
 
 
-def megabytes(text: Column) -> Column:
-    return F.format_number(utf16_length(text) / 1024 / 1024, 2)
+def megabytes(units: Column) -> Column:
+    """A size with two decimals, from a length: texts need not be built to say how large they would be."""
+    return F.call_function("format_number", units / 1024 / 1024, F.lit("0.00"))
 
 
 def iso_time(timestamp: Column) -> Column:

@@ -316,9 +316,9 @@ def corpus_headers(spark, d):
 
 
 def utf16_sizes(spark, d):
-    """Sizes in the web's units, of texts with characters that take two."""
-    whole = F.concat("text", F.lit("🙂x🙂"))
-    return table(spark, d, "documents").select("doc_id", T.utf16_length(whole).alias("n_units"), T.megabytes(F.repeat(whole, 300)).alias("megabytes"))
+    """Sizes in the web's units, of texts with characters that take two, and of 300 copies of each."""
+    sizes = table(spark, d, "documents").select("doc_id", T.utf16_length(F.concat("text", F.lit("🙂x🙂"))).alias("n_units"))
+    return sizes.withColumn("megabytes", T.megabytes(300 * F.col("n_units")))
 
 
 def content_markdown(spark, d):

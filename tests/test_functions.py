@@ -96,6 +96,12 @@ def test_sizes(spark):
     assert df.first()[0] == "2024-01-02T03:04:05.006Z"
 
 
+def test_megabytes_of_a_length(spark):
+    units = [0, 300 * 9, 9_830_400, 98_304 * 300, 3_000 * (1 << 20)]
+    got = spark.createDataFrame([(n,) for n in units], "n long").select(T.megabytes(F.col("n"))).collect()
+    assert [r[0] for r in got] == ["0.00", "0.00", "9.38", "28.12", "3000.00"]
+
+
 def test_long_runs_of_space_cost_their_length_once(spark):
     long = "a" + " " * 1_000_000 + "b" + "\t" * 1_000_000
     began = time.monotonic()
